@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lexmill.llm import fingerprints, line_dedup, mixing
+from lexmill.llm import fingerprints, line_dedup, mixing, packing, tokens
 from lexmill.session import table
 
 QUERIES = {
     "op3_line_dedup": lambda spark, d: line_dedup.op3(table(spark, d, "documents")),
+    "op4_token_counts": lambda spark, d: tokens.op4(table(spark, d, "documents")),
     "op5_winnowing": lambda spark, d: fingerprints.op5(table(spark, d, "documents")),
     "op7_source_mixing": lambda spark, d: mixing.op7(table(spark, d, "documents")),
+    "op8_best_fit_packing": lambda spark, d: packing.op8(table(spark, d, "documents")),
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
