@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import fingerprints, line_dedup, mixing, packing, tokens
+from lexmill.llm import fingerprints, line_dedup, mixing, packing, quality, tokens
 from lexmill.session import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_winnowing": lambda spark, d: fingerprints.op5(table(spark, d, "documents")),
     "op7_source_mixing": lambda spark, d: mixing.op7(table(spark, d, "documents")),
     "op8_best_fit_packing": lambda spark, d: packing.op8(table(spark, d, "documents")),
+    "op9_quality_network": lambda spark, d: quality.op9(table(spark, d, "documents"), table(spark, d, "labels")),
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
