@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lexmill.llm import fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens
+from lexmill.llm import embedding_join, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens
 from lexmill.session import table
 
 QUERIES = {
+    "op1_embedding_join": lambda spark, d: embedding_join.op1(table(spark, d, "embeddings")),
     "op2_ngram_join": lambda spark, d: ngram_join.op2(table(spark, d, "documents")),
     "op3_line_dedup": lambda spark, d: line_dedup.op3(table(spark, d, "documents")),
     "op4_token_counts": lambda spark, d: tokens.op4(table(spark, d, "documents")),
