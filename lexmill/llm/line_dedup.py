@@ -76,6 +76,14 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
     )
 
 
+def without_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with line_dedup() applied, columns unchanged; n_chars, if there, is counted anew."""
+    found = line_dedup(docs)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
 def op3(docs: DataFrame) -> DataFrame:
     """The digest of line_dedup(): doc_id, n_lines, n_dropped, kept_sha256."""
     return line_dedup(docs.select("doc_id", "text")).select(

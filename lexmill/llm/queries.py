@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import embedding_join, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens
+from lexmill.llm import embedding_join, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
 from lexmill.session import table
 
 QUERIES = {
@@ -14,8 +14,10 @@ QUERIES = {
     "op7_source_mixing": lambda spark, d: mixing.op7(table(spark, d, "documents")),
     "op8_best_fit_packing": lambda spark, d: packing.op8(table(spark, d, "documents")),
     "op9_quality_network": lambda spark, d: quality.op9(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op10_url_filter": lambda spark, d: url_filter.op10(table(spark, d, "pages"), table(spark, d, "labels")),
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
