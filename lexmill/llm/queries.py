@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import embedding_join, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
+from lexmill.llm import embedding_join, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
 from lexmill.session import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_line_dedup": lambda spark, d: line_dedup.op3(table(spark, d, "documents")),
     "op4_token_counts": lambda spark, d: tokens.op4(table(spark, d, "documents")),
     "op5_winnowing": lambda spark, d: fingerprints.op5(table(spark, d, "documents")),
+    "op6_license_scan": lambda spark, d: license_scan.op6(table(spark, d, "documents")),
     "op7_source_mixing": lambda spark, d: mixing.op7(table(spark, d, "documents")),
     "op8_best_fit_packing": lambda spark, d: packing.op8(table(spark, d, "documents")),
     "op9_quality_network": lambda spark, d: quality.op9(table(spark, d, "documents"), table(spark, d, "labels")),
