@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions.numerals import DIGITS, small_numeral
-from lexmill.functions.text import strip
+from lexmill.functions.text import let, strip
 
 #: Era names with the year before their first, seasons with their month.
 ERAS = {"宣統": 1908, "民國": 1911}
@@ -48,22 +48,20 @@ def normalize_byline(raw: Column, eras: dict = ERAS, bare: int = 1911, source_on
     The first rule that holds decides; a year that is no numeral passes on to the next.
     Runs of two or more long dashes at the ends go. A mere source gives ''. Null gives ''.
     """
-    text = strip(F.regexp_replace(strip(F.coalesce(raw, F.lit(""))), "^——+|——+$", ""))
-    out = F.concat(F.lit("（"), text, F.lit("）"))
-
-    def dated(prefix: str, base: int, otherwise: Column, bounded: bool = False) -> Column:
+    def dated(text: Column, prefix: str, base: int, bounded: bool = False) -> Column:
         pattern = f"^{prefix}(.+?)年(.*)"
         year = F.when(text.rlike(pattern), small_numeral(F.regexp_extract(text, pattern, 1)))
-        ms = month_season(F.regexp_extract(text, pattern, 2))
-        good = F.coalesce(year.between(1, 99), F.lit(False)) if bounded else year.isNotNull()
-        return F.when(good, F.concat(F.lit("（"), (year + base).cast("string"), F.lit(" 年"), date_suffix(ms["month"], ms["rest"]), F.lit("）"))).otherwise(otherwise)
-
-    out = dated("", bare, out, bounded=True)
-    for era, base in reversed(eras.items()):
-        out = dated(era, base, out)
-    return (
-        F.when(strip(F.coalesce(raw, F.lit(""))) == "", "").when(text.startswith(source_only), "").when(text.rlike("^（.+記）$"), text).otherwise(out)
-    )
+        tail = let(month_season(F.regexp_extract(text, pattern, 2)), lambda ms: date_suffix(ms["month"], ms["rest"]))
+        said = lambda y: F.concat(F.lit("（"), (y + base).cast("string"), F.lit(" 年"), tail, F.lit("）"))
+        return let(year, lambda y: F.when(y.between(1, 99) if bounded else y.isNotNull(), said(y)))
+
+    def normal(text: Column) -> Column:
+        rules = [dated(text, era, base) for era, base in eras.items()] + [dated(text, "", bare, bounded=True)]
+        wrapped = F.coalesce(*rules, F.concat(F.lit("（"), text, F.lit("）")))
+        return F.when(text.startswith(source_only), "").when(text.rlike("^（.+記）$"), text).otherwise(wrapped)
+
+    given = strip(F.coalesce(raw, F.lit("")))
+    return F.when(given == "", "").otherwise(let(strip(F.regexp_replace(given, "^——+|——+$", "")), normal))
 
 
 def byline_fields(byline: Column) -> Column:

@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import strip
+from lexmill.functions.text import let, strip
 
 DIGITS = "一二三四五六七八九"
 #: Single characters with values of their own.
@@ -34,40 +34,38 @@ def _ascii(text: Column) -> Column:
 
 def small_numeral(text: Column) -> Column:
     """1 to 99 by adding up at 十; digits as they are; other characters, zero and nothing give null."""
-    t = strip(text)
-    chars = F.filter(F.split(t, ""), lambda c: c != "")
-    begin = F.struct(F.lit(0).alias("total"), F.lit(0).alias("last"))
     value = _map({d: i for i, d in enumerate(DIGITS, 1)})
+    begin = F.struct(F.lit(0).alias("total"), F.lit(0).alias("last"))
     step = lambda acc, c: F.when(
         c == "十", F.struct((acc["total"] + F.when(acc["last"] == 0, 1).otherwise(acc["last"]) * 10).alias("total"), F.lit(0).alias("last"))
     ).otherwise(F.struct(acc["total"].alias("total"), F.coalesce(F.element_at(value, c), F.lit(0)).alias("last")))
-    total = F.aggregate(chars, begin, step, lambda acc: acc["total"] + acc["last"])
-    return (
-        F.when(t.rlike("^[0-9０-９]+$"), _ascii(t).try_cast("int"))
-        .when(t.rlike(f"^[{DIGITS}十]+$"), F.when(total > 0, total))
-        .cast("int")
-    )
+
+    def parsed(t: Column) -> Column:
+        chars = F.filter(F.split(t, ""), lambda c: c != "")
+        total = F.nullif(F.aggregate(chars, begin, step, lambda acc: acc["total"] + acc["last"]), F.lit(0))
+        return F.when(t.rlike("^[0-9０-９]+$"), _ascii(t).try_cast("int")).when(t.rlike(f"^[{DIGITS}十]+$"), total).cast("int")
+
+    return let(strip(text), parsed)
 
 
 def wide_numeral(text: Column) -> Column:
     """Numerals looked up whole, digits of both widths, three or more digits by position, else 百 and 十 compounds."""
-    t = strip(text)
     table = _map(direct_values())
-    direct = F.element_at(table, t)
-    by_position = F.translate(t, DIGITS + "〇零", "12345678900")
     head = lambda s, mark: F.substring_index(s, mark, 1)
     tail = lambda s, mark: F.substring(s, F.length(head(s, mark)) + 2, 1 << 30)
     part = lambda s: F.when(s == "", 1).otherwise(F.coalesce(F.element_at(table, s), F.lit(1)))
-    hundreds = F.when(t.contains("百"), part(head(t, "百")) * 100).otherwise(0)
-    rest = F.when(t.contains("百"), tail(t, "百")).otherwise(t)
-    tens = F.when(rest.contains("十"), part(head(rest, "十")) * 10).otherwise(0)
-    ones = F.when(rest.contains("十"), tail(rest, "十")).otherwise(rest)
-    total = hundreds + tens + F.coalesce(F.element_at(table, ones), F.lit(0))
-    return (
-        F.when(t == "", F.lit(None))
-        .when(direct.isNotNull(), direct)
-        .when(t.rlike("^[+-]?[0-9０-９]+$"), _ascii(t).try_cast("int"))
-        .when(t.rlike(f"^[{DIGITS}〇零]{{3,}}$"), by_position.try_cast("int"))
-        .otherwise(F.when(total > 0, total))
-        .cast("int")
-    )
+    ones = lambda s: F.coalesce(F.element_at(table, s), F.lit(0))
+    tens = lambda s: F.when(s.contains("十"), part(head(s, "十")) * 10 + ones(tail(s, "十"))).otherwise(ones(s))
+    compound = lambda t: F.when(t.contains("百"), part(head(t, "百")) * 100 + let(tail(t, "百"), tens)).otherwise(tens(t))
+
+    def parsed(t: Column) -> Column:
+        return (
+            F.when(t == "", F.lit(None))
+            .when(F.element_at(table, t).isNotNull(), F.element_at(table, t))
+            .when(t.rlike("^[+-]?[0-9０-９]+$"), _ascii(t).try_cast("int"))
+            .when(t.rlike(f"^[{DIGITS}〇零]{{3,}}$"), F.translate(t, DIGITS + "〇零", "12345678900").try_cast("int"))
+            .otherwise(F.nullif(compound(t), F.lit(0)))
+            .cast("int")
+        )
+
+    return let(strip(text), parsed)

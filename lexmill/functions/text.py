@@ -5,6 +5,8 @@ Java's \\s and \\d are ASCII unless (?U) is set; every pattern that relies on th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ SIMPLIFIED_TRADITIONAL = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` written and evaluated once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Without white space of any script at both ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

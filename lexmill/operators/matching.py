@@ -31,32 +31,39 @@ def match_keys(vocabulary: DataFrame, chars: str | None = CJK_WIDE, least: int =
 
 
 def alternation(terms: list[str]) -> str:
-    """A regular expression that takes the longest term at each place."""
+    """A regular expression, for Java and RE2, that takes the longest term at each place."""
     return "|".join(re.escape(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
 
 
 def hits(lines: DataFrame, terms: list[str], text: str = "line", chars: str | None = None) -> DataFrame:
-    """``lines`` exploded to one row per hit: ``surface`` and its 0-based ``position`` in the text.
+    """``lines`` exploded to one row per hit: ``surface`` and ``ordinal``, its number in the text from 0.
 
     At each place the longest term wins and matching goes on behind it. With ``chars``
     only terms wholly of the class match. Few terms stay in the JVM; many run in Arrow
     batches with sets by length. ``terms`` are the caller's dictionary, sent to every task.
     """
-    if chars is not None:
-        only = re.compile(f"^[{chars.replace(chr(92) + 'x{20000}-' + chr(92) + 'x{2a6df}', chr(0x20000) + '-' + chr(0x2A6DF))}]+$")
-        terms = [t for t in terms if only.match(t)]
-    terms = sorted(set(terms), key=lambda t: (-len(t), t))
-    if not terms:
-        return lines.limit(0).select("*", F.lit("").alias("surface"), F.lit(0).alias("position"))
-    if len(terms) <= MOST_ALTERNATIVES:
-        pattern = "(?s)(.*?)(" + "|".join(f"\\Q{t}\\E" for t in terms) + ")"
-        before = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
-        found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(2))
-        out = lines.select("*", F.posexplode(F.arrays_zip(before.alias("b"), found.alias("s"))).alias("__i", "__h"), before.alias("__b"), found.alias("__s"))
-        ahead = lambda xs: F.aggregate(F.slice(xs, 1, F.col("__i")), F.lit(0), lambda acc, x: acc + F.length(x))
-        at = ahead(F.col("__b")) + F.length("__h.b") + ahead(F.col("__s"))
-        return out.withColumn("surface", F.col("__h.s")).withColumn("position", at.cast("int")).drop("__i", "__h", "__b", "__s")
-    return _hits_by_sets(lines, terms, text)
+    terms = [t for t in terms if _only(t, chars)]
+    if len(terms) > MOST_ALTERNATIVES:
+        return _hits_by_sets(lines, terms, text).drop("position")
+    found = F.regexp_extract_all(F.col(text), F.lit(alternation(terms) if terms else "(?!)"), F.lit(0))
+    return lines.select(*(c for c in lines.columns if c != text), F.posexplode(found).alias("ordinal", "surface"))
+
+
+def _only(term: str, chars: str | None) -> bool:
+    return bool(term) and (chars is None or bool(re.match("^[" + chars.replace("\\x{20000}-\\x{2a6df}", "\U00020000-\U0002a6df") + "]+$", term)))
+
+
+def positions(lines: DataFrame, terms: list[str], keys: list[str], text: str = "line", chars: str | None = None) -> DataFrame:
+    """hits() with ``position``, 0-based in the text; ``keys`` name a line, whose hits are added up in one task."""
+    terms = [t for t in terms if _only(t, chars)]
+    if len(terms) > MOST_ALTERNATIVES:
+        return _hits_by_sets(lines, terms, text)
+    pattern = F.lit("(?s)(.*?)(" + (alternation(terms) if terms else "(?!)") + ")")
+    both = F.arrays_zip(F.regexp_extract_all(F.col(text), pattern, F.lit(1)).alias("b"), F.regexp_extract_all(F.col(text), pattern, F.lit(2)).alias("s"))
+    each = lines.select(*(c for c in lines.columns if c != text), F.posexplode(both).alias("ordinal", "h"))
+    upto = Window.partitionBy(*keys).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.sum(F.length("h.b") + F.length("h.s")).over(upto) - F.length("h.s")
+    return each.withColumn("position", at.cast("int")).withColumn("surface", F.col("h.s")).drop("h")
 
 
 def _hits_by_sets(lines: DataFrame, terms: list[str], text: str) -> DataFrame:
@@ -83,18 +90,27 @@ def _hits_by_sets(lines: DataFrame, terms: list[str], text: str) -> DataFrame:
                     else:
                         i += 1
             taken = b.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(surfaces, pa.string()), pa.array(positions, pa.int32())], [*b.schema.names, "surface", "position"])
+            nth = _ordinals(rows)
+            more = [pa.array(nth, pa.int32()), pa.array(surfaces, pa.string()), pa.array(positions, pa.int32())]
+            kept = [c for i, c in enumerate(taken.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*kept, *more], [n for n in b.schema.names if n != text] + ["ordinal", "surface", "position"])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in lines.schema if f.name != text)
+    return lines.mapInArrow(run, f"{schema}ordinal int, surface string, position int")
+
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema)
-    return lines.mapInArrow(run, f"{schema}, surface string, position int")
+def _ordinals(rows: list[int]) -> list[int]:
+    """The number of each item among equal neighbours."""
+    out: list[int] = []
+    for i, r in enumerate(rows):
+        out.append(out[-1] + 1 if i and rows[i - 1] == r else 0)
+    return out
 
 
 def lines_of(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, line_no, line, offset (of the line in the text) and is_heading of every line."""
-    lines = docs.select(key, F.split(F.coalesce(text, F.lit("")), "\n", -1).alias("ls"))
-    each = lines.select(key, "ls", F.posexplode("ls").alias("line_no", "line"))
-    offset = F.aggregate(F.slice("ls", 1, F.col("line_no")), F.lit(0), lambda acc, x: acc + F.length(x) + 1)
-    return each.select(key, "line_no", "line", offset.alias("offset"), is_heading_line(F.col("line")).alias("is_heading"))
+    """key, line_no, line and is_heading of every line."""
+    each = docs.select(key, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n", -1)).alias("line_no", "line"))
+    return each.withColumn("is_heading", is_heading_line(F.col("line")))
 
 
 def score(occurrences: Column, heading_hits: Column, weight: int = HEADING_WEIGHT) -> Column:
@@ -103,30 +119,31 @@ def score(occurrences: Column, heading_hits: Column, weight: int = HEADING_WEIGH
 
 
 def candidates(found: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document and standard term: occurrences, heading_hits, score, first_position, surfaces, is_standard, nth.
+    """One row per document and standard term: occurrences, heading_hits, score, first_hit (line and ordinal), surfaces, is_standard, nth.
 
-    ``found``: hits with offset and is_heading; ``keys``: match_keys(). nth ranks by score, ties by
+    ``found``: hits() in lines_of(); ``keys``: match_keys(). nth ranks by score, ties by
     first occurrence. Surfaces are counted before their join with the dictionary.
     """
     per = found.groupBy(key, "surface").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_heading").cast("int")).alias("h"), F.min(F.col("offset") + F.col("position")).alias("p")
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_heading").cast("int")).alias("h"), F.min(F.struct("line_no", "ordinal")).alias("p")
     )
     rest = [c for c in ("domain", "subdomain", "note") if c in keys.columns]
     out = per.join(keys, "surface").groupBy(key, "standard").agg(
-        F.sum("n").alias("occurrences"), F.sum("h").alias("heading_hits"), F.min("p").alias("first_position"),
+        F.sum("n").alias("occurrences"), F.sum("h").alias("heading_hits"), F.min("p").alias("first_hit"),
         F.array_join(F.sort_array(F.collect_set("surface")), "、").alias("surfaces"),
         F.max(F.col("surface") == F.col("standard")).alias("is_standard"), *(F.min(c).alias(c) for c in rest),
     )
     out = out.withColumn("score", score(F.col("occurrences"), F.col("heading_hits")))
-    order = Window.partitionBy(key).orderBy(F.desc("score"), "first_position")
+    order = Window.partitionBy(key).orderBy(F.desc("score"), "first_hit")
     return out.withColumn("nth", F.row_number().over(order))
 
 
 def with_context(found: DataFrame, docs: DataFrame, key: str = "doc_id", window: int = 40) -> DataFrame:
-    """Candidates with ``context``: the text around the first hit."""
+    """Candidates with ``context``: the text around the first of the term's surfaces in it."""
     texts = docs.select(F.col(key).alias("__k"), F.col("text").alias("__t"))
     met = found.join(texts, found[key].eqNullSafe(texts["__k"]))
-    return met.withColumn("context", snippet(F.col("__t"), F.col("first_position"), window)).drop("__k", "__t")
+    at = F.array_min(F.filter(F.transform(F.split("surfaces", "、"), lambda s: F.position(s, F.col("__t"))), lambda p: p > 0)) - 1
+    return met.withColumn("context", snippet(F.col("__t"), at, window)).drop("__k", "__t")
 
 
 def summary(found: DataFrame, key: str = "doc_id", often: int = 10) -> DataFrame:
