@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import bylines, classify, issues, numerals
 from lexmill.functions import text as tx
-from lexmill.operators import gaps, lookups, matching, sequences
+from lexmill.operators import documents, gaps, lookups, matching, sequences
+from lexmill.sources import xml_nodes
 from lexmill.session import register_tables, run_sql, table
 
 QUERIES: dict[str, Callable] = {}
@@ -461,3 +462,29 @@ def free_sql(spark: SparkSession, d: str) -> DataFrame:
     """Free-form SQL with a named parameter."""
     register_tables(spark, d, ["lineitem"])
     return run_sql(spark, "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem WHERE l_shipdate <= timestamp(:upto) GROUP BY ALL", {"upto": "1998-09-02"})
+
+
+# -- documents ----------------------------------------------------------------------------
+
+
+@query()
+def html_text(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraph text of web pages, read leniently; scripts and styles hold none."""
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
+    nodes = xml_nodes.shred(pages, "id", "html", html=True)
+    return documents.tree_text(nodes, ["p"]).select(F.col("doc_id").cast("long").alias("page_id"), "node_id", "text")
+
+
+@query()
+def shred_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of all pages by tag."""
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
+    return xml_nodes.shred(pages, "id", "html", html=True).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("deepest"))
+
+
+@query()
+def render_markdown(spark: SparkSession, d: str) -> DataFrame:
+    """Every page as Markdown."""
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
+    nodes = xml_nodes.shred(pages, "id", "html", html=True).filter(~F.col("tag").isin("script", "style"))
+    return documents.render_articles(nodes, gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
