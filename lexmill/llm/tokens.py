@@ -8,6 +8,7 @@ that end at boundaries which are safe for any text.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -16,7 +17,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Segments that a worker remembers; beyond it the memo starts anew.
+#: Segments that a worker remembers; beyond it the memo of a counter starts anew, and an
+#: encoder's keeps what was used since its last turn.
 MEMO = 400_000
 #: Characters encoded together; batches are balanced by size, not by rows.
 BATCH_CHARS = 1 << 20
@@ -29,6 +31,10 @@ _SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 #: Characters that Python takes for white space but Unicode's White_Space does not, and NEL.
 _ODD_CONTROL = re.compile("[\x1c-\x1f\x85]")
+#: Texts with other characters, or with what may begin a special token, are not lower-cased beforehand.
+_BEYOND_LATIN, _SPECIAL = re.compile("[^\x00-\u012f\u0131-\u024f]"), "<|"
+#: A stop between a letter and white space is a token of its own.
+_STOP = re.compile(r"[.,](?<=[a-z\u00df-\u00f6\u00f8-\u00ff][.,])(?=[ \n]|\Z)")
 _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -95,29 +101,68 @@ class Counter:
 
 
 class Encoder:
-    """Ids, as little-endian unsigned 32-bit bytes, of a tokenizer that drops white space and lower-cases each character."""
+    """Ids, as little-endian unsigned 32-bit bytes, of a tokenizer that drops white space and lower-cases each character.
+
+    Latin texts are lower-cased and their stops set apart before words are looked up, which
+    changes no id and leaves fewer words to encode.
+    """
 
     def __init__(self, path: str, memo: int = MEMO):
-        self.tok, self.most, self.memo = load(path), memo, {}
+        self.tok, self.most, self.memo, self.old = load(path), memo, {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.asarray(x.ids, "<u4").tobytes() for run in groups(texts) for x in self.tok.encode_batch_fast(run, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word; words of letters only are one pre-token each and go through the library together."""
+        import numpy as np
+
+        plain = [w for w in words if w.isalpha()]
+        out = {}
+        for a in range(0, len(plain), 4096):
+            run = plain[a : a + 4096]
+            got = self.tok.encode(" ".join(run), add_special_tokens=False)
+            ids, of = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids)
+            edges = [0, *((np.flatnonzero(np.diff(of)) + 1) * 4).tolist(), 4 * len(ids)]
+            if len(edges) == len(run) + 1:
+                data = ids.tobytes()
+                out |= zip(run, (data[x:y] for x, y in itertools.pairwise(edges)), strict=True)
+        rest = [w for w in words if w not in out]
+        return out | dict(zip(rest, self._encode(rest), strict=True))
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
         for run in groups(texts):
-            cut = [None if _ODD_CONTROL.search(x) else x.split() for x in run]
-            new = {s for x in cut if x for s in x} - self.memo.keys()
-            if len(self.memo) + len(new) > self.most:
-                self.memo = {}
-                new = {s for x in cut if x for s in x}
-            new = list(new)
-            self.memo.update(zip(new, self._encode(new), strict=True))
+            cut = [None if _ODD_CONTROL.search(x) else (x if _SPECIAL in x or _BEYOND_LATIN.search(x) else _STOP.sub(r" \g<0>", x.lower())).split() for x in run]
             seen = self.memo
-            for text, parts in zip(run, cut, strict=True):
-                yield b"".join(self._encode(list(long_pieces(text)))) if parts is None else b"".join([seen[s] for s in parts])
+            found = [x and list(map(seen.get, x)) for x in cut]
+            gaps = [x and [i for i, y in enumerate(x) if y is None] for x in found]
+            new = {x[i] for x, g in zip(cut, gaps, strict=True) if g for i in g}
+            kept = {s: self.old[s] for s in new if s in self.old}
+            got = kept | self._encode_words([s for s in new if s not in kept])
+            for text, parts, ids, missing in zip(run, cut, found, gaps, strict=True):
+                if parts is None:
+                    yield b"".join(self._encode(list(long_pieces(text))))
+                    continue
+                for i in missing or ():
+                    ids[i] = got[parts[i]]
+                yield b"".join(ids)
+            if len(seen) + len(got) > self.most // 2:
+                self.old, self.memo = seen, got
+            else:
+                seen |= got
+
+
+_kept: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a file; its memo lives as long as the worker."""
+    if path not in _kept:
+        _kept[path] = Encoder(path, 3 * MEMO)
+    return _kept[path]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -151,10 +196,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, step = Encoder(path), end_id.to_bytes(4, "little"), 4 * capacity
+        ids_of, end, step = encoder(path), end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
             rows, piece, length, crc = [], [], [], []
-            for i, ids in enumerate(encoder.encode([x or "" for x in batch.column(1).to_pylist()])):
+            for i, ids in enumerate(ids_of.encode([x or "" for x in batch.column(1).to_pylist()])):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
