@@ -118,6 +118,10 @@ def end_matter(nodes: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
     return each.withColumn("rn", F.row_number().over(once)).filter("rn = 1").select("doc_id", "type", "raw_text", classify_byline(F.col("raw_text"), sources).alias("byline_type"))
 
 
+#: Elements that only hold divisions and blocks, and those that hold no text of the article.
+_HOLDERS, _APART = frozenset("TEI text body front html main article section".split()), frozenset("teiHeader back script style".split())
+
+
 class Renderer:
     """One article's nodes as Markdown: contents, headings, paragraphs, quotations, notes."""
 
@@ -173,7 +177,11 @@ class Renderer:
                 toc.append("    " * max(0, level - 2) + f"- {heading}")
                 body.append(f"{'#' * min(6, max(2, level))} {heading}")
             for k in kids:
-                if k["tag"] == "div":
+                if k["tag"] in _APART:
+                    continue
+                if k["tag"] in _HOLDERS:
+                    walk(k, level, quoted)
+                elif k["tag"] == "div":
                     walk(k, level + bool(heading), k["attrs"].get("type") == "orig")
                 elif k["tag"] not in ("head", "mulu"):
                     text = self.block(k)

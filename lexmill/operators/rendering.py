@@ -34,7 +34,7 @@ def upsert_list(text: Column, field: str, items: Column, before: str = "themes:"
     replaced = F.regexp_replace(text, F.lit(there), safe)
     marked = F.regexp_replace(text, F.lit(at_mark), safe)
     closing = F.instr(F.substring(text, 5, 1 << 30), "\n---")
-    ended = F.concat(F.substring(text, F.lit(1), closing + 4), F.lit("\n"), F.rtrim(block, F.lit("\n")), F.substring(text, closing + 5, F.lit(1 << 30)))
+    ended = F.concat(F.substring(text, F.lit(1), closing + 4), block, F.substring(text, closing + 5, F.lit(1 << 30)))
     done = F.when(text.rlike(there), replaced).when(text.rlike(at_mark), marked).when(text.startswith("---\n") & (closing > 0), ended).otherwise(text)
     return F.when(items.isNull(), text).otherwise(done)
 
