@@ -12,6 +12,7 @@ with itself or another accumulates overlap counts over all columns, exactly.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +27,16 @@ from lexmill.llm.shingles import WORDS, batches_of, mix, shingle_sets
 #: Similarity of at least NUM / DEN links.
 NUM, DEN = 75, 100
 #: Columns are ordered by how often their bucket occurs; so many bits name a bucket.
-BUCKET_BITS = 20
+BUCKET_BITS = 24
 #: Buckets that travel together when counts are added up.
-PAGE = 1 << 12
+PAGE = 1 << 16
 #: Bits of the filter that spares sets which can meet no other; it is never larger.
 FILTER_BITS = 1 << 26
-#: Shingles of a row block, about; larger groups are multiplied block by block.
-BLOCK = 4_000_000
+#: Shingles of a row block, about; larger groups are cut into bands of sizes, of which only
+#: equal and neighbouring ones can hold similar sets, and full bands into parts.
+BLOCK = 1_000_000
+#: Up to so many sets that can meet others are sent to all executors, 40 MB at most; more are joined by a shuffle.
+SMALL = 500_000
 #: Set ids that a task remembers to send copies once.
 SEEN = 1_000_000
 
@@ -55,12 +59,13 @@ def _named(docs: DataFrame, words: int) -> DataFrame:
     shift = np.uint64(64 - BUCKET_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
+        counts = np.zeros(1 << BUCKET_BITS, np.uint16)
         names = ["doc_id", "n", "set_id", "page", "counts"]
         for b in batches:
             for first, texts in batches_of(b.column(1).to_pylist()):
                 h, n = shingle_sets(texts, words)
-                np.add(counts, np.bincount((h >> shift).astype(np.int64), minlength=len(counts)).astype(np.uint32), out=counts)
+                at, more = np.unique((h >> shift).astype(np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at].astype(np.int64) + more, 65535)
                 k = len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, k), pa.array(n), pa.array(set_ids(h, n)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names
@@ -68,7 +73,7 @@ def _named(docs: DataFrame, words: int) -> DataFrame:
         pages = [(i, x) for i, x in enumerate(counts.reshape(-1, PAGE)) if x.any()]
         k = len(pages)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, b.column(0).type) if k else pa.nulls(0, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([i for i, _ in pages], pa.int32()), pa.array([x.tobytes() for _, x in pages], pa.binary())],
+            [pa.nulls(k, b.column(0).type) if k else pa.nulls(0, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([i for i, _ in pages], pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for _, x in pages], pa.binary())],
             names,
         ) if k else pa.RecordBatch.from_pylist([], schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("page", pa.int32()), ("counts", pa.binary())]))
 
@@ -82,13 +87,13 @@ def _frequency_classes(pages: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for page, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[page] = total.get(page, 0) + np.frombuffer(data, np.uint32).astype(np.float64)
-        cls = {k: np.floor(2 * np.log2(np.maximum(v, 1))).astype(np.uint8).tobytes() for k, v in total.items()}
+                total[page] = total.get(page, 0) + np.frombuffer(zlib.decompress(data), np.uint16).astype(np.float32)
+        cls = {k: zlib.compress(np.floor(2 * np.log2(np.maximum(v, 1))).astype(np.uint8).tobytes(), 1) for k, v in total.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(cls), pa.int32()), pa.array(list(cls.values()), pa.binary())], ["page", "cls"])
 
-    out = np.zeros((1 << BUCKET_BITS) // PAGE * PAGE, np.uint8)
+    out = np.zeros(1 << BUCKET_BITS, np.uint8)
     for r in pages.repartition("page").mapInArrow(add, "page int, cls binary").collect():
-        out[r["page"] * PAGE : (r["page"] + 1) * PAGE] = np.frombuffer(r["cls"], np.uint8)
+        out[r["page"] * PAGE : (r["page"] + 1) * PAGE] = np.frombuffer(zlib.decompress(r["cls"]), np.uint8)
     return out
 
 
@@ -187,43 +192,39 @@ def _candidates(prefixes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """set_id, hashes (little-endian unsigned 64-bit) of distinct sets in ``wanted``, and hardly any others."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_filter_bits(wanted))
+    """set_id, key, hashes (little-endian unsigned 64-bit) of the rows that stand for the ``wanted`` sets, and hardly any others."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         table = np.frombuffer(bits.value, np.uint8)
         for b in batches:
-            for _, texts in batches_of(b.column(0).to_pylist()):
+            keys = b.column(0).to_numpy(zero_copy_only=False)
+            for first, texts in batches_of(b.column(1).to_pylist()):
                 h, n = shingle_sets(texts, words)
-                ids, ends = set_ids(h, n), np.cumsum(n)
-                at = _filter_place(ids)
+                ids, ends, key = set_ids(h, n), np.cumsum(n), keys[first : first + len(texts)]
+                at = _filter_place(ids, key)
                 hit = (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-                rows = [i for i in np.flatnonzero(hit & (n > 0)).tolist() if not (int(ids[i]) in seen or seen.add(int(ids[i])))]
-                if len(seen) > SEEN:
-                    seen.clear()
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[rows]), pa.array([h[ends[i] - n[i] : ends[i]].tobytes() for i in rows], pa.binary())], ["set_id", "hashes"]
-                    )
+                rows = np.flatnonzero(hit & (n > 0))
+                if len(rows):
+                    data = pa.array([h[ends[i] - n[i] : ends[i]].tobytes() for i in rows.tolist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(key[rows]), data], ["set_id", "key", "hashes"])
 
-    return docs.select("text").mapInArrow(run, "set_id long, hashes binary")
+    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "set_id long, key long, hashes binary")
 
 
-def _filter_place(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+def _filter_place(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64) ^ mix(keys.view(np.uint64))) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 def _filter_bits(ids: DataFrame) -> bytes:
-    """A filter of FILTER_BITS bits, always 8 MB, that holds all set ids; false answers only cost work."""
+    """A filter of FILTER_BITS bits, always 8 MB, that holds all (set_id, key); false answers only cost work."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             # bitmap functions count values from 1
-            yield pa.RecordBatch.from_arrays([pa.array(_filter_place(b.column(0).to_numpy(zero_copy_only=False)) + 1)], ["at"])
+            yield pa.RecordBatch.from_arrays([pa.array(_filter_place(*(c.to_numpy(zero_copy_only=False) for c in b.columns)) + 1)], ["at"])
 
-    at = ids.select("set_id").mapInArrow(places, "at long")
+    at = ids.select("set_id", "key").mapInArrow(places, "at long")
     pages = at.groupBy(F.bitmap_bucket_number("at").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     out = bytearray(FILTER_BITS // 8)
     for r in pages.collect():
@@ -271,26 +272,28 @@ def block_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool) -> tuple
 def _products(rows: DataFrame) -> DataFrame:
     """set_id, root, linked of each set in each block product: rows (grp, i, j, side, set_id, copies, hashes)."""
 
-    def product(group: list[tuple]) -> pa.RecordBatch:
-        cross = group[0][1] != group[0][2]
-        sides = np.array([g[3] for g in group])
-        ids, copies = np.array([g[4] for g in group]), np.array([g[5] for g in group])
-        a, b = block_links([np.frombuffer(g[6], np.uint64) for g in group], sides, cross)
-        root = ids[local_roots(len(group), a, b)]
-        linked = np.bincount(a, copies[b], len(group)) + np.bincount(b, copies[a], len(group))
+    def product(key: tuple, sides: list, ids: list, copies: list, sets: list) -> pa.RecordBatch:
+        _, once = np.unique(np.array(ids), return_index=True)  # rows of one doc_id and text come more than once
+        ids, copies, sides = np.array(ids)[once], np.array(copies)[once], np.array(sides)[once]
+        a, b = block_links([sets[i] for i in once.tolist()], sides, key[1] != key[2])
+        root = ids[local_roots(len(ids), a, b)]
+        linked = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
         live = linked > 0
         return pa.RecordBatch.from_arrays([pa.array(ids[live]), pa.array(root[live]), pa.array(linked[live].astype(np.int64))], ["set_id", "root", "linked"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+        key, group = None, ([], [], [], [])
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if group and group[0][:3] != row[:3]:
-                    yield product(group)
-                    group = []
-                group.append(row)
-        if group:
-            yield product(group)
+            hashes = b.column(6)
+            for r, (g, i, j, *row) in enumerate(zip(*(c.to_pylist() for c in b.columns[:6]), strict=True)):
+                if (g, i, j) != key:
+                    if len(group[0]) > 1:
+                        yield product(key, *group)
+                    key, group = (g, i, j), ([], [], [], [])
+                for to, value in zip(group, (*row, np.frombuffer(hashes[r].as_buffer(), np.uint64)), strict=True):
+                    to.append(value)
+        if len(group[0]) > 1:
+            yield product(key, *group)
 
     return (
         rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
@@ -299,6 +302,28 @@ def _products(rows: DataFrame) -> DataFrame:
     )
 
 
+def _placed(member: DataFrame) -> DataFrame:
+    """set_id, key, grp, copies, side, i, j: the block products that each set enters.
+
+    A group of up to BLOCK shingles is one block. A larger one is cut into bands of sizes, each by DEN / NUM
+    above the one below: similar sets are of one band or of neighbouring ones. A full band is cut into parts.
+    """
+    banded = member.withColumn("band", F.floor(F.log(F.col("n") + F.lit(0.5)) / F.lit(float(np.log(DEN / NUM)))).cast("long"))
+    totals = banded.groupBy("grp", "band").agg(F.sum("n").alias("t"))
+    large = totals.groupBy("grp").agg(F.sum("t").alias("all")).filter(F.col("all") > BLOCK).select("grp")
+    parts = totals.join(large, "grp").select("grp", "band", F.ceil(F.col("t") / BLOCK).cast("long").alias("parts"))
+    unit = lambda band, part: F.shiftleft(band, 20) + part
+    units = parts.select("grp", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    near = units.select("grp", unit(F.col("band"), F.col("part")).alias("unit"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    others = parts.join(near.groupBy("grp", "band").agg(F.collect_list("unit").alias("units")), ["grp", "band"])
+    each = banded.join(others, ["grp", "band"], "left")
+    own = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(unit(F.col("band"), F.pmod(F.xxhash64("set_id"), F.col("parts"))))
+    each = each.withColumn("own", own).withColumn("other", F.explode(F.coalesce("units", F.array(F.lit(0).cast("long")))))
+    return each.select(
+        "set_id", "key", "grp", "copies", (F.col("own") > F.col("other")).cast("int").alias("side"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+
+
 def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every row.
 
@@ -320,19 +345,11 @@ def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     # a root is its own member
     roots = candidates.select(F.col("root").alias("node"), "root").distinct()
     member = candidates.unionByName(roots).select(F.col("node").alias("set_id"), F.col("root").alias("grp"))
-    member = stored(member.join(each, "set_id").select("set_id", "grp", "copies", "n"))
-    large = (
-        member.groupBy("grp").agg(F.sum("n").alias("total")).filter(F.col("total") > BLOCK)
-        .select("grp", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
-    )
-    placed = (
-        member.join(large, "grp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("side", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("set_id", "grp", "copies", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    )
-    sets = _sets(docs, words, member).groupBy("set_id").agg(F.first("hashes").alias("hashes"))
-    found = stored(_products(placed.join(sets, "set_id")))
+    member = stored(member.join(each, "set_id").select("set_id", F.xxhash64("first_id").alias("key"), "grp", "copies", "n"))
+    placed = _placed(member)
+    if member.count() <= SMALL:
+        placed = F.broadcast(placed)
+    found = stored(_products(_sets(docs, words, member).join(placed, ["set_id", "key"])))
     joined = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("set_id").agg(F.sum("linked").alias("linked"))
     near = (
