@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from lexmill.functions import bylines, classify, issues, numerals
 from lexmill.functions import text as tx
 from lexmill.operators import documents, gaps, lookups, matching, sequences
-from lexmill.sources import xml_nodes
 from lexmill.session import register_tables, run_sql, table
+from lexmill.sources import xml_nodes
+from lexmill.streaming import gap_stream
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -488,3 +490,25 @@ def render_markdown(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
     nodes = xml_nodes.shred(pages, "id", "html", html=True).filter(~F.col("tag").isin("script", "style"))
     return documents.render_articles(nodes, gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
+
+
+# -- streams ------------------------------------------------------------------------------
+
+
+@query("SELECT event_type, count(DISTINCT user_id)::BIGINT AS n FROM events GROUP BY event_type")
+def stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Users per type of event, counted by a stream that reads what is there and ends."""
+    rows = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    name = f"stream_counts_{uuid.uuid4().hex}"
+    gap_stream.start(gap_stream.distinct_counts(rows, "event_type", "user_id"), name, gap_stream.checkpoint_folder(spark)).awaitTermination()
+    return spark.table(name)
+
+
+_FIXTURE = [('<d xmlns:cb="urn:x"><cb:div><cb:mulu level="2">一緒言</cb:mulu><p>前<note place="inline">注</note>後</p></cb:div></d>',), ("<bad><x></bad>",), (None,)]
+
+
+@query("SELECT * FROM (VALUES ('0', 0, -1, 'd', ''), ('0', 1, 0, 'div', ''), ('0', 2, 1, 'mulu', ''), ('0', 3, 1, 'p', ''), ('0', 4, 3, 'note', '後')) x(doc_id, node_id, parent_id, tag, tail)")
+def shred_xml_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of a document with mixed content; malformed ones have none."""
+    rows = _rows(spark, "id string, content string", [(str(i), t[0]) for i, t in enumerate(_FIXTURE)])
+    return xml_nodes.shred(rows, "id").select("doc_id", "node_id", "parent_id", "tag", "tail")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,3 +42,14 @@ def start(counts: DataFrame, name: str, checkpoint: str, every_batch=None) -> St
     return writer.foreachBatch(every_batch).start() if every_batch else writer.format("memory").queryName(name).start()
 
 
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """A new folder for a stream's state, below spark.checkpoint.dir; a temporary one only where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexmill-stream-")
+    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def distinct_counts(rows: DataFrame, by: str, distinct: str) -> DataFrame:
+    """n of distinct values per group, for batches and streams."""
+    return rows.select(by, distinct).dropDuplicates().groupBy(by).agg(F.count(F.lit(1)).alias("n"))
