@@ -161,7 +161,7 @@ _kept: dict[tuple, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file; its memo lives as long as the worker."""
     if path not in _kept:
-        _kept[path] = Encoder(path, 3 * MEMO)
+        _kept[path] = Encoder(path, 3 * MEMO // 2)
     return _kept[path]
 
 
