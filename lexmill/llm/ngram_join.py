@@ -37,6 +37,8 @@ FILTER_BITS = 1 << 26
 BLOCK = 1_000_000
 #: Up to so many sets that can meet others are sent to all executors, 40 MB at most; more are joined by a shuffle.
 SMALL = 500_000
+#: Salts of a large group's sets.
+SALTS = 32
 #: Set ids that a task remembers to send copies once.
 SEEN = 1_000_000
 
@@ -81,14 +83,17 @@ def _named(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _frequency_classes(pages: DataFrame) -> np.ndarray:
-    """Twice the binary logarithm of each bucket's count, one byte a bucket: always 2**BUCKET_BITS bytes."""
+    """Eight times the binary logarithm of each bucket's count, one byte a bucket: always 2**BUCKET_BITS bytes.
+
+    Buckets hold many rare columns each; steps of 9 % still tell those that hold a shared one as well.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for page, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 total[page] = total.get(page, 0) + np.frombuffer(zlib.decompress(data), np.uint16).astype(np.float32)
-        cls = {k: zlib.compress(np.floor(2 * np.log2(np.maximum(v, 1))).astype(np.uint8).tobytes(), 1) for k, v in total.items()}
+        cls = {k: zlib.compress(np.minimum(np.floor(8 * np.log2(np.maximum(v, 1))), 255).astype(np.uint8).tobytes(), 1) for k, v in total.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(cls), pa.int32()), pa.array(list(cls.values()), pa.binary())], ["page", "cls"])
 
     out = np.zeros(1 << BUCKET_BITS, np.uint8)
@@ -100,7 +105,7 @@ def _frequency_classes(pages: DataFrame) -> np.ndarray:
 def column_order(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Keys by which columns ascend: rare buckets first, then a hash of the column."""
     cls = classes[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
-    return (cls << np.uint64(57)) | (mix(hashes) >> np.uint64(7))
+    return (cls << np.uint64(56)) | (mix(hashes) >> np.uint64(8))
 
 
 def _prefixes(docs: DataFrame, words: int, classes: np.ndarray) -> DataFrame:
@@ -316,7 +321,9 @@ def _placed(member: DataFrame) -> DataFrame:
     units = parts.select("grp", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     near = units.select("grp", unit(F.col("band"), F.col("part")).alias("unit"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     others = parts.join(near.groupBy("grp", "band").agg(F.collect_list("unit").alias("units")), ["grp", "band"])
-    each = banded.join(others, ["grp", "band"], "left")
+    # a large group's sets are dealt over salts when they meet its few bands
+    others = others.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = banded.withColumn("salt", F.pmod(F.hash("set_id"), F.lit(SALTS))).join(others, ["grp", "band", "salt"], "left")
     own = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(unit(F.col("band"), F.pmod(F.xxhash64("set_id"), F.col("parts"))))
     each = each.withColumn("own", own).withColumn("other", F.explode(F.coalesce("units", F.array(F.lit(0).cast("long")))))
     return each.select(
@@ -324,18 +331,8 @@ def _placed(member: DataFrame) -> DataFrame:
     )
 
 
-def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every row.
-
-    Two rows link if 100 * |intersection| >= 75 * |union| of their sets of distinct
-    ``words``-word shingles (fewer words: the whole sequence; none: no links).
-    component_id is the least doc_id reachable by links, itself included; n_links counts
-    the other rows linked directly. Equal sets, repeated rows too, link. Null doc_ids take
-    part; a component of null ids alone is null. An empty table gives an empty table.
-
-    Texts are read three times and never moved: names and counts, the first columns, and the
-    sets of rows that can meet some other.
-    """
+def _joined(docs: DataFrame, words: int) -> DataFrame:
+    """ngram_join() with set_id (0 without words) and keeps: whether the row stands for its component."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     named = stored(_named(docs, words))
     classes = _frequency_classes(named.filter("page is not null").select("page", "counts"))
@@ -356,24 +353,60 @@ def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
         each.join(joined.select(F.col("node").alias("set_id"), "root"), "set_id", "left").join(linked, "set_id", "left")
         .select("set_id", "first_id", "copies", F.coalesce("root", "set_id").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked"))
     )
-    least = near.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_set = stored(near.join(least, "root").select("set_id", "component_id", (F.col("linked") + F.col("copies") - 1).alias("n_links")))
+    by_id = F.struct(F.col("first_id").isNull(), "first_id", "set_id")
+    least = near.groupBy("root").agg(F.min("first_id").alias("component_id"), F.min_by("set_id", by_id).alias("keeper"))
+    of_set = near.join(least, "root").select(
+        "set_id", "first_id", "component_id", (F.col("set_id") == F.col("keeper")).alias("keeps"), (F.col("linked") + F.col("copies") - 1).alias("n_links")
+    )
     return (
-        rows.join(of_set, "set_id", "left")
+        rows.join(stored(of_set), "set_id", "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"),
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).cast(id_type).alias("component_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            "set_id", (F.col("keeps") & F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("keeps"),
         )
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's least, columns unchanged; of rows with one id and text, one."""
-    columns = docs.columns
-    kept = ngram_join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    met = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
-    return met.select(*columns).dropDuplicates(["doc_id"])
+def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row.
+
+    Two rows link if 100 * |intersection| >= 75 * |union| of their sets of distinct
+    ``words``-word shingles (fewer words: the whole sequence; none: no links).
+    component_id is the least doc_id reachable by links, itself included; n_links counts
+    the other rows linked directly. Equal sets, repeated rows too, link. Null doc_ids take
+    part; a component of null ids alone is null. An empty table gives an empty table.
+
+    Texts are read three times and never moved: names and counts, the first columns, and the
+    sets of rows that can meet some other.
+    """
+    return _joined(docs, words).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _with_set_ids(docs: DataFrame, words: int) -> DataFrame:
+    """Every row of ``docs``, all columns kept, with the name of its set as __set."""
+    at = docs.columns.index("text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __set long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [set_ids(*shingle_sets(texts, words)) for _, texts in batches_of(b.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *ids]))], [*b.schema.names, "__set"])
+
+    return docs.mapInArrow(run, schema)
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row of each group of near copies, the one of least doc_id; rows without words all stay. Columns unchanged.
+
+    Rows with one doc_id but dissimilar texts, and rows with null ids, are told apart by their sets.
+    """
+    kept = _joined(docs, words).filter("keeps").select(F.col("doc_id").alias("__id"), F.col("set_id").alias("__s")).distinct()
+    named = _with_set_ids(docs, words)
+    met = named.filter("__set <> 0").join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__set") == F.col("__s")), "left_semi")
+    once = met.dropDuplicates(["doc_id", "__set"])
+    return once.unionByName(named.filter("__set = 0")).select(*docs.columns)
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -78,7 +78,12 @@ def test_ngram_join(docs, none, monkeypatch, block):
     assert sorted(map(tuple, ngram_join.op2(docs).collect()), key=key) == sorted(want, key=key)
     if block > 40:
         assert ngram_join.op2(none).collect() == []
-        assert sorted(r.doc_id for r in ngram_join.one_of_each(docs).filter("doc_id is not null").collect()) == [1, 4, 5, 6, 7, 9, 12, 13, 14]
+        kept = ngram_join.one_of_each(docs)
+        assert sorted(r.doc_id for r in kept.filter("doc_id is not null").collect()) == [1, 4, 5, 6, 7, 9, 12, 13, 14]
+        assert [r.text for r in kept.filter("doc_id is null").collect()] == [None] and kept.columns == docs.columns
+        twice = docs.select("doc_id", "text").union(docs.limit(1).selectExpr("1L", "'quite another text of more than five words'"))
+        twice = twice.union(docs.limit(2).selectExpr("cast(null as long)", "'words that no other row has at all'"))
+        assert sorted((r.doc_id or 0, r.text[:5]) for r in ngram_join.one_of_each(twice).filter("text > '' and (doc_id = 1 or doc_id is null)").collect()) == [(0, "words"), (1, "One t"), (1, "quite")]
 
 
 def test_meeting_finds_every_similar_pair():
