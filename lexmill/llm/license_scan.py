@@ -1,9 +1,10 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates.
 
 A multinomial logistic regression over sparse word 1- and 2-grams tells licence families
-and an unknown class apart. It is fitted here on notices made from phrases and names;
-its temperature is calibrated on notices it has not seen. A prediction stands if its
-probability is high enough and the paragraph holds most words of one of the family's templates.
+and an unknown class apart. It is fitted here on notices made from phrases and names and on
+the licences' own paragraphs; its temperature is calibrated on rows it has not seen. A prediction
+stands if its probability is high enough and the paragraph holds most words of one of the
+family's templates: its names and its own paragraphs.
 Scoring is DataFrame operations only.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import itertools
 import json
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -19,8 +21,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.license_texts import TEXTS
+
 UNKNOWN = "unknown"
-#: Names of each family; they are its templates as well.
+#: Names of each family; they are its templates as well, as are its TEXTS.
 NAMES = {
     "mit": ["MIT License", "MIT licence", "Expat License"],
     "apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0 license", "Apache Software License"],
@@ -29,6 +33,9 @@ NAMES = {
     "agpl": ["GNU Affero General Public License", "AGPL-3.0 license"],
     "bsd": ["BSD License", "3-Clause BSD License", "2-Clause BSD License", "BSD-3-Clause license"],
     "mpl": ["Mozilla Public License, version 2.0", "Mozilla Public License", "MPL-2.0 license"],
+    "isc": ["ISC License", "ISC licence"],
+    "epl": ["Eclipse Public License, version 2.0", "Eclipse Public License", "EPL-2.0 license"],
+    "unlicense": ["The Unlicense", "Unlicense license"],
     "cc-by": ["CC BY 4.0", "CC BY 3.0", "Creative Commons Attribution 4.0"],
     "cc-by-sa": ["CC BY-SA 4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 4.0"],
     "cc-by-nc": ["CC BY-NC 4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial 4.0"],
@@ -49,10 +56,12 @@ OTHERS = [
     "The school has clear rules on permission and licence to leave.", "License to operate a radio station was refused.", "The mozilla foundation met in public.", "A commons is land for the creative use of all.",
 ]
 #: Paragraphs without any of these hold no feature that speaks for a family and are not looked at.
-GATE = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl"
+GATE = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl|unencumbered|free to copy"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Probability and share of a template's words that let a prediction stand.
 CONFIDENT, SIMILAR = 0.5, 0.8
+#: The licences' paragraphs teach in pieces of so many words, each begun halfway through the one before.
+PIECE = 12
 STEPS, RATE, RIDGE = 250, 2.0, 1e-3
 
 
@@ -80,9 +89,20 @@ class Model:
         return e / e.sum()
 
 
+def pieces_of(text: str) -> list[str]:
+    """Runs of PIECE words, the last one shorter."""
+    w = words_of(text)
+    return [" ".join(w[i : i + PIECE]) for i in range(0, max(1, len(w) - PIECE // 2), PIECE // 2)]
+
+
 def notices() -> list[tuple[str, str]]:
-    """(paragraph, family) to learn from: every name in every frame, and what grants no licence."""
+    """(paragraph, family) to learn from: every name in every frame, pieces of the licences' own texts, and what grants no licence."""
     made = [(frame.format(name), family) for family, names in NAMES.items() for name in names for frame in FRAMES]
+    pieces = [(p, family) for family, texts in TEXTS.items() for t in texts for p in pieces_of(t)]
+    shared = {p for p, n in Counter(p for p, _ in {*pieces}).items() if n > 1}  # tell no family
+    made += [x for x in pieces if x[0] not in shared]
+    # twice each, so that one of both teaches
+    made += [(t, family) for family, texts in TEXTS.items() for t in texts for _ in range(2)]
     return made + [(f"{a}{b}", UNKNOWN) for a in OTHERS for b in ("", " " + OTHERS[0], " It is so.")]
 
 
@@ -134,7 +154,7 @@ def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
     k = len(model.families)
     # as many rows as the model has features, a few thousand
     weights = _table(spark, [{"f": f, "w": list(w)} for f, w in model.weights.items()], "f:string,w:array<double>")
-    templates = _table(spark, [{"family": f, "words": sorted(set(words_of(n)))} for f, names in NAMES.items() for n in names], "family:string,words:array<string>")
+    templates = _table(spark, [{"family": f, "words": sorted(set(words_of(n)))} for f in NAMES for n in NAMES[f] + TEXTS[f]], "family:string,words:array<string>")
     lines = (
         docs.filter(F.col("text").rlike(GATE))
         .select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n", -1)).alias("position", "line"))

@@ -314,6 +314,16 @@ def test_license_scan(spark, docs, none):
     assert len(license_scan.op6(docs).collect()) == len(ROWS) and license_scan.op6(none).collect() == []
 
 
+def test_license_texts_without_names(spark):
+    """A licence's own paragraph on one line is told by its text, each family's."""
+    texts = [(f, t) for f, ts in license_scan.TEXTS.items() for t in ts]
+    d = spark.createDataFrame([(i, f"Some words.\n{t}\nMore.") for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.licence, r.position) for r in license_scan.op6(d).collect()}
+    assert [got[i] for i in range(len(texts))] == [(f, 1) for f, _ in texts] and {"isc", "epl", "unlicense"} <= {f for f, _ in texts}
+    other = "Permission is hereby granted, free of charge, to any visitor holding a ticket for the museum."
+    assert license_scan.op6(spark.createDataFrame([(1, other)], "doc_id long, text string")).first().licence == "unknown"
+
+
 def test_shingles_match_brute_force():
     h, n = shingles.shingle_sets([(t or "").encode() for _, t, _ in ROWS])
     sets = brute_sets()
