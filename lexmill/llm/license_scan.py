@@ -42,6 +42,11 @@ NAMES = {
     "cc0": ["CC0 1.0 public domain dedication", "Creative Commons Zero"],
     "proprietary": ["All rights reserved"],
 }
+#: Short names that stand in notices without the word licence, or alone; those of one word are confirmed by "under" or if nothing else is in the paragraph.
+SHORT = {
+    "mit": ["MIT"], "apache": ["Apache-2.0", "Apache 2.0"], "gpl": ["GPL", "GPLv2", "GPLv3", "GPL-2.0", "GPL-3.0"], "lgpl": ["LGPL", "LGPLv3", "LGPL-2.1", "LGPL-3.0"], "agpl": ["AGPL", "AGPLv3", "AGPL-3.0"],
+    "bsd": ["BSD", "BSD-2-Clause", "BSD-3-Clause"], "mpl": ["MPL", "MPL-2.0"], "isc": ["ISC"], "epl": ["EPL", "EPL-1.0", "EPL-2.0"], "unlicense": ["Unlicense"], "cc0": ["CC0", "CC0-1.0"],
+}
 FRAMES = [
     "Released under the {}.", "Licensed under {}.", "Licensed under the {}.", "This work is licensed under the {}.", "This work is licensed under a {} license.",
     "Distributed under the terms of the {}.", "This program is free software, available under the {}.", "SPDX-License-Identifier: {}", "Copyright holders grant use under the {}.",
@@ -54,14 +59,20 @@ OTHERS = [
     "The permission slip must be signed by a parent.", "The bar got its liquor license renewed.", "He was asked for his license and registration.", "Copyright disputes take years to settle.",
     "Donations are redistributed to local groups.", "The license plate was hard to read.", "Apache helicopters flew over the town.", "The general public was invited to the library.",
     "The school has clear rules on permission and licence to leave.", "License to operate a radio station was refused.", "The mozilla foundation met in public.", "A commons is land for the creative use of all.",
+    "Er kam mit dem Zug nach Hause.", "Sie sprach mit ihm unter vier Augen.", "She studied at MIT under a famous professor.",
 ]
-#: Paragraphs without any of these hold no feature that speaks for a family and are not looked at.
-GATE = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl|unencumbered|free to copy"
+#: Words that speak of licences.
+SPEAKS = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl|unencumbered|free to copy"
+#: What has none of these either has no template's words and is not looked at. "mit" alone is a common word of German.
+GATE = SPEAKS + r"|\bapache\b|\bbsd\b|\bmpl\b|\bepl\b|\bisc\b|\bexpat\b|\bmozilla\b|\beclipse\b|under\W+(?:the\W+)?mit\b|(?m:^\W*mit\W*$)"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Probability and share of a template's words that let a prediction stand.
 CONFIDENT, SIMILAR = 0.5, 0.8
 #: The licences' paragraphs teach in pieces of so many words, each begun halfway through the one before.
 PIECE = 12
+#: Words and line ends of the windows that are laid over paragraphs of several lines, half a window apart, and how much longer than a text they may be.
+WINDOWS = (32, 64, 128, 256, 512)
+DILUTED = 8
 STEPS, RATE, RIDGE = 250, 2.0, 1e-3
 
 
@@ -97,7 +108,7 @@ def pieces_of(text: str) -> list[str]:
 
 def notices() -> list[tuple[str, str]]:
     """(paragraph, family) to learn from: every name in every frame, pieces of the licences' own texts, and what grants no licence."""
-    made = [(frame.format(name), family) for family, names in NAMES.items() for name in names for frame in FRAMES]
+    made = [(frame.format(name), family) for names_of in (NAMES, SHORT) for family, names in names_of.items() for name in names for frame in FRAMES]
     pieces = [(p, family) for family, texts in TEXTS.items() for t in texts for p in pieces_of(t)]
     shared = {p for p, n in Counter(p for p, _ in {*pieces}).items() if n > 1}  # tell no family
     made += [x for x in pieces if x[0] not in shared]
@@ -144,42 +155,98 @@ def _words(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
 
 
+def _templates() -> list[dict]:
+    """Word sets by family, with the phrase for names; the words of a text have none."""
+    short = {f: [x for n in SHORT.get(f, []) for x in ([n] if len(words_of(n)) > 1 else [n, f"under {n}", f"under the {n}"])] for f in NAMES}
+    named = [{"family": f, "words": sorted(set(words_of(n))), "phrase": f" {' '.join(words_of(n))} "} for f in NAMES for n in NAMES[f] + short[f]]
+    return named + [{"family": f, "words": sorted(set(words_of(t)))} for f in NAMES for t in TEXTS[f]]
+
+
+def _lines(gated: DataFrame) -> DataFrame:
+    """Single lines that pass the gate, as units -1."""
+    lines = gated.select("doc_id", "tie", F.posexplode(F.split("text", "\n", -1)).alias("position", "line")).filter(F.col("line").rlike(GATE))
+    return lines.select("doc_id", "tie", F.lit(-1).alias("first"), "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
+
+
+def _windows(gated: DataFrame) -> DataFrame:
+    """Windows that pass the gate over runs of lines that are not blank; ``position`` is the line they begin in, units count from 0.
+
+    A notice of n words and line ends lies whole in a window of at most 4 n, or 32, of them.
+    """
+    lines = F.split("text", "\n", -1)
+    split = gated.select("doc_id", "tie", lines.alias("lines"))
+    # lines of marks only, such as those of comments, are blank too
+    blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.get("lines", i).rlike(r"[\p{L}\p{N}]"))
+    split = split.withColumn("blank", blank)
+    ends = F.arrays_zip(F.concat(F.array(F.lit(-1)), "blank").alias("a"), F.concat("blank", F.array(F.size("lines"))).alias("b"))
+    runs = split.select("doc_id", "tie", "lines", F.explode(ends).alias("e")).filter("e.b - e.a > 1")
+    runs = runs.select("doc_id", "tie", (F.col("e.a") + 1).alias("first"), F.concat_ws("\n", F.slice("lines", F.col("e.a") + 2, F.col("e.b") - F.col("e.a") - 1)).alias("run"))
+    marked = runs.filter(F.col("run").rlike(GATE)).select("doc_id", "tie", "first", F.regexp_extract_all(F.lower("run"), F.lit(WORD + r"|\n"), F.lit(0)).alias("words"))
+    marked = marked.filter(F.array_contains("words", "\n") | (F.size("words") > WINDOWS[0]))
+    n = F.size("words")
+
+    def starts(size: int) -> Column:
+        """(begin, size) of the windows; larger ones only over what smaller ones do not hold whole."""
+        at = F.sequence(F.lit(0), F.greatest(n - size // 2 - 1, F.lit(0)), F.lit(size // 2))
+        made = F.transform(at, lambda i: F.struct(i.alias("begin"), F.lit(size).alias("size")))
+        return made if size == WINDOWS[0] else F.when(n > size // 2, made).otherwise(F.slice(made, 1, 0))
+
+    held = lambda w: F.array_remove(F.slice("words", w["begin"] + 1, w["size"]), "\n")
+    kept = F.filter(F.concat(*map(starts, WINDOWS)), lambda w: F.concat_ws(" ", held(w)).rlike(GATE))
+    cut = F.transform(
+        kept, lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words"))
+    )
+    return marked.select("doc_id", "tie", "first", F.posexplode(cut).alias("nr", "w")).select(
+        "doc_id", "tie", "first", F.col("w.position").alias("position"), F.col("nr").alias("unit"), F.lit(False).alias("speaks"), F.col("w.words").alias("words")
+    )
+
+
 def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, tie, position, family, confidence, similarity, stands of every paragraph that speaks of licences.
+    """The judged() units that are single lines."""
+    return judged(docs, model).filter("unit < 0")
+
 
-    Paragraphs are lines. ``tie`` is a hash of the text, for rows of equal doc_id.
+def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id, tie, position, unit, speaks, family, confidence, similarity, stands of every line and window that passes the gate.
+
+    ``tie`` is a hash of the text, for rows of equal doc_id. In a window a name must stand
+    as a phrase, since its words alone may come from anywhere.
     """
     model = model or trained()
     spark = docs.sparkSession
     k = len(model.families)
     # as many rows as the model has features, a few thousand
     weights = _table(spark, [{"f": f, "w": list(w)} for f, w in model.weights.items()], "f:string,w:array<double>")
-    templates = _table(spark, [{"family": f, "words": sorted(set(words_of(n)))} for f in NAMES for n in NAMES[f] + TEXTS[f]], "family:string,words:array<string>")
-    lines = (
-        docs.filter(F.col("text").rlike(GATE))
-        .select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n", -1)).alias("position", "line"))
-        .filter(F.col("line").rlike(GATE))
-        .select("doc_id", "tie", "position", _words(F.col("line")).alias("words"))
-    )
+    templates = _table(spark, _templates(), "family:string,words:array<string>,phrase:string")
+    gated = docs.filter(F.col("text").rlike(GATE)).select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    lines = _lines(gated).unionByName(_windows(gated))
     pairs = F.when(F.size("words") < 2, F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
     )
-    key = ["doc_id", "tie", "position"]
+    key = ["doc_id", "tie", "first", "position", "unit"]
     scored = (
         lines.withColumn("f", F.explode_outer(F.array_distinct(F.concat("words", pairs))))
         .join(F.broadcast(weights), "f", "left")
         .groupBy(*key)
-        .agg(F.first("words").alias("words"), *(F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"z{i}") for i in range(k)))
+        .agg(F.first("words").alias("words"), F.first("speaks").alias("speaks"), *(F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"z{i}") for i in range(k)))
         .withColumn("z", F.array(*(F.col(f"z{i}") + F.lit(model.bias[i]) for i in range(k))))
     )
     best = F.array_max("z")
     share = 1 / F.aggregate("z", F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
     family = F.element_at(F.array(*map(F.lit, model.families)), F.array_position("z", best).cast("int"))
-    told = scored.select(*key, "words", family.alias("family"), share.alias("confidence"))
-    t = templates.groupBy(F.col("family")).agg(F.collect_list("words").alias("templates"))
-    met = told.join(F.broadcast(t), "family", "left")
-    similar = F.coalesce(F.array_max(F.transform("templates", lambda x: F.size(F.array_intersect(x, F.col("words"))) / F.size(x))), F.lit(0.0))
-    return met.select(*key, "family", "confidence", similar.alias("similarity")).withColumn(
+    told = scored.select(*key, "speaks", "words", family.alias("family"), share.alias("confidence"))
+    t = templates.groupBy(F.col("family")).agg(F.collect_list(F.struct("words", "phrase")).alias("templates"))
+    met = told.join(F.broadcast(t), "family", "left").withColumn("distinct", F.array_distinct("words")).withColumn("whole", F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" ")))
+
+    def share_of(x: Column) -> Column:
+        n, most = F.size(x["words"]), F.size("distinct")
+        held = F.size(F.array_intersect(x["words"], F.col("distinct")))
+        of_line = held / F.when(n == 1, F.greatest(n, most)).otherwise(n)
+        of_window = F.when(x["phrase"].isNotNull(), F.when((n > 1) & F.col("whole").contains(x["phrase"]), 1.0)).when(F.size("words") <= DILUTED * n + WINDOWS[0], held / n)
+        return F.when(F.col("unit") < 0, of_line).otherwise(F.coalesce(of_window, F.lit(0.0)))
+
+    similar = F.coalesce(F.array_max(F.transform("templates", share_of)), F.lit(0.0))
+    return met.select(*key, "speaks", "family", "confidence", similar.alias("similarity")).withColumn(
         "stands", (F.col("family") != UNKNOWN) & (F.col("confidence") >= CONFIDENT) & (F.col("similarity") >= SIMILAR)
     )
 
@@ -187,15 +254,24 @@ def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, n_candidates, licence, confidence, similarity, position of every row.
 
-    licence: the family of the most probable paragraph that stands (the first of equals);
-    ``unknown`` if paragraphs speak of licences but none stands; null if none speaks of any.
+    licence: the family of the most probable paragraph that stands (the first of equals; proprietary
+    only if no other does); ``unknown`` if lines speak of licences but none stands; null if none
+    speaks of any. Candidates are such lines, and notices that only several lines together make.
     Null text has no paragraphs. Rows of equal doc_id are judged by their own texts; null
     doc_ids too. An empty table gives an empty table.
     """
-    found = paragraphs(docs)
-    best = F.max_by(F.struct("family", "confidence", "similarity", "position"), F.struct("stands", "confidence", (-F.col("position")).alias("p")))
+    line, best = F.col("unit") < 0, F.struct("family", "confidence", "similarity", "position")
+    first = F.struct("stands", "confidence", (-F.col("position")).alias("p"))
+    found = judged(docs).filter("stands or speaks").groupBy("doc_id", "tie", "family").agg(
+        F.count_if(line).alias("lines"), F.max(F.col("stands") & line).alias("by_line"), F.max("stands").alias("stands"),
+        F.max_by(best, F.when(line, first)).alias("line"), F.max_by(best, F.when(~line, first)).alias("window"),
+    )
+    # windows hold lines too: they tell of families that no line stands for
+    found = found.withColumn("best", F.when(F.col("stands") & ~F.col("by_line"), F.col("window")).otherwise(F.col("line")))
+    others = F.col("family") != "proprietary"  # all rights are reserved in the head of many a licence
     by_text = found.groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.max("stands").alias("any"), best.alias("best")
+        F.sum(F.col("lines") + (F.col("stands") & ~F.col("by_line")).cast("long")).alias("n_candidates"), F.max("stands").alias("any"),
+        F.max_by("best", F.struct("stands", others.alias("o"), F.col("best.confidence").alias("c"), (-F.col("best.position")).alias("p"))).alias("best"),
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n"), F.col("text").isNull().alias("none"))
     met = rows.join(by_text, rows["doc_id"].eqNullSafe(by_text["__id"]) & (rows["tie"] == by_text["__tie"]), "left")

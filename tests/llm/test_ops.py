@@ -324,6 +324,26 @@ def test_license_texts_without_names(spark):
     assert license_scan.op6(spark.createDataFrame([(1, other)], "doc_id long, text string")).first().licence == "unknown"
 
 
+def test_license_notices_over_lines_and_short(spark):
+    """Wrapped notices, bare names, notices deep in one long line; prose with the same words tells nothing."""
+    body = license_scan.TEXTS["mit"][0].split()
+    warranty = license_scan.TEXTS["bsd"][5].split()
+    prose = " ".join(f"the river ran by the library and word{i} went with it" for i in range(60))
+    wrap = lambda w, n, mark="": "\n".join(mark + " ".join(w[i : i + n]) for i in range(0, len(w), n))
+    cases = [
+        ("This is free text under the GNU General\nPublic License version 3.", "gpl"), ("Released under MIT.", "mit"), ("Apache-2.0", "apache"), ("x\n\nBSD-3-Clause\n", "bsd"), ("MIT", "mit"),
+        (f"int x;\n{wrap(body, 9, '// ')}\nint y;", "mit"), (wrap(body, 1), "mit"), (f"{prose}\n{wrap(warranty, 1)}\n{prose}", "bsd"), (f"{prose} {' '.join(body)} {prose}", "mit"),
+        ("Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + wrap(license_scan.TEXTS["bsd"][0].split(), 5), "bsd"), (f"{prose}\nThis is under the GNU General\nPublic License version 3.\n{prose}", "gpl"),
+        ("Er kam mit dem Zug.", None), ("Apache helicopters flew.\nThe eclipse began.", None), ("GNU General\n\nPublic License", "unknown"),
+    ]
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.op6(d).collect()}
+    assert [got[i].licence for i in range(len(cases))] == [f for _, f in cases]
+    assert got[0].n_candidates == 3 and got[3].position == 2 and got[5].position <= 1
+    assert all(re.search(license_scan.GATE, t) for names in (license_scan.NAMES, license_scan.TEXTS) for ts in names.values() for t in ts)
+    assert max(2 * len(license_scan.words_of(t)) for ts in license_scan.TEXTS.values() for t in ts) <= license_scan.WINDOWS[-1] // 2
+
+
 def test_shingles_match_brute_force():
     h, n = shingles.shingle_sets([(t or "").encode() for _, t, _ in ROWS])
     sets = brute_sets()
