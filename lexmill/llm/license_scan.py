@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.common import stored
 from lexmill.llm.license_texts import TEXTS
 
 UNKNOWN = "unknown"
@@ -165,7 +166,7 @@ def _templates() -> list[dict]:
 def _lines(gated: DataFrame) -> DataFrame:
     """Single lines that pass the gate, as units -1."""
     lines = gated.select("doc_id", "tie", F.posexplode(F.split("text", "\n", -1)).alias("position", "line")).filter(F.col("line").rlike(GATE))
-    return lines.select("doc_id", "tie", F.lit(-1).alias("first"), "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
+    return lines.select("doc_id", "tie", "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
 
 
 def _windows(gated: DataFrame) -> DataFrame:
@@ -182,7 +183,6 @@ def _windows(gated: DataFrame) -> DataFrame:
     runs = split.select("doc_id", "tie", "lines", F.explode(ends).alias("e")).filter("e.b - e.a > 1")
     runs = runs.select("doc_id", "tie", (F.col("e.a") + 1).alias("first"), F.concat_ws("\n", F.slice("lines", F.col("e.a") + 2, F.col("e.b") - F.col("e.a") - 1)).alias("run"))
     marked = runs.filter(F.col("run").rlike(GATE)).select("doc_id", "tie", "first", F.regexp_extract_all(F.lower("run"), F.lit(WORD + r"|\n"), F.lit(0)).alias("words"))
-    marked = marked.filter(F.array_contains("words", "\n") | (F.size("words") > WINDOWS[0]))
     n = F.size("words")
 
     def starts(size: int) -> Column:
@@ -197,7 +197,7 @@ def _windows(gated: DataFrame) -> DataFrame:
         kept, lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words"))
     )
     return marked.select("doc_id", "tie", "first", F.posexplode(cut).alias("nr", "w")).select(
-        "doc_id", "tie", "first", F.col("w.position").alias("position"), F.col("nr").alias("unit"), F.lit(False).alias("speaks"), F.col("w.words").alias("words")
+        "doc_id", "tie", F.col("w.position").alias("position"), F.col("nr").alias("unit"), F.lit(False).alias("speaks"), F.col("w.words").alias("words")
     )
 
 
@@ -210,7 +210,8 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, tie, position, unit, speaks, family, confidence, similarity, stands of every line and window that passes the gate.
 
     ``tie`` is a hash of the text, for rows of equal doc_id. In a window a name must stand
-    as a phrase, since its words alone may come from anywhere.
+    as a phrase, since its words alone may come from anywhere; every family so named is a row,
+    if it is likelier than unknown. Texts confirm the most probable family only.
     """
     model = model or trained()
     spark = docs.sparkSession
@@ -219,22 +220,28 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     weights = _table(spark, [{"f": f, "w": list(w)} for f, w in model.weights.items()], "f:string,w:array<double>")
     templates = _table(spark, _templates(), "family:string,words:array<string>,phrase:string")
     gated = docs.filter(F.col("text").rlike(GATE)).select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    lines = _lines(gated).unionByName(_windows(gated))
+    # stored, so that units have lasting ids; their words stay out of the sums' rows
+    units = stored(_lines(gated).unionByName(_windows(gated)).withColumn("id", F.monotonically_increasing_id()))
     pairs = F.when(F.size("words") < 2, F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
     )
-    key = ["doc_id", "tie", "first", "position", "unit"]
-    scored = (
-        lines.withColumn("f", F.explode_outer(F.array_distinct(F.concat("words", pairs))))
-        .join(F.broadcast(weights), "f", "left")
-        .groupBy(*key)
-        .agg(F.first("words").alias("words"), F.first("speaks").alias("speaks"), *(F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"z{i}") for i in range(k)))
-        .withColumn("z", F.array(*(F.col(f"z{i}") + F.lit(model.bias[i]) for i in range(k))))
+    key = ["doc_id", "tie", "position", "unit"]
+    sums = (
+        units.select("id", F.explode(F.array_distinct(F.concat("words", pairs))).alias("f"))
+        .join(F.broadcast(weights), "f")
+        .groupBy("id")
+        .agg(*(F.sum(F.get("w", F.lit(i))).alias(f"z{i}") for i in range(k)))
     )
+    scored = units.join(sums, "id", "left").withColumn("z", F.array(*(F.coalesce(f"z{i}", F.lit(0.0)) + F.lit(model.bias[i]) for i in range(k))))
     best = F.array_max("z")
     share = 1 / F.aggregate("z", F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
     family = F.element_at(F.array(*map(F.lit, model.families)), F.array_position("z", best).cast("int"))
-    told = scored.select(*key, "speaks", "words", family.alias("family"), share.alias("confidence"))
+    # a window may name several families: each is also weighed against unknown alone
+    none = F.element_at("z", model.families.index(UNKNOWN) + 1)
+    each = [F.struct(F.lit(f).alias("family"), (1 / (1 + F.exp(none - F.element_at("z", i + 1)))).alias("confidence"), F.lit(False).alias("top")) for i, f in enumerate(model.families) if f != UNKNOWN]
+    top = F.struct(family.alias("family"), share.alias("confidence"), F.lit(True).alias("top"))
+    said = F.when(F.col("unit") < 0, F.array(top)).otherwise(F.concat(F.array(top), F.filter(F.array(*each), lambda x: (x["confidence"] >= CONFIDENT) & (x["family"] != family))))
+    told = scored.select(*key, "speaks", "words", F.explode(said).alias("said")).select(*key, "speaks", "words", "said.*")
     t = templates.groupBy(F.col("family")).agg(F.collect_list(F.struct("words", "phrase")).alias("templates"))
     met = told.join(F.broadcast(t), "family", "left").withColumn("distinct", F.array_distinct("words")).withColumn("whole", F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" ")))
 
@@ -242,7 +249,7 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
         n, most = F.size(x["words"]), F.size("distinct")
         held = F.size(F.array_intersect(x["words"], F.col("distinct")))
         of_line = held / F.when(n == 1, F.greatest(n, most)).otherwise(n)
-        of_window = F.when(x["phrase"].isNotNull(), F.when((n > 1) & F.col("whole").contains(x["phrase"]), 1.0)).when(F.size("words") <= DILUTED * n + WINDOWS[0], held / n)
+        of_window = F.when(x["phrase"].isNotNull(), F.when((n > 1) & F.col("whole").contains(x["phrase"]), 1.0)).when(F.col("top") & (F.size("words") <= DILUTED * n + WINDOWS[0]), held / n)
         return F.when(F.col("unit") < 0, of_line).otherwise(F.coalesce(of_window, F.lit(0.0)))
 
     similar = F.coalesce(F.array_max(F.transform("templates", share_of)), F.lit(0.0))
@@ -252,25 +259,30 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_paragraphs, n_candidates, licence, confidence, similarity, position of every row.
+    """doc_id, n_paragraphs, n_candidates, licence, confidence, similarity, position, licences of every row.
 
     licence: the family of the most probable paragraph that stands (the first of equals; proprietary
     only if no other does); ``unknown`` if lines speak of licences but none stands; null if none
     speaks of any. Candidates are such lines, and notices that only several lines together make.
+    licences: (family, position) of every line that stands, and of the most probable window of
+    a family that no line stands for, in this order; empty if none stands.
     Null text has no paragraphs. Rows of equal doc_id are judged by their own texts; null
     doc_ids too. An empty table gives an empty table.
     """
     line, best = F.col("unit") < 0, F.struct("family", "confidence", "similarity", "position")
     first = F.struct("stands", "confidence", (-F.col("position")).alias("p"))
     found = judged(docs).filter("stands or speaks").groupBy("doc_id", "tie", "family").agg(
-        F.count_if(line).alias("lines"), F.max(F.col("stands") & line).alias("by_line"), F.max("stands").alias("stands"),
+        F.size(F.collect_set(F.when(line, F.col("position")))).alias("lines"), F.max(F.col("stands") & line).alias("by_line"), F.max("stands").alias("stands"),
+        F.collect_set(F.when(F.col("stands") & line, F.struct("family", "position"))).alias("places"),
         F.max_by(best, F.when(line, first)).alias("line"), F.max_by(best, F.when(~line, first)).alias("window"),
     )
     # windows hold lines too: they tell of families that no line stands for
     found = found.withColumn("best", F.when(F.col("stands") & ~F.col("by_line"), F.col("window")).otherwise(F.col("line")))
+    found = found.withColumn("places", F.when(F.col("stands") & ~F.col("by_line"), F.array(F.struct("family", F.col("window.position").alias("position")))).otherwise(F.col("places")))
     others = F.col("family") != "proprietary"  # all rights are reserved in the head of many a licence
     by_text = found.groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(
         F.sum(F.col("lines") + (F.col("stands") & ~F.col("by_line")).cast("long")).alias("n_candidates"), F.max("stands").alias("any"),
+        F.sort_array(F.flatten(F.collect_list("places"))).alias("licences"),
         F.max_by("best", F.struct("stands", others.alias("o"), F.col("best.confidence").alias("c"), (-F.col("best.position")).alias("p"))).alias("best"),
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n"), F.col("text").isNull().alias("none"))
@@ -280,6 +292,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
         "doc_id", F.when(F.col("none"), 0).otherwise(F.col("n")).cast("long").alias("n_paragraphs"), F.coalesce("n_candidates", F.lit(0)).cast("long").alias("n_candidates"),
         F.when(F.col("any"), F.col("best.family")).when(F.col("n_candidates") > 0, F.lit(UNKNOWN)).alias("licence"),
         F.round(only("confidence"), 6).alias("confidence"), F.round(only("similarity"), 6).alias("similarity"), only("position").alias("position"),
+        F.coalesce("licences", F.array().cast("array<struct<family:string,position:int>>")).alias("licences"),
     )
 
 

@@ -344,6 +344,18 @@ def test_license_notices_over_lines_and_short(spark):
     assert max(2 * len(license_scan.words_of(t)) for ts in license_scan.TEXTS.values() for t in ts) <= license_scan.WINDOWS[-1] // 2
 
 
+def test_license_scan_returns_every_family(spark):
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    texts = [f"x\n{mit}\n{apache}\n{mit}", f"{mit}\ncode\nThe text is under Creative Commons\nAttribution 4.0", "The driver lost the license after the accident.", "nothing", None, "All rights reserved.\n" + mit, "Licensed under MIT or Apache-2.0."]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.op6(d).collect()}
+    assert [tuple(x) for x in got[0].licences] == [("apache", 2), ("mit", 1), ("mit", 3)] and got[0].licence in ("apache", "mit")
+    assert [x.family for x in got[1].licences] == ["cc-by", "mit"] and got[1].licences[1].position == 0
+    assert [got[i].licences for i in (2, 3, 4)] == [[], [], []]
+    assert [tuple(x) for x in got[5].licences] == [("mit", 1), ("proprietary", 0)] and got[5].licence == "mit"
+    assert [tuple(x) for x in got[6].licences] == [("apache", 0), ("mit", 0)]
+
+
 def test_shingles_match_brute_force():
     h, n = shingles.shingle_sets([(t or "").encode() for _, t, _ in ROWS])
     sets = brute_sets()
