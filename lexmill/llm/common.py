@@ -47,6 +47,32 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def utf8(column) -> list[bytes]:
+    """UTF-8 texts of an Arrow column of strings; null is empty."""
+    return [x or b"" for x in column.cast("binary").to_pylist()]
+
+
+def released(run: Callable) -> Callable:
+    """A function for mapInArrow that gives its memory back to the system at the end of each task, since workers live on."""
+
+    def tidy(batches):
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return tidy
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body's lambdas read it."""
     return F.transform(F.array(value), body)[0]

@@ -4,35 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 
+from lexmill.llm.spans import P, mix, span_hashes
+
 WORDS = 5
-_B = np.uint64(0x9E3779B97F4A7C15)
-_P = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_powers: list[np.ndarray] = []
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit integers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        inverse = np.uint64(pow(int(_B), -1, 1 << 64))
-        size = max(n, 1 << 20)
-        both = []
-        for base in (_B, inverse):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            both.append(np.multiply.accumulate(steps))
-        _powers[:] = both
-    return _powers[0][:n], _powers[1][:n]
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -49,16 +27,13 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    power, inverse = _power(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
-    word = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _P)
+    word = span_hashes(data, start, end)
     bounds = np.searchsorted(start, np.concatenate([[0], ends]))
     n = len(word)
     if n >= words:
         rolled = word[: n - words + 1].copy()
         for k in range(1, words):
-            rolled = rolled * _P + word[k : n - words + 1 + k]
+            rolled = rolled * P + word[k : n - words + 1 + k]
         rolled = mix(rolled)
     else:
         rolled = np.zeros(0, np.uint64)
@@ -73,7 +48,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
             whole = np.uint64(b - a)
             with np.errstate(over="ignore"):
                 for w in word[a:b]:
-                    whole = whole * _P + w
+                    whole = whole * P + w
             got = mix(np.array([whole ^ np.uint64(0xA5A5A5A5)], np.uint64))
         else:
             got = rolled[:0]

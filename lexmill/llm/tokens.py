@@ -1,9 +1,9 @@
 """Token counts and token ids of whole texts, by the libraries' own vocabularies.
 
-Texts are cut into segments at boundaries where no token can span; each distinct segment
-is encoded once per worker in batches and remembered in a bounded memo, so frequent
-words cost a lookup. Texts with unusual white space go to the library in long pieces
-that end at boundaries which are safe for any text.
+Texts are cut into segments at boundaries where no token can span. Segments are told apart
+by 64-bit hashes; those that a worker's table of fixed size does not hold are encoded in
+batches balanced by bytes, so frequent words cost a lookup. Texts with unusual white space
+go to the library in long pieces that end at boundaries which are safe for any text.
 """
 
 from __future__ import annotations
@@ -13,26 +13,28 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Segments that a worker remembers; beyond it the memo of a counter starts anew, and an
-#: encoder's keeps what was used since its last turn.
-MEMO = 400_000
-#: Characters encoded together; batches are balanced by size, not by rows.
-BATCH_CHARS = 1 << 20
+from lexmill.llm.common import released, utf8
+from lexmill.llm.spans import Memo, span_hashes
+
+#: UTF-8 bytes handled together; batches are balanced by size, not by rows.
+BATCH_BYTES = 1 << 20
 #: Longer texts that go to the library whole are cut into pieces of about so many characters.
 LONG = 1 << 16
 
-#: A boundary before a run of spaces and line feeds, behind any other character.
-_SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: White space of other kinds, in Python's wide sense.
+#: White space of other kinds than space and line feed, in Python's wide sense.
 _ODD_SPACE = re.compile(r"[^\S \n]")
 #: Characters that Python takes for white space but Unicode's White_Space does not, and NEL.
 _ODD_CONTROL = re.compile("[\x1c-\x1f\x85]")
 #: Texts with other characters, or with what may begin a special token, are not lower-cased beforehand.
 _BEYOND_LATIN, _SPECIAL = re.compile("[^\x00-\u012f\u0131-\u024f]"), "<|"
+#: What no plain Latin text holds: the two above, and white space beyond ASCII.
+_UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0]|[^\x00-\u012f\u0131-\u024f]")
 #: A stop between a letter and white space is a token of its own.
 _STOP = re.compile(r"[.,](?<=[a-z\u00df-\u00f6\u00f8-\u00ff][.,])(?=[ \n]|\Z)")
 _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -61,108 +63,156 @@ def long_pieces(text: str, size: int = LONG) -> Iterator[str]:
     yield text[at:]
 
 
-def groups(texts: Iterable[str], size: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """Runs of texts of about ``size`` characters."""
-    run, chars = [], 0
+def groups(texts: Iterable[bytes], size: int = BATCH_BYTES) -> Iterator[list[bytes]]:
+    """Runs of texts of about ``size`` bytes."""
+    run, n = [], 0
     for text in texts:
         run.append(text)
-        chars += len(text)
-        if chars >= size:
+        n += len(text)
+        if n >= size:
             yield run
-            run, chars = [], 0
+            run, n = [], 0
     if run:
         yield run
 
 
-class Counter:
-    """Numbers of tokens of a byte-level BPE whose words begin with at most one space."""
+class Spans:
+    """Ids of spans of bytes by a tokenizer, remembered in a Memo."""
+
+    def __init__(self, path: str, bits: int = 20):
+        self.tok = load(path)
+        self.memo = Memo(np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32, bits)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and of each text where its own begin and how many they are."""
+        got = [x.ids for run in _str_groups(texts) for x in self.tok.encode_batch_fast(run, add_special_tokens=False)]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), self.memo.dtype, int(n.sum())), np.cumsum(n) - n, n
+
+    def _runs(self, data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the spans, and the counts of each."""
+
+        def new(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return self._encode([data[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
 
-    def __init__(self, path: str, memo: int = MEMO):
-        self.tok, self.most, self.memo = load(path), memo, {}
+        return self.memo.runs(span_hashes(np.frombuffer(data, np.uint8), start, end), new)
 
-    def _encode(self, texts: list[str]) -> list[int]:
-        return [len(x.ids) for run in groups(texts) for x in self.tok.encode_batch_fast(run, add_special_tokens=False)]
 
-    def count(self, texts: list[str]) -> list[int]:
-        """Tokens of each text."""
+class Counter(Spans):
+    """Numbers of tokens of a byte-level BPE whose words begin with at most one space."""
+
+    def count(self, texts: list[bytes]) -> list[int]:
+        """Tokens of each UTF-8 text."""
         out: list[int] = []
         for run in groups(texts):
-            cut = [None if _ODD_SPACE.search(x) else _SEGMENT.findall(x) for x in run]
-            new = {s for x in cut if x for s in x} - self.memo.keys()
-            if len(self.memo) + len(new) > self.most:
-                self.memo = {}
-                new = {s for x in cut if x for s in x}
-            new = list(new)
-            self.memo.update(zip(new, self._encode(new), strict=True))
-            seen = self.memo
-            for text, parts in zip(run, cut, strict=True):
-                out.append(sum(self._encode(list(long_pieces(text)))) if parts is None else sum([seen[s] for s in parts]))
+            whole = {i: x.decode() for i, x in enumerate(run) if _has_odd_space(x)}
+            kept = [b"" if i in whole else x for i, x in enumerate(run)]
+            data = b"".join(kept)
+            edges = np.cumsum([0, *map(len, kept)])
+            flat = np.frombuffer(data, np.uint8)
+            space = (flat == 32) | (flat == 10)
+            # a boundary before a run of spaces and line feeds, behind any other character
+            cut = np.flatnonzero(space[1:] & ~space[:-1]) + 1 if len(flat) else np.zeros(0, np.int64)
+            begins = np.zeros(len(flat) + 1, bool)
+            begins[cut] = begins[edges] = True
+            start = np.flatnonzero(begins[:-1])
+            _, n = self._runs(data, start, np.append(start[1:], len(flat)))
+            upto = np.concatenate([[0], np.cumsum(n)])
+            counts = np.diff(upto[np.searchsorted(start, edges)]).tolist()
+            for i, x in whole.items():
+                counts[i] = len(self._encode(list(long_pieces(x)))[0])
+            out += counts
         return out
 
 
-class Encoder:
-    """Ids, as little-endian unsigned 32-bit bytes, of a tokenizer that drops white space and lower-cases each character.
+def _has_odd_space(text: bytes) -> bool:
+    if text.isascii():
+        return bool(_ODD_ASCII.search(text))
+    return bool(_ODD_SPACE.search(text.decode()))
 
-    Latin texts are lower-cased and their stops set apart before words are looked up, which
-    changes no id and leaves fewer words to encode.
-    """
 
-    def __init__(self, path: str, memo: int = MEMO):
-        self.tok, self.most, self.memo, self.old = load(path), memo, {}, {}
+_ODD_ASCII = re.compile(rb"[\t\x0b-\r\x1c-\x1f]")
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
 
-        return [np.asarray(x.ids, "<u4").tobytes() for run in groups(texts) for x in self.tok.encode_batch_fast(run, add_special_tokens=False)]
+def _str_groups(texts: list[str]) -> Iterator[list[str]]:
+    run, n = [], 0
+    for text in texts:
+        run.append(text)
+        n += len(text)
+        if n >= BATCH_BYTES // 2:
+            yield run
+            run, n = [], 0
+    if run:
+        yield run
+
+
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
 
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word; words of letters only are one pre-token each and go through the library together."""
-        import numpy as np
 
-        plain = [w for w in words if w.isalpha()]
-        out = {}
+class Encoder(Spans):
+    """Ids of a tokenizer that drops white space and lower-cases each character.
+
+    Latin texts are lower-cased and their stops set apart before words are looked up, which
+    changes no id and leaves fewer words to encode.
+    """
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As of Spans; words of letters only are one pre-token each and go through the library together."""
+        plain, rest = [], []
+        for i, w in enumerate(texts):
+            (plain if w.isalpha() else rest).append(i)
+        begin, n = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        parts, total = [np.zeros(0, self.memo.dtype)], 0
         for a in range(0, len(plain), 4096):
             run = plain[a : a + 4096]
-            got = self.tok.encode(" ".join(run), add_special_tokens=False)
-            ids, of = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids)
-            edges = [0, *((np.flatnonzero(np.diff(of)) + 1) * 4).tolist(), 4 * len(ids)]
-            if len(edges) == len(run) + 1:
-                data = ids.tobytes()
-                out |= zip(run, (data[x:y] for x, y in itertools.pairwise(edges)), strict=True)
-        rest = [w for w in words if w not in out]
-        return out | dict(zip(rest, self._encode(rest), strict=True))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text."""
+            got = self.tok.encode(" ".join([texts[i] for i in run]), add_special_tokens=False)
+            edges = np.flatnonzero(np.diff(np.asarray(got.word_ids))) + 1
+            if len(edges) != len(run) - 1:
+                rest += run
+                continue
+            ids = np.asarray(got.ids, self.memo.dtype)
+            begin[run] = total + np.concatenate([[0], edges])
+            n[run] = np.diff(edges, prepend=0, append=len(ids))
+            parts.append(ids)
+            total += len(ids)
+        ids, at, counts = super()._encode([texts[i] for i in rest])
+        begin[rest], n[rest] = total + at, counts
+        return np.concatenate([*parts, ids]), begin, n
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each UTF-8 text."""
         for run in groups(texts):
-            cut = [None if _ODD_CONTROL.search(x) else (x if _SPECIAL in x or _BEYOND_LATIN.search(x) else _STOP.sub(r" \g<0>", x.lower())).split() for x in run]
-            seen = self.memo
-            found = [x and list(map(seen.get, x)) for x in cut]
-            gaps = [x and [i for i, y in enumerate(x) if y is None] for x in found]
-            new = {x[i] for x, g in zip(cut, gaps, strict=True) if g for i in g}
-            kept = {s: self.old[s] for s in new if s in self.old}
-            got = kept | self._encode_words([s for s in new if s not in kept])
-            for text, parts, ids, missing in zip(run, cut, found, gaps, strict=True):
-                if parts is None:
-                    yield b"".join(self._encode(list(long_pieces(text))))
-                    continue
-                for i in missing or ():
-                    ids[i] = got[parts[i]]
-                yield b"".join(ids)
-            if len(seen) + len(got) > self.most // 2:
-                self.old, self.memo = seen, got
-            else:
-                seen |= got
-
-
-_kept: dict[tuple, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a file; its memo lives as long as the worker."""
-    if path not in _kept:
-        _kept[path] = Encoder(path, 3 * MEMO // 2)
-    return _kept[path]
+            whole: dict[int, str] = {}
+            kept = []
+            for i, raw in enumerate(run):
+                x = raw.decode()
+                if _UNUSUAL.search(x):
+                    if _ODD_CONTROL.search(x):
+                        whole[i] = x
+                        x = ""
+                    elif _SPECIAL in x or _BEYOND_LATIN.search(x):
+                        x = " ".join(x.split())
+                    else:
+                        x = _STOP.sub(r" \g<0>", " ".join(x.split()).lower())
+                elif _SPECIAL not in x:
+                    x = _STOP.sub(r" \g<0>", x.lower())
+                kept.append(x.encode())
+            data = b" ".join(kept) + b" "
+            space = _WHITE[np.frombuffer(data, np.uint8)]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).view(np.int8)))
+            start, end = edge[0::2], edge[1::2]
+            ids, n = self._runs(data, start, end)
+            upto = np.concatenate([[0], np.cumsum(n)])
+            bounds = upto[np.searchsorted(start, np.cumsum([0, *(len(x) + 1 for x in kept)]))]
+            for i in range(len(run)):
+                yield self._encode(list(long_pieces(whole[i])))[0] if i in whole else ids[bounds[i] : bounds[i + 1]]
+
+
+@lru_cache(maxsize=1)
+def kept(kind: type, path: str) -> Spans:
+    """The worker's last counter or encoder: its table has a fixed size, about 25 MB, and outlives the task."""
+    return kind(path)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -175,17 +225,17 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = kept(Counter, path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+            texts = utf8(batch.column(1))
             tokens = counter.count(texts)
-            sizes = [len(x) if x.isascii() else len(x.encode()) for x in texts]
+            sizes = list(map(len, texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([x > limit for x in tokens], pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
@@ -196,11 +246,11 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end, step = encoder(path), end_id.to_bytes(4, "little"), 4 * capacity
+        ids_of, end, step = kept(Encoder, path), end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
             rows, piece, length, crc = [], [], [], []
-            for i, ids in enumerate(ids_of.encode([x or "" for x in batch.column(1).to_pylist()])):
-                ids += end
+            for i, found in enumerate(ids_of.encode(utf8(batch.column(1)))):
+                ids = found.astype("<u4").tobytes() + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append(i)
@@ -213,7 +263,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
 def op4(docs: DataFrame) -> DataFrame:

@@ -149,9 +149,10 @@ ODD = [
 def test_segments_change_no_token():
     word, byte = tokenizers.path("word_bpe_49k.json"), tokenizers.path("byte_bpe_50k.json")
     w, b = tokens.load(word), tokens.load(byte)
-    ids = [np.frombuffer(x, "<u4").tolist() for x in tokens.Encoder(word, 8).encode(ODD)]
-    assert ids == [w.encode(x, add_special_tokens=False).ids for x in ODD]
-    assert tokens.Counter(byte, 8).count(ODD) == [len(b.encode(x, add_special_tokens=False).ids) for x in ODD]
+    raw = [x.encode() for x in ODD]
+    for bits in (1, 12):  # a table of two places forgets nearly everything
+        assert [x.tolist() for x in tokens.Encoder(word, bits).encode(raw)] == [w.encode(x, add_special_tokens=False).ids for x in ODD]
+        assert tokens.Counter(byte, bits).count(raw) == [len(b.encode(x, add_special_tokens=False).ids) for x in ODD]
     assert "".join(tokens.long_pieces(ODD[-1], 100)) == ODD[-1]
 
 
