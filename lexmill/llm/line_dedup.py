@@ -1,7 +1,7 @@
 """Line dedup: lines that several documents hold stay in one document only.
 
 Lines are exploded, normalised and hashed; documents are counted per hash; lines
-over the threshold go, and what is left is joined again by position.
+over the threshold go, and what is left is put together again by position.
 """
 
 from __future__ import annotations
@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import SPACES, ascii_lower, stored
+from lexmill.llm.common import SPACES, ascii_lower, let, stored
 
-#: A common line's rows are dealt over so many salts; the counted keys are few and are repeated.
-SALTS = 16
+#: A key that stands in more than this part of all rows is joined by broadcast; there are fewer than HOT such keys.
+HOT = 1000
 
 
 def line_key(line: Column) -> Column:
@@ -25,6 +25,41 @@ def _hashes(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit("line"), key).alias("b"))
 
 
+def _lines() -> Column:
+    return F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+
+
+def _reassembled(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """``docs`` with __kept, the lines left, and __gone, the positions of the others (null: none).
+
+    Lines are exploded once with their positions, and their keys travel as 128-bit hashes. A row is
+    its doc_id and a hash of its text; its dropped positions meet it in one join, and the
+    others are put together again in order, in time linear in its lines.
+    """
+    tie = F.xxhash64("text")
+    key = line_key(F.col("line"))
+    held = stored(
+        docs.select("doc_id", tie.alias("t"), F.posexplode(_lines()).alias("pos", "line"))
+        .select("doc_id", "t", "pos", key.alias("key"))
+        .filter(F.length("key") >= min_chars)
+        .select("doc_id", "t", "pos", _hashes(F.col("key")).alias("h"))
+        .select("doc_id", "t", "pos", "h.a", "h.b")
+    )
+    counted = held.select("doc_id", "a", "b").distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keeper"))
+    common = stored(counted.filter(F.col("n") >= min_docs))
+    hot = F.col("n") * HOT > held.count()
+    met = held.join(F.broadcast(common.filter(hot)), ["a", "b"]).unionByName(held.join(common.filter(~hot), ["a", "b"]))
+    gone = (
+        met.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+        .groupBy(F.col("doc_id").alias("__id"), F.col("t").alias("__t"))
+        .agg(F.collect_set("pos").alias("__gone"))
+    )
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (tie == gone["__t"]), "left").drop("__id", "__t")
+    rest = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__gone"))
+    together = let(_lines(), lambda x: F.array_join(F.transform(rest(x), lambda i: F.get(x, i)), "\n"))
+    return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(together))
+
+
 def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """Drop lines whose key is in at least ``min_docs`` documents, except in the smallest doc_id.
 
@@ -34,51 +69,19 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
     Rows with equal doc_id are one document and each comes back; null doc_ids are one
     document that sorts last. All lines of the keeping document stay, repeats too.
     An empty table gives an empty table.
-
-    Shuffled are 128-bit hashes with ids, then each text once to meet its dropped keys.
     """
-    lines = lambda: F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    key = line_key(F.col("line"))
-    held = stored(
-        docs.select(F.col("doc_id"), F.explode(lines()).alias("line"))
-        .select("doc_id", key.alias("key"))
-        .filter(F.length("key") >= min_chars)
-        .select("doc_id", _hashes(F.col("key")).alias("h"))
-        .select("doc_id", "h.a", "h.b")
-        .distinct()
-    )
-    common = (
-        held.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keeper"))
-        .filter(F.col("n") >= min_docs)
-        .select("a", "b", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    salted = held.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
-    goes = (
-        salted.join(common, ["a", "b", "salt"])
-        .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_list(F.struct("a", "b")).alias("__gone"))
-    )
-    joined = docs.join(goes, docs["doc_id"].eqNullSafe(goes["__id"]), "left").drop("__id")
-    kept = F.when(F.col("__gone").isNull(), lines()).otherwise(
-        F.filter(
-            lines(),
-            lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("__gone"), _hashes(line_key(x)))),
-        )
-    )
     return (
-        joined.withColumn("__kept", kept)
-        .withColumn("n_lines", F.size(lines()).cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
-        .withColumn("text", F.array_join("__kept", "\n"))
+        _reassembled(docs, min_chars, min_docs)
+        .withColumn("n_lines", F.size(_lines()).cast("long"))
+        .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
+        .withColumn("text", F.col("__kept"))
         .drop("__kept", "__gone")
     )
 
 
 def without_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with line_dedup() applied, columns unchanged; n_chars, if there, is counted anew."""
-    found = line_dedup(docs)
+    """``docs`` with the text of line_dedup(), all other columns unchanged; n_chars, if there, is counted anew."""
+    found = _reassembled(docs, 10, 2).withColumn("text", F.col("__kept"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)

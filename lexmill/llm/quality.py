@@ -16,29 +16,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Embedding size, bytes in a filter, bytes between windows, filters.
-DIM, WIDTH, STRIDE, FILTERS = 4, 8, 2, 24
+from lexmill.llm.common import released, utf8
+
+#: Embedding size, bytes in a filter, filters. Filters start at every byte.
+DIM, WIDTH, FILTERS = 4, 8, 24
 #: Bytes of half a chunk; a chunk is two neighbouring halves, so chunks overlap by half.
 HALF = 128
-#: The model is fitted on at most so many labelled rows, and at most so many bytes of each,
-#: taken as evenly spread chunks. Scoring reads all of every text.
-TRAIN_ROWS, TRAIN_BYTES = 2000, 8192
+#: The model is fitted on the whole texts of at most so many labelled rows.
+TRAIN_ROWS = 2000
 EPOCHS, BATCH, RATE, SEED = 10, 32, 0.01, 7
-#: Texts are scored in groups of about so many bytes, which bounds memory.
-GROUP_BYTES = 1 << 19
+#: Texts are laid out in groups of about so many bytes, and answered so many at once, which bounds memory.
+GROUP_BYTES = 1 << 17
 #: Rows with this remainder of crc32(doc_id as text) by 4 never teach.
 HELD_OUT, FOLDS = 2, 4
 ACCEPT = 0.7
-_PER_HALF = HALF // STRIDE
-
-
-def spread(data: bytes, most: int = TRAIN_BYTES) -> bytes:
-    """``data``, or of longer data evenly spread chunks of together ``most`` bytes; for fitting only."""
-    if len(data) <= most:
-        return data
-    n = most // (2 * HALF)
-    starts = np.linspace(0, len(data) - 2 * HALF, n).astype(int)
-    return b"".join(data[s : s + 2 * HALF] for s in starts)
 
 
 def _lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,16 +66,23 @@ class ByteConv:
 
     def _windows(self, flat: np.ndarray) -> np.ndarray:
         x = self.embed[flat]
-        n = (len(flat) - WIDTH) // STRIDE
-        return np.lib.stride_tricks.as_strided(x, (n, WIDTH * DIM), (STRIDE * DIM * 4, 4))
-
-    def _answers(self, flat: np.ndarray, halves: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Filters' answers by half and window; windows that begin behind a text's end answer 0."""
-        got = np.maximum(np.ascontiguousarray(self._windows(flat)) @ self.filters + self.bias, 0)
-        first = np.concatenate([[0], np.cumsum(halves)[:-1]]) * _PER_HALF
-        for a, b in zip((first + -(-sizes // STRIDE)).tolist(), (first + halves * _PER_HALF).tolist(), strict=True):
-            got[a:b] = 0
-        return got.reshape(-1, _PER_HALF, FILTERS)
+        return np.lib.stride_tricks.as_strided(x, (len(flat) - WIDTH, WIDTH * DIM), (DIM * 4, 4))
+
+    def _best(self, flat: np.ndarray, halves: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each half's largest answer of each filter, and at which byte; windows that begin behind a text's end answer 0."""
+        first = np.concatenate([[0], np.cumsum(halves)[:-1]])
+        dead = np.stack([first * HALF + sizes, (first + halves) * HALF], axis=1)
+        total, step = int(halves.sum()), GROUP_BYTES // HALF
+        best, where = np.empty((total, FILTERS), np.float32), np.empty((total, FILTERS), np.int64)
+        for h in range(0, total, step):
+            n = min(step, total - h)
+            got = np.maximum(np.ascontiguousarray(self._windows(flat[h * HALF : (h + n) * HALF + WIDTH])) @ self.filters + self.bias, 0)
+            for a, b in (dead[(dead[:, 1] > h * HALF) & (dead[:, 0] < (h + n) * HALF)] - h * HALF).tolist():
+                got[max(a, 0) : max(b, 0)] = 0
+            got = got.reshape(n, HALF, FILTERS)
+            where[h : h + n] = got.argmax(axis=1)
+            best[h : h + n] = np.take_along_axis(got, where[h : h + n, None], axis=1)[:, 0]
+        return best, where
 
     def _pooled(self, halves_max: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chunk maxima, the first chunk of each text, and chunks by text; a text of h halves has h - 1 chunks."""
@@ -100,15 +98,7 @@ class ByteConv:
         out = np.empty(len(texts), np.float64)
         for at in _groups(texts):
             flat, halves, sizes = _lay_out([texts[i] for i in at])
-            parts = []
-            step = GROUP_BYTES // HALF  # very long texts are answered piece by piece
-            if len(flat) <= 2 * GROUP_BYTES:
-                parts = [self._answers(flat, halves, sizes).max(axis=1)]
-            else:
-                for h in range(0, int(halves[0]), step):
-                    n = min(step, int(halves[0]) - h)
-                    parts.append(self._answers(flat[h * HALF : (h + n) * HALF + WIDTH], np.array([n]), np.clip(sizes - h * HALF, 0, n * HALF)).max(axis=1))
-            chunk, starts, n = self._pooled(np.concatenate(parts), halves)
+            chunk, starts, n = self._pooled(self._best(flat, halves, sizes)[0], halves)
             mean = np.add.reduceat(chunk, starts, axis=0) / n[:, None]
             top = np.maximum.reduceat(chunk, starts, axis=0)
             z = (mean @ self.out_mean + top @ self.out_max + self.out_bias).astype(np.float64)
@@ -127,7 +117,10 @@ class ByteConv:
             order = rng.permutation(len(texts))
             for a in range(0, len(order), BATCH):
                 rows = order[a : a + BATCH]
-                grads = self._gradients([texts[i] for i in rows], labels[rows])
+                grads: dict[str, np.ndarray] = {}
+                for at in _groups([texts[i] for i in rows]):
+                    for k, g in self._gradients([texts[rows[i]] for i in at], labels[rows[at]]).items():
+                        grads[k] = grads.get(k, 0) + g / np.float32(len(rows))
                 steps += 1
                 rate = RATE * (1 - 0.9 * steps / total)
                 for k, g in grads.items():
@@ -139,15 +132,14 @@ class ByteConv:
         return self
 
     def _gradients(self, texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Sums over the texts of the gradients of their losses."""
         flat, halves, sizes = _lay_out(texts)
-        answers = self._answers(flat, halves, sizes)
-        where = answers.argmax(axis=1)
-        best = np.take_along_axis(answers, where[:, None], axis=1)[:, 0]
+        best, where = self._best(flat, halves, sizes)
         chunk, starts, n = self._pooled(best, halves)
         mean = np.add.reduceat(chunk, starts, axis=0) / n[:, None]
         top = np.maximum.reduceat(chunk, starts, axis=0)
         z = mean @ self.out_mean + top @ self.out_max + self.out_bias
-        d = ((1 / (1 + np.exp(-np.clip(z, -30, 30)))) - labels).astype(np.float32) / len(texts)
+        d = ((1 / (1 + np.exp(-np.clip(z, -30, 30)))) - labels).astype(np.float32)
         text_of = np.repeat(np.arange(len(texts)), n)
         is_top = chunk == top[text_of]
         is_top = is_top / np.maximum(np.add.reduceat(is_top, starts, axis=0)[text_of], 1)
@@ -156,15 +148,15 @@ class ByteConv:
         source = np.where(best[half] >= best[half + 1], half[:, None], half[:, None] + 1)
         k = np.broadcast_to(np.arange(FILTERS), source.shape)
         d_chunk = np.where(best[source, k] > 0, d_chunk, 0).astype(np.float32)
-        window = (source * _PER_HALF + where[source, k]).ravel()
+        window = (source * HALF + where[source, k]).ravel()
         live = np.flatnonzero(d_chunk.ravel())
         window, weight, which = window[live], d_chunk.ravel()[live], k.ravel()[live]
-        x = self._windows(flat)[window]
+        taken = flat[window[:, None] + np.arange(WIDTH)]
+        x = self.embed[taken].reshape(-1, WIDTH * DIM)
         d_filters = np.zeros((FILTERS, WIDTH * DIM), np.float32)
         np.add.at(d_filters, which, weight[:, None] * x)
         d_x = (weight[:, None] * self.filters.T[which]).reshape(-1, DIM)
-        taken = flat[(window[:, None] * STRIDE + np.arange(WIDTH)).ravel()]
-        d_embed = np.stack([np.bincount(taken, d_x[:, j], 256) for j in range(DIM)], axis=1)
+        d_embed = np.stack([np.bincount(taken.ravel(), d_x[:, j], 256) for j in range(DIM)], axis=1)
         return {
             "embed": d_embed, "filters": d_filters.T, "bias": np.bincount(which, weight, FILTERS),
             "out_mean": d @ mean, "out_max": d @ top, "out_bias": d.sum(keepdims=True),
@@ -190,56 +182,47 @@ def held_out(doc_id) -> bool:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ByteConv:
-    """A network fitted on at most ``rows`` labelled texts, the ones of least crc32 of doc_id.
+    """A network fitted on the whole texts of at most ``rows`` labelled rows, the ones of least hash of doc_id.
 
     Only texts and labels.quality are used. Rows without label, with null id or that are held out
-    do not teach. Without any labelled row the network answers as it begins.
+    do not teach. Of rows with equal doc_id each counts towards ``rows``. Without any labelled row the
+    network answers as it begins.
     """
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     known = (
         labels.filter("doc_id is not null and quality is not null")
         .filter(crc % FOLDS != HELD_OUT)
-        .select("doc_id", F.col("quality").cast("int").alias("y"), crc.alias("c"))
+        .select("doc_id", F.col("quality").cast("int").alias("y"))
         .orderBy(F.hash("doc_id"), "doc_id", "y")
         .limit(rows)
     )
-    most = TRAIN_BYTES  # the driver gets at most rows * TRAIN_BYTES bytes
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data = [spread((x or "").encode(), most) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary())], ["h", "y", "data"])
-
-    # at most TRAIN_ROWS ids with labels are sent to all executors
-    met = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    got = met.select(F.hash("doc_id").alias("h"), "y", "text").mapInArrow(cut, "h int, y int, data binary").toPandas()
-    got = got.sort_values(["h", "y", "data"], kind="stable")[: 2 * rows]
-    return ByteConv.fresh().fit([bytes(x) for x in got["data"]], got["y"].to_numpy(np.float32))
+    # at most ``rows`` labelled ids are sent to all executors, and as many texts come back
+    met = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.hash("doc_id").alias("h"), "y", F.coalesce("text", F.lit("")).alias("text"))
+    got = met.orderBy("h", "y", F.xxhash64("text"), "text").limit(rows).collect()
+    return ByteConv.fresh().fit([r["text"].encode() for r in got], np.array([r["y"] for r in got], np.float32))
 
 
-def score(docs: DataFrame, model: ByteConv) -> DataFrame:
-    """Every row of ``docs``, all columns kept, with ``score``: the probability of good quality.
+def score(docs: DataFrame, model: ByteConv, into: str = "score") -> DataFrame:
+    """Every row of ``docs``, all columns kept, with ``into``: the probability of good quality.
 
-    Null text is empty and has a score. A column named score is replaced.
+    Null text is empty and has a score. A column of the name ``into`` is replaced.
     """
-    docs = docs.drop("score")
+    docs = docs.drop(into)
     weights = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{into}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [(x or "").encode() for x in b.column(at).to_pylist()]
-            got = pa.array(weights.value.scores(texts), pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, "score"])
+            got = pa.array(weights.value.scores(utf8(b.column(at))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, into])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the fitted network gives at least ACCEPT, columns unchanged."""
-    columns = docs.columns
-    return score(docs, fit(docs, labels)).filter(F.col("score") >= ACCEPT).select(*columns)
+    """The rows of ``docs`` that the fitted network gives at least ACCEPT, columns unchanged, one named score too."""
+    return score(docs, fit(docs, labels), "__score").filter(F.col("__score") >= ACCEPT).select(*docs.columns)
 
 
 def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -252,10 +235,10 @@ def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
-            got = weights.value.scores([(x or "").encode() for x in b.column(1).to_pylist()])
+            got = weights.value.scores(utf8(b.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([held_out(x) for x in ids], pa.bool_()), pa.array(got, pa.float64()), pa.array((got >= ACCEPT).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+    return texts.mapInArrow(released(run), f"doc_id {id_type}, held_out boolean, score double, predicted int")

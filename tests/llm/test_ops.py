@@ -56,6 +56,16 @@ def test_line_dedup(docs, none):
     assert line_dedup.without_lines(docs).columns == docs.columns
 
 
+def test_line_dedup_keeps_columns_and_handles_long_documents(spark):
+    long = "\n".join(f"a line of some length number {i}" for i in range(40_000))
+    rows = [(1, long, 7, 8), (2, long + "\nand one of its own", 7, 8), (None, long, 7, 8), (None, "another text, alone", 7, 8), (2, "a line of some length number 5\nx", 7, 8)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_dropped int")
+    got = {(r.doc_id, r.text) for r in line_dedup.without_lines(d).collect()}
+    assert got == {(1, long), (2, "and one of its own"), (None, ""), (None, "another text, alone"), (2, "x")}
+    assert line_dedup.without_lines(d).select("n_lines", "n_dropped").distinct().collect() == [(7, 8)]
+    assert sorted(r.n_dropped for r in line_dedup.op3(d).collect()) == [0, 0, 1, 40_000, 40_000]
+
+
 def brute_sets():
     out = []
     for _, t, _ in ROWS:
@@ -274,7 +284,49 @@ def test_quality(spark, docs, none):
     odd = quality.op9(docs, labels).collect()
     assert len(odd) == len(ROWS) and all(0 <= r.score <= 1 for r in odd)
     assert quality.op9(none, labels.limit(0)).collect() == []
-    assert quality.accepted(docs, labels).columns == docs.columns
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns and kept.schema["score"] == docs.schema["score"] and {r.score for r in kept.collect()} <= {"z"}
+
+
+def test_scores_are_the_plain_forward_pass(monkeypatch):
+    """Every text's score by loops over bytes, filters and chunks, and the same with pieces of a few halves."""
+    rng = np.random.default_rng(8)
+    m = quality.ByteConv.fresh(3)
+    m.bias[:] = 0.1 * rng.standard_normal(quality.FILTERS)
+    texts = [b"", b"a", b"short text", bytes(rng.integers(1, 256, 127).tolist()), bytes(rng.integers(1, 256, 1500).tolist()), b"ab " * 200]
+    want = []
+    for t in texts:
+        n = max(2, -(-(len(t) + quality.WIDTH) // quality.HALF))
+        padded = t + bytes(n * quality.HALF + quality.WIDTH - len(t))
+        answers = np.zeros((n * quality.HALF, quality.FILTERS))
+        for i in range(len(t)):
+            x = np.concatenate([m.embed[b] for b in padded[i : i + quality.WIDTH]])
+            answers[i] = np.maximum(x.astype(float) @ m.filters + m.bias, 0)
+        chunks = np.array([answers[h * quality.HALF : (h + 2) * quality.HALF].max(axis=0) for h in range(n - 1)])
+        want.append(1 / (1 + np.exp(-(chunks.mean(axis=0) @ m.out_mean + chunks.max(axis=0) @ m.out_max + m.out_bias[0]))))
+    assert np.allclose(m.scores(texts), want, atol=1e-5)
+    monkeypatch.setattr(quality, "GROUP_BYTES", 3 * quality.HALF)
+    assert np.allclose(m.scores(texts), want, atol=1e-5)
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(6)
+    m = quality.ByteConv.fresh(4)
+    texts, y = [bytes(rng.integers(1, 200, int(n)).tolist()) for n in (40, 300, 700)], np.array([1, 0, 1], np.float32)
+
+    def loss():
+        p = m.scores(texts)
+        return float(-np.log(np.where(y > 0, p, 1 - p)).sum())
+
+    g = m._gradients(texts, y)
+    for name, at in (("filters", (3, 5)), ("bias", (2,)), ("out_mean", (7,)), ("out_max", (1,)), ("out_bias", (0,)), ("embed", (77, 1))):
+        w = getattr(m, name)
+        kept, step = w[at], 2e-3
+        w[at] = kept + step
+        up = loss()
+        w[at] = kept - step
+        assert abs((up - loss()) / (2 * step) - g[name][at]) < 0.02 + 0.1 * abs(g[name][at]), name
+        w[at] = kept
 
 
 def test_scores_cover_the_whole_text():
