@@ -4,30 +4,33 @@ Unit vectors of cosine c are at squared distance 2 - 2c. Rotated vectors are spl
 blocks; each block gets the share of the squared distance that its dimensions are
 of all. Two vectors within the whole distance are within the share in one block at
 least, so a range join in each block finds every pair; the union is verified exactly.
+Equal vectors are one vector with a number of copies before anything is joined.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import stored
+from lexmill.llm.common import forget, released, stored
 from lexmill.llm.graph import components, local_roots
 
 COSINE = 0.95
-#: Dimensions of a block, about, and leading ones of each that the grid cuts.
+#: Dimensions of a block, about, and the least number of leading ones that the grid cuts; more vectors have more cut.
 BLOCK_DIMS, GRID_DIMS = 8, 2
 #: A cell is so many search radii wide; vectors near its upper side also go to the next cell.
 CELL_RADII = 2.0
 #: Vectors of a cell that are compared in one task, about; fuller cells are split into parts.
-PART = 16_384
+PART = 4_096
 #: Rows compared at once with all others of a part.
 STEP = 512
 #: Rounding of distances in a block may not lose a pair.
@@ -54,9 +57,9 @@ def blocks_of(dims: int, cosine: float) -> Blocks:
     return Blocks(tuple(edges.tolist()), shares, q * np.sign(np.diag(r)))
 
 
-def unit_rows(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of one length in double precision scaled to length 1, and which rows are usable."""
-    raw = np.array(lists, np.float64)
+def unit_rows(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in double precision scaled to length 1, and which are usable."""
+    raw = raw.astype(np.float64)
     with np.errstate(all="ignore"):
         scale = np.abs(raw).max(axis=1, keepdims=True)
         norm = np.linalg.norm(raw / scale, axis=1, keepdims=True)
@@ -65,6 +68,19 @@ def unit_rows(lists: list) -> tuple[np.ndarray, np.ndarray]:
     return unit, fine
 
 
+def grid_dims(n: int) -> int:
+    """Dimensions of a block that the grid cuts for ``n`` vectors, so that cells do not grow with them; a cut is taken to leave a quarter."""
+    return max(GRID_DIMS, min(BLOCK_DIMS, math.ceil(math.log(max(n / PART, 1), 4))))
+
+
+def _cell_ids(cells: np.ndarray) -> np.ndarray:
+    """One integer for the coordinates of each cell."""
+    out = np.zeros(len(cells), np.int64)
+    for k in range(cells.shape[1]):
+        out = out * 0x5851F42D4C957F2D + cells[:, k]
+    return out
+
+
 def _cells(x: np.ndarray, width: float, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, cells) of leading coordinates x: the cell of each row and the next ones that its upper sides come near."""
     home = np.floor(x / width).astype(np.int64)
@@ -76,63 +92,59 @@ def _cells(x: np.ndarray, width: float, radius: float) -> Iterator[tuple[np.ndar
             yield rows, home[rows] + s
 
 
-def _placed(vectors: DataFrame, cosine: float, full: dict | None) -> DataFrame:
-    """A row for each vector, block and cell: vec_id, dims, block, cell, and either nothing or part pairs and the vector."""
-    id_name = vectors.columns[0]
+def _placed(vectors: DataFrame, cosine: float, most: int, full: dict | None) -> DataFrame:
+    """A row for each vector (node, copies, embedding), block and cell: dims, block, cell, and with ``full`` part pairs and the vector as it came."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64) if b.num_rows else np.zeros(0, np.int64)
-            lists = b.column(1).to_pylist()
-            sizes = np.array([len(x) if x else 0 for x in lists])
+            nodes, copies = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
+            values, ends = b.column(2).flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
             for dims in np.unique(sizes[sizes > 0]).tolist():
                 at = np.flatnonzero(sizes == dims)
-                at = at[[None not in lists[i] for i in at]]
-                if not len(at):
-                    continue
-                unit, fine = unit_rows([lists[i] for i in at])
-                unit, at = unit[fine], at[fine]
+                raw = values[(ends[at] - dims)[:, None] + np.arange(dims)]
+                unit, fine = unit_rows(raw)
+                raw, unit, at = raw[fine], unit[fine], at[fine]
                 plan = blocks_of(dims, cosine)
                 turned = unit @ plan.rotation
                 for k, (a, e) in enumerate(itertools.pairwise(plan.edges)):
                     radius = float(np.sqrt(plan.shares[k]) + SLACK)
-                    grid = min(GRID_DIMS, e - a)
-                    for rows, cell in _cells(turned[:, a : a + grid], CELL_RADII * radius, radius):
-                        cell = cell @ (1 << 20) ** np.arange(grid) if grid else np.zeros(len(rows), np.int64)
+                    for rows, cells in _cells(turned[:, a : a + min(most, e - a)], CELL_RADII * radius, radius):
+                        cell = _cell_ids(cells)
                         if full is None:
                             yield _batch([np.full(len(rows), dims), np.full(len(rows), k), cell], ["dims", "block", "cell"])
                         else:
-                            yield from _parts(ids[at[rows]], unit[rows], dims, k, cell, full)
+                            yield _parts(nodes[at[rows]], copies[at[rows]], raw[rows], dims, k, cell, full)
 
     names = "dims long, block long, cell long"
     if full is not None:
-        names += ", i long, j long, side long, vec_id long, unit binary"
-    return vectors.select(id_name, vectors.columns[1]).mapInArrow(run, names)
+        names += ", i long, j long, side long, node long, copies long, raw binary"
+    return vectors.select("node", "copies", "embedding").mapInArrow(released(run), names)
 
 
 def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(np.ascontiguousarray(x, dtype=np.int64)) for x in columns], names)
 
 
-def _parts(ids: np.ndarray, unit: np.ndarray, dims: int, block: int, cell: np.ndarray, full: dict) -> Iterator[pa.RecordBatch]:
+def _parts(nodes: np.ndarray, copies: np.ndarray, raw: np.ndarray, dims: int, block: int, cell: np.ndarray, full: dict) -> pa.RecordBatch:
     """Rows with the part pairs of their cell: a cell of n parts has n (n + 1) / 2 pairs, of which a row enters n."""
     n = np.array([full.get((dims, block, c), 1) for c in cell.tolist()])
-    side = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
-    row = np.repeat(np.arange(len(ids)), n)
+    side = (nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
+    row = np.repeat(np.arange(len(nodes)), n)
     other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     mine = side[row]
-    data = pa.array([x.tobytes() for x in unit], pa.binary()).take(pa.array(row))
-    names = ["dims", "block", "cell", "i", "j", "side", "vec_id", "unit"]
-    yield _batch([np.full(len(row), dims), np.full(len(row), block), cell[row], np.minimum(mine, other), np.maximum(mine, other), mine, ids[row], data], names)
+    data = pa.array([x.tobytes() for x in raw], pa.binary()).take(pa.array(row))
+    names = ["dims", "block", "cell", "i", "j", "side", "node", "copies", "raw"]
+    return _batch([np.full(len(row), dims), np.full(len(row), block), cell[row], np.minimum(mine, other), np.maximum(mine, other), mine, nodes[row], copies[row], data], names)
 
 
-def cell_links(unit: np.ndarray, dims: int, block: int, cell: int, cross: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+def cell_links(unit: np.ndarray, dims: int, block: int, cell: int, cross: np.ndarray | None, cosine: float, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within the cosine that this block and cell answer for: the first block within its share, the upper cell of both."""
     plan = blocks_of(dims, cosine)
     edges = plan.edges
     radius = float(np.sqrt(plan.shares[block]) + SLACK)
     a, e = edges[block], edges[block + 1]
-    grid = min(GRID_DIMS, e - a)
+    grid = min(most, e - a)
     turned = unit @ plan.rotation
     home = np.floor(turned[:, a : a + grid] / (CELL_RADII * radius)).astype(np.int64)
     part = turned[:, a:e].astype(np.float32)
@@ -156,7 +168,7 @@ def cell_links(unit: np.ndarray, dims: int, block: int, cell: int, cross: np.nda
             x, y = p[u : u + (1 << 16)], q[u : u + (1 << 16)]
             near = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
             x, y = x[near], y[near]
-            upper = np.maximum(home[x], home[y]) @ (1 << 20) ** np.arange(grid)
+            upper = _cell_ids(np.maximum(home[x], home[y]))
             mine = upper == cell
             x, y = x[mine], y[mine]
             if block and len(x):
@@ -174,35 +186,34 @@ def cell_links(unit: np.ndarray, dims: int, block: int, cell: int, cross: np.nda
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _compared(placed: DataFrame, cosine: float) -> DataFrame:
-    """vec_id, root, linked of each linked vector in each part pair of each cell."""
+def _compared(placed: DataFrame, cosine: float, most: int, dtype: type) -> DataFrame:
+    """node, root, linked of each linked vector in each part pair of each cell."""
     keys = ["dims", "block", "cell", "i", "j"]
 
     def compare(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
         dims, block, cell, i, j = key
-        ids = np.array([r[1] for r in rows], np.int64)
-        unit = np.frombuffer(b"".join(r[2] for r in rows), np.float64).reshape(-1, dims)
-        a, b = cell_links(unit, dims, block, cell, np.array([r[0] for r in rows]) if i != j else None, cosine)
-        root = local_roots(len(ids), a, b)
-        linked = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+        side, nodes, copies = (np.array([r[c] for r in rows], np.int64) for c in range(3))
+        unit, _ = unit_rows(np.frombuffer(b"".join(r[3] for r in rows), dtype).reshape(-1, dims))
+        a, b = cell_links(unit, dims, block, cell, side if i != j else None, cosine, most)
+        root = local_roots(len(nodes), a, b)
+        linked = np.bincount(a, copies[b], len(nodes)) + np.bincount(b, copies[a], len(nodes))
         live = linked > 0
-        return _batch([ids[live], ids[root[live]], linked[live]], ["vec_id", "root", "linked"])
+        return _batch([nodes[live], nodes[root[live]], linked[live]], ["node", "root", "linked"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         for b in batches:
             columns = [c.to_pylist() for c in b.columns]
-            for *k, side, vec_id, unit in zip(*columns, strict=True):
-                k = tuple(k)
+            for k, row in zip(zip(*columns[:5], strict=True), zip(*columns[5:], strict=True), strict=True):
                 if k != key:
                     if len(rows) > 1:
                         yield compare(key, rows)
                     key, rows = k, []
-                rows.append((side, vec_id, unit))
+                rows.append(row)
         if len(rows) > 1:
             yield compare(key, rows)
 
-    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "vec_id long, root long, linked long")
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(run), "node long, root long, linked long")
 
 
 def embedding_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -213,21 +224,33 @@ def embedding_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     nothing, nor do vectors of different lengths. Rows of equal vec_id count each as a row; a
     null vec_id links with nothing and is its own component (null). kept: vec_id = component_id.
 
-    A cell's rows stay in its task or, of full cells, in pairs of parts of bounded size; pairs are
-    counted where they are found and never sent, only counts and roots are.
+    Equal vectors meet by 128 bits of hash and travel once, with their number. A cell's vectors stay in
+    its task or, of full cells, in pairs of parts of bounded size; pairs are counted where they are
+    found and never sent, only counts and roots are.
     """
     named = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    usable = named.filter("vec_id is not null and embedding is not null")
-    # cells are at most (2 / width + 2) ** GRID_DIMS a block, since coordinates are within -1 and 1
-    counted = _placed(usable, cosine, None).groupBy("dims", "block", "cell").count().filter(F.col("count") > PART).collect()
+    number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    usable = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0)
+    key = [F.when(usable, F.xxhash64("embedding")).alias("h1"), F.when(usable, F.xxhash64(F.lit("vector"), "embedding")).alias("h2")]
+    distinct = named.filter(usable).select(*key, "vec_id", "embedding").groupBy("h1", "h2")
+    distinct = distinct.agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
+    nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()))
+    most = grid_dims(nodes.count())
+    # a list of full cells: there are at most as many as vectors' places divided by PART
+    counted = _placed(nodes, cosine, most, None).groupBy("dims", "block", "cell").count().filter(F.col("count") > PART).collect()
     full = {(r["dims"], r["block"], r["cell"]): -(-r["count"] // PART) for r in counted}
-    found = stored(_compared(_placed(usable, cosine, full), cosine))
-    roots = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("vec_id").agg(F.sum("linked").alias("n_links"))
-    both = links.join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    dtype = np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
+    found = stored(_compared(_placed(nodes, cosine, most, full), cosine, most, dtype))
+    table, roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = roots.select("node", F.col("root").alias("r"))
+    links = found.groupBy("node").agg(F.sum("linked").alias("linked"))
+    met = nodes.select("h1", "h2", "node", "first_id", "copies").join(links, "node", "left").join(roots, "node", "left").withColumn("r", F.coalesce("r", "node"))
+    least = met.groupBy("r").agg(F.min("first_id").alias("component_id"))
+    told = stored(met.join(least, "r").select("h1", "h2", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    forget(nodes, found, table)
     return (
-        named.select("vec_id").join(both, "vec_id", "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
+        named.select("vec_id", *key).join(told, ["h1", "h2"], "left")
+        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
         .withColumn("kept", F.col("vec_id") == F.col("component_id"))
     )
 

@@ -6,24 +6,20 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import stored
-
-#: A node's edges are dealt over so many salts, so that a hub's edges go to many tasks.
-SALTS = 8
+from lexmill.llm.common import forget, stored
 
 
 def _with_least(edges: DataFrame, both: bool) -> DataFrame:
-    """u, v and m: the least of u's neighbours, and with ``both`` of u itself."""
+    """u, v and m: the least of u's neighbours, and with ``both`` of u itself. A hub's edges are a skewed side, which adaptive execution splits."""
     least = F.least(F.min("v"), F.col("u")) if both else F.min("v")
-    m = edges.groupBy("u").agg(least.alias("m")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return edges.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS))).join(m, ["u", "salt"])
+    return edges.join(edges.groupBy("u").agg(least.alias("m")), "u")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (the least node reachable) of every node of the edges (a, b), long ids.
+def components(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A stored table, to be forgotten, and of it: node, root (the least node reachable) of every node of the edges (a, b), long ids.
 
     Large-star and small-star steps in turn until nothing changes; every round is stored, so
-    no lineage grows and lost executors cost one round. Loops (a = b) and null ends are
+    no lineage grows and lost executors cost one round; the round before is then deleted. Loops (a = b) and null ends are
     dropped, repeated edges count once; without edges the result is empty.
     """
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -32,16 +28,17 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         seen = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == before or not seen["n"]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return e, e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = seen
         either = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(either, True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _with_least(large, False)
-        e = stored(
+        last, e = e, stored(
             small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
             .distinct()
         )
+        forget(last)
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import stored
+from lexmill.llm.common import forget, released, stored
 from lexmill.llm.graph import components, local_roots
-from lexmill.llm.shingles import WORDS, batches_of, mix, shingle_sets
+from lexmill.llm.shingles import WORDS, batches_of, shingle_sets
+from lexmill.llm.spans import mix
 
 #: Similarity of at least NUM / DEN links.
 NUM, DEN = 75, 100
@@ -35,12 +36,12 @@ FILTER_BITS = 1 << 26
 #: Shingles of a row block, about; larger groups are cut into bands of sizes, of which only
 #: equal and neighbouring ones can hold similar sets, and full bands into parts.
 BLOCK = 1_000_000
-#: Up to so many sets that can meet others are sent to all executors, 40 MB at most; more are joined by a shuffle.
-SMALL = 500_000
+#: So many rows (set, block product) are sent to all executors at most, about 20 MB; more are joined by a shuffle.
+SMALL = 200_000
 #: Salts of a large group's sets.
 SALTS = 32
-#: Set ids that a task remembers to send copies once.
-SEEN = 1_000_000
+#: Set ids that a task remembers to send copies once, in a table of fixed size.
+SEEN = 1 << 20
 
 
 def set_ids(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -79,7 +80,7 @@ def _named(docs: DataFrame, words: int) -> DataFrame:
             names,
         ) if k else pa.RecordBatch.from_pylist([], schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("page", pa.int32()), ("counts", pa.binary())]))
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type.simpleString()}, n long, set_id long, page int, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {id_type.simpleString()}, n long, set_id long, page int, counts binary")
 
 
 def _frequency_classes(pages: DataFrame) -> np.ndarray:
@@ -113,7 +114,7 @@ def _prefixes(docs: DataFrame, words: int, classes: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = np.zeros(SEEN, np.int64)
         for b in batches:
             for _, texts in batches_of(b.column(0).to_pylist()):
                 h, n = shingle_sets(texts, words)
@@ -122,9 +123,9 @@ def _prefixes(docs: DataFrame, words: int, classes: np.ndarray) -> DataFrame:
                 col, owner, pos = [], [], []
                 for i in range(len(n)):
                     m, me = int(n[i]), int(ids[i])
-                    if not m or me in seen:
+                    if not m or seen[me % SEEN] == me:
                         continue
-                    seen.add(me)
+                    seen[me % SEEN] = me
                     p = m - -(-NUM * m // DEN) + 1
                     a = int(ends[i]) - m
                     k = keys[a : a + m]
@@ -133,8 +134,6 @@ def _prefixes(docs: DataFrame, words: int, classes: np.ndarray) -> DataFrame:
                     col.append(h[a : a + m][first])
                     owner.append(np.full(p, i))
                     pos.append(np.arange(p))
-                if len(seen) > SEEN:
-                    seen.clear()
                 if col:
                     o = np.concatenate(owner)
                     yield pa.RecordBatch.from_arrays(
@@ -142,58 +141,73 @@ def _prefixes(docs: DataFrame, words: int, classes: np.ndarray) -> DataFrame:
                         ["col", "set_id", "n", "pos"],
                     )
 
-    return docs.select("text").mapInArrow(run, "col long, set_id long, n int, pos int")
+    return docs.select("text").mapInArrow(released(run), "col long, set_id long, n int, pos int")
 
 
-def meeting(col: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect all nodes which can meet in a column block.
+class Meeting:
+    """Edges that connect all nodes which can meet in a column, fed in order of column and size.
 
     In a column, x and y with sizes n and r = n - pos columns left can be similar only if
     min(r) >= NUM / (NUM + DEN) * (n_x + n_y), that is n_y <= reach_x and n_x <= reach_y with
     reach = (NUM + DEN) / NUM * r - n. By ascending size, all nodes whose reach is still open
-    can meet each other, so a new node need only be tied to the smallest of them.
+    can meet each other, so a new node need only be tied to the smallest of them; and a node tied
+    to one that reaches as far need not be kept. What is kept is so bounded by the number of
+    different reaches, however many nodes a column has.
     """
-    order = np.lexsort((n, col))
-    col, node, n, pos = col[order], node[order], n[order], pos[order]
-    edge = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1], [True]]))
-    reach = (NUM + DEN) * (n - pos) - NUM * n  # times NUM
-    size = NUM * n
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
+
+    #: Ties that are remembered so that other columns need not tell them again.
+    MOST = 1 << 18
+
+    def __init__(self) -> None:
+        self.col, self.heap, self.parent = None, [], {}
+
+    def _find(self, x: int) -> int:
+        parent = self.parent
         while (p := parent.get(x, x)) != x:
             parent[x] = x = parent.get(p, p)
         return x
 
-    out = []
-    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        if b - a < 2:
-            continue
-        heap: list[tuple[int, int, int]] = []
-        for y, s, r in zip(node[a:b].tolist(), size[a:b].tolist(), reach[a:b].tolist(), strict=True):
-            while heap and heap[0][1] < s:
-                heapq.heappop(heap)
-            if heap and heap[0][0] <= r:
-                p, q = find(heap[0][2]), find(y)
-                if p != q:
-                    parent[q] = p
-                    out.append((p, q))
-            if r >= s:
-                heapq.heappush(heap, (s, r, y))
-    return out
+    def feed(self, col: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray) -> list[tuple[int, int]]:
+        """The edges that these rows add."""
+        edge = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1], [True]]))
+        runs = np.flatnonzero(np.diff(edge) > 1)
+        # the first run may go on from the rows before, the last into those to come
+        runs = np.unique(np.concatenate([[0], runs, [len(edge) - 2]]))
+        reach = (NUM + DEN) * (n - pos) - NUM * n  # times NUM
+        out = []
+        if len(self.parent) > self.MOST:
+            self.parent.clear()
+        for a, b in zip(edge[runs].tolist(), edge[runs + 1].tolist(), strict=True):
+            if col[a] != self.col:
+                self.col, self.heap = col[a], []
+            heap = self.heap
+            for y, s, r in zip(node[a:b].tolist(), (NUM * n[a:b]).tolist(), reach[a:b].tolist(), strict=True):
+                while heap and heap[0][1] < s:
+                    heapq.heappop(heap)
+                if heap and heap[0][0] <= r:
+                    p, q = self._find(heap[0][2]), self._find(y)
+                    if p != q:
+                        self.parent[q] = p
+                        out.append((p, q))
+                    if heap[0][1] >= r:
+                        continue
+                if r >= s:
+                    heapq.heappush(heap, (s, r, y))
+        return out
 
 
 def _candidates(prefixes: DataFrame) -> DataFrame:
-    """Edges a, b between sets that can meet, from each column block."""
+    """Edges a, b between sets that can meet, from each column block; columns are sorted outside Python and pass one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
-        if parts:
-            col, node, n, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-            got = np.array(meeting(col, node, n.astype(np.int64), pos.astype(np.int64)), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], ["a", "b"])
+        meeting = Meeting()
+        for b in batches:
+            if b.num_rows:
+                col, node, n, pos = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+                got = np.array(meeting.feed(col, node, n.astype(np.int64), pos.astype(np.int64)), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], ["a", "b"])
 
-    return prefixes.repartition("col").mapInArrow(run, "a long, b long")
+    return prefixes.repartition("col").sortWithinPartitions("col", "n").mapInArrow(released(run), "a long, b long")
 
 
 def _sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
@@ -214,7 +228,7 @@ def _sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
                     data = pa.array([h[ends[i] - n[i] : ends[i]].tobytes() for i in rows.tolist()], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(key[rows]), data], ["set_id", "key", "hashes"])
 
-    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "set_id long, key long, hashes binary")
+    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(released(run), "set_id long, key long, hashes binary")
 
 
 def _filter_place(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -303,7 +317,7 @@ def _products(rows: DataFrame) -> DataFrame:
     return (
         rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
         .select("grp", "i", "j", "side", "set_id", "copies", "hashes")
-        .mapInArrow(run, "set_id long, root long, linked long")
+        .mapInArrow(released(run), "set_id long, root long, linked long")
     )
 
 
@@ -338,16 +352,15 @@ def _joined(docs: DataFrame, words: int) -> DataFrame:
     classes = _frequency_classes(named.filter("page is not null").select("page", "counts"))
     rows = named.filter("page is null").select("doc_id", "n", "set_id")
     each = stored(rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")))
-    candidates = components(_candidates(_prefixes(docs, words, classes)))
+    candidates_table, candidates = components(_candidates(_prefixes(docs, words, classes)))
     # a root is its own member
     roots = candidates.select(F.col("root").alias("node"), "root").distinct()
     member = candidates.unionByName(roots).select(F.col("node").alias("set_id"), F.col("root").alias("grp"))
     member = stored(member.join(each, "set_id").select("set_id", F.xxhash64("first_id").alias("key"), "grp", "copies", "n"))
-    placed = _placed(member)
-    if member.count() <= SMALL:
-        placed = F.broadcast(placed)
-    found = stored(_products(_sets(docs, words, member).join(placed, ["set_id", "key"])))
-    joined = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
+    placed = stored(_placed(member))
+    small = placed.count() <= SMALL
+    found = stored(_products(_sets(docs, words, member).join(F.broadcast(placed) if small else placed, ["set_id", "key"])))
+    joined_table, joined = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("set_id").agg(F.sum("linked").alias("linked"))
     near = (
         each.join(joined.select(F.col("node").alias("set_id"), "root"), "set_id", "left").join(linked, "set_id", "left")
@@ -358,8 +371,10 @@ def _joined(docs: DataFrame, words: int) -> DataFrame:
     of_set = near.join(least, "root").select(
         "set_id", "first_id", "component_id", (F.col("set_id") == F.col("keeper")).alias("keeps"), (F.col("linked") + F.col("copies") - 1).alias("n_links")
     )
+    of_set = stored(of_set)
+    forget(each, member, placed, found, candidates_table, joined_table)
     return (
-        rows.join(stored(of_set), "set_id", "left")
+        rows.join(of_set, "set_id", "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"),
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).cast(id_type).alias("component_id"),
@@ -394,7 +409,7 @@ def _with_set_ids(docs: DataFrame, words: int) -> DataFrame:
             ids = [set_ids(*shingle_sets(texts, words)) for _, texts in batches_of(b.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *ids]))], [*b.schema.names, "__set"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:

@@ -96,7 +96,8 @@ def test_ngram_join(docs, none, monkeypatch, block):
         assert sorted((r.doc_id or 0, r.text[:5]) for r in ngram_join.one_of_each(twice).filter("text > '' and (doc_id = 1 or doc_id is null)").collect()) == [(0, "words"), (1, "One t"), (1, "quite")]
 
 
-def test_meeting_finds_every_similar_pair():
+@pytest.mark.parametrize("piece", [3, 100_000])
+def test_meeting_finds_every_similar_pair(piece):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 60, 40)
     sets = [np.unique(np.concatenate([base[rng.random(40) < 0.9], rng.integers(100, 130, rng.integers(0, 6))])).astype(np.uint64) for _ in range(60)]
@@ -108,7 +109,11 @@ def test_meeting_finds_every_similar_pair():
         node += [i] * len(first)
         n += [len(s)] * len(first)
         pos += range(len(first))
-    e = np.array(ngram_join.meeting(np.array(col), np.array(node), np.array(n), np.array(pos))).reshape(-1, 2)
+    rows = np.array([col, node, n, pos]).T[np.lexsort((n, col))]
+    meeting, edges = ngram_join.Meeting(), []
+    for at in range(0, len(rows), piece):  # columns go on from one batch to the next
+        edges += meeting.feed(*rows[at : at + piece].T)
+    e = np.array(edges).reshape(-1, 2)
     root = graph.local_roots(len(sets), e[:, 0], e[:, 1])
     a, b = ngram_join.block_links(sets, np.zeros(len(sets), int), False)
     want = {(i, j) for i in range(60) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
@@ -119,10 +124,10 @@ def test_meeting_finds_every_similar_pair():
 def test_components(spark):
     rng = np.random.default_rng(2)
     e = rng.integers(0, 300, (220, 2))
-    got = {r.node: r.root for r in graph.components(spark.createDataFrame(e.tolist(), "a long, b long")).collect()}
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(e.tolist(), "a long, b long"))[1].collect()}
     root = graph.local_roots(300, e[:, 0].copy(), e[:, 1].copy())
     assert all(got.get(i, i) == root[i] for i in range(300))
-    assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert graph.components(spark.createDataFrame([], "a long, b long"))[1].collect() == []
 
 
 @pytest.mark.parametrize("part", [16_384, 7])
@@ -143,6 +148,30 @@ def test_embedding_join(spark, monkeypatch, part):
     assert embedding_join.op1(v.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("grid", [2, 5])
+def test_embedding_join_counts_repeated_rows_and_null_ids(spark, monkeypatch, grid):
+    monkeypatch.setattr(embedding_join, "GRID_DIMS", grid)
+    near, far = [1.0, 2.0, 3.0] * 8, [3.0, -2.0, 1.0] * 8
+    rows = [(1, near, "a"), (1, near, "b"), (2, [*near[:-1], 3.1], "a"), (None, near, "a"), (3, far, "b"), (1, far, "b"), (5, [2 * x for x in far], "c"), (None, None, "c"), (7, [-0.0, *near[1:]], "c"), (8, [0.0, *near[1:]], "c")]
+    rows += [(100 + i, near, "c") for i in range(50)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, linked string").withColumn("root", F.lit(1)).withColumn("node", F.lit("x"))
+    got = sorted((tuple(r) for r in embedding_join.op1(v).collect()), key=key)
+    want, x = [], np.array([r[1] or far for r in rows]).astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    fine = np.array([r[0] is not None for r in rows])
+    a = (x @ x.T >= 0.95) & fine & fine[:, None] & ~np.eye(len(rows), dtype=bool)
+    for i, r in enumerate(rows):
+        mine = {i}
+        while True:
+            more = mine | {int(j) for m in mine for j in np.flatnonzero(a[m])}
+            if more == mine:
+                break
+            mine = more
+        c = min((rows[j][0] for j in mine if rows[j][0] is not None), default=None)
+        want.append((r[0], int(a[i].sum()), c, None if r[0] is None else r[0] == c))
+    assert got == sorted(want, key=key) and want[0][1] == 54
+
+
 def test_token_counts(docs, none):
     tok = tokens.load(tokenizers.path("byte_bpe_50k.json"))
     want = [(i, len((t or "").encode()), n := len(tok.encode(t or "", add_special_tokens=False).ids), n > 512) for i, t, _ in ROWS]
