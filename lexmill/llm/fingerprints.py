@@ -14,25 +14,26 @@ from lexmill.llm.common import GAP, cuts, let
 
 #: Words in a gram, grams in a window: shared runs of 12 words are always caught.
 K, WINDOW = 5, 8
-#: Low bits of a mark hold the position, counted down so that of equal hashes the rightmost is least.
-POSITION_BITS = 25
+#: Low bits of what windows compare hold the position, counted down so that of equal hashes the rightmost is least. No string
+#: of Spark's has 2**30 words; the 33 bits above order the hashes, of which marks keep all 64.
+POSITION_BITS = 30
 #: Documents between two cuts of the id range, about, and cuts at most.
 RUN, MOST_RUNS = 500, 4096
 
 
 def marks(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """Winnowed marks of a text, ascending by position: each 38 bits of hash, then the position.
+    """Winnowed marks of a text, ascending by position: structs of hash (64 bits) and position.
 
     Words are runs of [^\\x20\\x09-\\x0D]. A text of fewer than ``k`` words is one gram;
-    a text without words (null, empty) has no marks. Positions repeat after 2**25 words.
+    a text without words (null, empty) has no marks.
     """
     last = (1 << POSITION_BITS) - 1
     words = F.filter(F.split(F.coalesce(text, F.lit("")), GAP, -1), lambda x: x != "")
     hashes = F.transform(words, lambda x: F.xxhash64(x))
 
     def gram(run: Column, at: Column) -> Column:
-        top = F.shiftleft(F.shiftrightunsigned(F.xxhash64(run), 64 - 63 + POSITION_BITS), POSITION_BITS)
-        return top.bitwiseOR((F.lit(last) - at.cast("long").bitwiseAND(F.lit(last))))
+        top = F.shiftleft(F.shiftrightunsigned(F.xxhash64(run), 1 + POSITION_BITS), POSITION_BITS)
+        return top.bitwiseOR(F.lit(last) - at.cast("long"))
 
     def grams(h: Column) -> Column:
         whole = F.array(gram(h, F.lit(0)))
@@ -47,23 +48,26 @@ def marks(text: Column, k: int = K, window: int = WINDOW) -> Column:
             .otherwise(F.array_distinct(windows))
         )
 
-    return let(let(hashes, grams), least)
+    def named(h: Column) -> Column:
+        at = F.transform(let(grams(h), least), lambda x: (F.lit(last) - x.bitwiseAND(F.lit(last))).cast("int"))
+        return F.transform(at, lambda i: F.struct(F.xxhash64(F.slice(h, i + 1, k)).alias("hash"), i.alias("position")))
+
+    return let(hashes, named)
 
 
 def mark_hashes(found: Column) -> Column:
     """The distinct hashes of marks."""
-    return F.array_distinct(F.transform(found, lambda x: F.shiftright(x, POSITION_BITS)))
+    return F.array_distinct(F.transform(found, lambda x: x["hash"]))
 
 
 def mark_positions(found: Column) -> Column:
     """The word positions of marks."""
-    last = (1 << POSITION_BITS) - 1
-    return F.transform(found, lambda x: F.lit(last) - x.bitwiseAND(F.lit(last)))
+    return F.transform(found, lambda x: x["position"])
 
 
 def digest(found: Column) -> Column:
     """Marks as text: each hash in hex, in order of position."""
-    return F.array_join(F.transform(found, lambda x: F.lower(F.hex(F.shiftright(x, POSITION_BITS)))), " ")
+    return F.array_join(F.transform(found, lambda x: F.lower(F.hex(x["hash"]))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -73,15 +77,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
-    """Every row of ``docs`` with ``marks`` (hash and position) of its whole text added."""
-    found = F.transform(
-        marks(F.col("text"), k, window),
-        lambda x: F.struct(
-            F.shiftright(x, POSITION_BITS).alias("hash"),
-            (F.lit((1 << POSITION_BITS) - 1) - x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))).alias("position"),
-        ),
-    )
-    return docs.withColumn("marks", found)
+    """Every row of ``docs`` with ``marks`` (hash and position) of its whole text; a column of this name is replaced."""
+    return docs.withColumn("marks", marks(F.col("text"), k, window))
 
 
 def _rank(value: Column, at: list, id_type) -> Column:

@@ -208,6 +208,16 @@ def test_fingerprints(docs, none, spark):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     by = {r.doc_id: r for r in got}
     assert by[7].fingerprint == by[8].fingerprint and by[7].near_next == 1.0 and by[4].fingerprint == ""
+    edited = spark.createDataFrame([(n, t[: len(t) - len(t) // 2] + texts[(n + 1) % len(texts)][: len(t) // 2]) for n, t in enumerate(texts)], "n int, text string")
+    own = {r.n: r.f for r in edited.select("n", fingerprints.digest(fingerprints.marks(F.col("text"))).alias("f")).collect()}
+    plain = {r.n: r.f for r in spark.createDataFrame(list(enumerate(texts)), "n int, text string").select("n", fingerprints.digest(fingerprints.marks(F.col("text"))).alias("f")).collect()}
+
+    def like(a, b):
+        a, b = set(a.split()), set(b.split())
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    want = [(order[n][0], plain[n], own[n], like(plain[n], own[n]), like(plain[n], plain[(n + 1) % len(texts)])) for n in range(len(texts))]
+    assert sorted(((r.doc_id, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got), key=key) == sorted(want, key=key)
     assert fingerprints.op5(none).collect() == []
     one = spark.createDataFrame([(1, "only a few words here and there")], "doc_id long, text string")
     assert fingerprints.op5(one).first().near_next == 1.0
@@ -218,7 +228,7 @@ def test_winnowing_rule_and_guarantee(spark):
     rng = np.random.default_rng(4)
     texts = [" ".join(rng.choice(["a", "b", "c"], rng.integers(0, 60))) for _ in range(40)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(F.split("text", " ")) - 5, F.lit(0))), lambda i: F.shiftrightunsigned(F.xxhash64(F.transform(F.slice(F.split("text", " "), i + 1, 5), lambda x: F.xxhash64(x))), 26))
+    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(F.split("text", " ")) - 5, F.lit(0))), lambda i: F.shiftrightunsigned(F.xxhash64(F.transform(F.slice(F.split("text", " "), i + 1, 5), lambda x: F.xxhash64(x))), 31))
     for r in df.select("text", grams.alias("g"), fingerprints.marks(F.col("text")).alias("m"), fingerprints.mark_positions(fingerprints.marks(F.col("text"))).alias("p")).collect():
         if not r.text:
             assert r.m == []
@@ -229,7 +239,7 @@ def test_winnowing_rule_and_guarantee(spark):
             at = a + max(i for i, x in enumerate(window) if x == min(window))
             if at not in want:
                 want.append(at)
-        assert r.p == want and [x >> 25 for x in r.m] == [r.g[i] for i in want]
+        assert r.p == want and [(x.hash % 2**64) >> 31 for x in r.m] == [r.g[i] for i in want]
 
 
 def test_mixing(docs, none, spark):
