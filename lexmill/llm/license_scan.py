@@ -5,7 +5,11 @@ and an unknown class apart. It is fitted here on notices made from phrases and n
 the licences' own paragraphs; its temperature is calibrated on rows it has not seen. A prediction
 stands if its probability is high enough and the paragraph holds most words of one of the
 family's templates: its names and its own paragraphs.
-Scoring is DataFrame operations only.
+
+Every word and pair of words of every text is looked up among the model's features. No unit of a
+text can be likelier of a family than unknown if all positive evidence of the whole text together is not
+enough, so lines and windows are laid out only where the model's own weights leave that possible: an
+exact bound, which drops nothing that could stand. Scoring is DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import stored
+from lexmill.llm.common import let, stored
 from lexmill.llm.license_texts import TEXTS
 
 UNKNOWN = "unknown"
@@ -62,10 +66,16 @@ OTHERS = [
     "The school has clear rules on permission and licence to leave.", "License to operate a radio station was refused.", "The mozilla foundation met in public.", "A commons is land for the creative use of all.",
     "Er kam mit dem Zug nach Hause.", "Sie sprach mit ihm unter vier Augen.", "She studied at MIT under a famous professor.",
 ]
-#: Words that speak of licences.
+#: Ordinary prose, so that common words speak for no family.
+PROSE = [
+    "The river ran slowly through the valley and nobody in the village knew of it.", "You may see this in any of the files that were made for use by the public under this roof.", "In the morning they had to take all of it with them, as is the rule.",
+    "This is the story of a man who was free to go and of those that were not.", "It was distributed by hand, without any notice, in the form of a small book.", "All of us agree that the source of the water is above the town.", "Version two of the play was better than the first, and all copies were sold.",
+    "Use of the hall by others is at the discretion of the owner.", "For more, see the next page or the end of this chapter.", "The text of the letter was short and not at all what she had hoped for.", "No one shall be left behind, and each of you must do your part.",
+    "Die Kinder liefen durch den Wald und kamen mit dem Abend wieder nach Hause.", "Es war ein Tag wie jeder andere, und die Stadt lag still unter dem Schnee.", "La casa de la abuela era grande y estaba cerca del mar.", "Por la noche se fueron todos con la familia a la plaza.",
+    "Le soir, nous sommes partis par la route avec des amis qui attendaient sur le quai.", "Il y a dans ce livre une histoire pour les enfants et pour les autres.", "The software was late, the material was poor and the work was hard to do.", "The names of the contributors and the holders of the prize were read aloud.", "A copy of the list and the conditions of the race hang on the door.",
+]
+#: Lines that speak of licences; of those without a notice that stands the text is called unknown.
 SPEAKS = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl|unencumbered|free to copy"
-#: What has none of these either has no template's words and is not looked at. "mit" alone is a common word of German.
-GATE = SPEAKS + r"|\bapache\b|\bbsd\b|\bmpl\b|\bepl\b|\bisc\b|\bexpat\b|\bmozilla\b|\beclipse\b|under\W+(?:the\W+)?mit\b|(?m:^\W*mit\W*$)"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Probability and share of a template's words that let a prediction stand.
 CONFIDENT, SIMILAR = 0.5, 0.8
@@ -74,7 +84,9 @@ PIECE = 12
 #: Words and line ends of the windows that are laid over paragraphs of several lines, half a window apart, and how much longer than a text they may be.
 WINDOWS = (32, 64, 128, 256, 512)
 DILUTED = 8
-STEPS, RATE, RIDGE = 250, 2.0, 1e-3
+STEPS, RATE, RIDGE, LASSO = 300, 2.0, 1e-3, 2e-5
+#: Buckets of the table that tells features from other words.
+BUCKETS = 1 << 16
 
 
 def words_of(text: str) -> list[str]:
@@ -115,6 +127,7 @@ def notices() -> list[tuple[str, str]]:
     made += [x for x in pieces if x[0] not in shared]
     # twice each, so that one of both teaches
     made += [(t, family) for family, texts in TEXTS.items() for t in texts for _ in range(2)]
+    made += [(t, UNKNOWN) for t in PROSE for _ in range(3)]
     return made + [(f"{a}{b}", UNKNOWN) for a in OTHERS for b in ("", " " + OTHERS[0], " It is so.")]
 
 
@@ -140,11 +153,12 @@ def trained() -> Model:
     for _ in range(STEPS):
         d = (soft(a @ w + b) - t) / len(a)
         w -= RATE * (a.T @ d + RIDGE * w)
+        w = np.sign(w) * np.maximum(np.abs(w) - RATE * LASSO, 0)  # most weights are zero
         b -= RATE * d.sum(axis=0)
     z, h = x[~teach] @ w + b, y[~teach]
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=lambda c: -np.log((soft(z / c) * h).sum(axis=1) + 1e-12).sum())
     w, b = np.round(w / temperature, 6), np.round(b / temperature, 6)
-    return Model(families, {f: tuple(w[i].tolist()) for f, i in index.items()}, tuple(b.tolist()))
+    return Model(families, {f: tuple(w[i].tolist()) for f, i in index.items() if w[i].any()}, tuple(b.tolist()))
 
 
 def _table(spark, rows: list[dict], schema: str) -> DataFrame:
@@ -163,26 +177,76 @@ def _templates() -> list[dict]:
     return named + [{"family": f, "words": sorted(set(words_of(t)))} for f in NAMES for t in TEXTS[f]]
 
 
-def _lines(gated: DataFrame) -> DataFrame:
-    """Single lines that pass the gate, as units -1."""
-    lines = gated.select("doc_id", "tie", F.posexplode(F.split("text", "\n", -1)).alias("position", "line")).filter(F.col("line").rlike(GATE))
-    return lines.select("doc_id", "tie", "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
-
-
-def _windows(gated: DataFrame) -> DataFrame:
-    """Windows that pass the gate over runs of lines that are not blank; ``position`` is the line they begin in, units count from 0.
+class Scorer:
+    """The model as Column expressions over arrays of words; all tables in them have the model's fixed size."""
+
+    def __init__(self, spark, model: Model):
+        self.names = sorted(model.weights)
+        grams = ", ".join("xxhash64(" + ", ".join(f"'{w}'" for w in f.split(" ")) + ")" for f in self.names)
+        hashes = spark.sql(f"SELECT array({grams}) AS h").first()["h"]
+        first, more = [0] * BUCKETS, {}
+        for i, h in enumerate(hashes):
+            if first[h % BUCKETS]:
+                more[h] = i + 1  # the bucket is another feature's
+            else:
+                first[h % BUCKETS] = i + 1
+        none = model.families.index(UNKNOWN)
+        weights = np.array([model.weights[f] for f in self.names])
+        above = np.maximum(np.delete(weights, none, axis=1) - weights[:, [none]], 0)
+        lit = lambda x, kind: F.from_json(F.lit(json.dumps(x)), kind)
+        self.first, self.hashes = lit(first, "array<int>"), lit([0, *hashes], "array<long>")
+        self.more = lit(list(more), "array<long>"), lit(list(more.values()), "array<int>")
+        self.weights = lit([[], *weights.tolist()], "array<array<double>>")
+        self.above = lit([[], *np.round(above, 6).tolist()], "array<array<double>>")
+        self.most = lit([0.0, *above.max(axis=1).tolist()], "array<double>")
+        self.bias = lit(list(model.bias), "array<double>")
+        self.lead = lit((np.delete(model.bias, none) - model.bias[none]).tolist(), "array<double>")
+        self.top_lead = float(np.delete(model.bias, none).max() - model.bias[none])
+
+    def features(self, words: Column) -> Column:
+        """Distinct features, from 1, of an array of words."""
+        place = lambda h: F.get(self.first, F.pmod(h, F.lit(BUCKETS)).cast("int"))
+        pair = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)))
+        none = F.array().cast("array<bigint>")
+        all_of = let(words, lambda w: F.concat(F.transform(w, lambda x: F.xxhash64(x)), F.when(F.size(w) > 1, pair(w)).otherwise(none)))
+        met = F.array_distinct(F.filter(all_of, lambda h: place(h) > 0))
+        other = lambda h: F.coalesce(F.get(self.more[1], F.array_position(self.more[0], h).cast("int") - 1), F.lit(0))
+        ids = F.transform(met, lambda h: F.when(F.get(self.hashes, place(h)) == h, place(h)).otherwise(other(h)))
+        return F.filter(ids, lambda x: x > 0)
+
+    def possible(self, features: Column) -> Column:
+        """Whether some part of a text with these features may be likelier of a family than unknown: all that speaks for a family, and nothing against, is added up."""
+        roughly = F.aggregate(features, F.lit(self.top_lead), lambda acc, f: acc + F.get(self.most, f)) >= 0
+        each = F.aggregate(features, self.lead, lambda acc, f: F.zip_with(acc, F.get(self.above, f), lambda x, y: x + y))
+        return F.when(roughly, F.array_max(each) >= -1e-4).otherwise(F.lit(False))
+
+    def logits(self, features: Column) -> Column:
+        return F.aggregate(features, self.bias, lambda acc, f: F.zip_with(acc, F.get(self.weights, f), lambda x, y: x + y))
+
+
+def _lines(looked: DataFrame, model: Scorer) -> DataFrame:
+    """Single lines that speak of licences or may stand, as units -1."""
+    lines = looked.select("doc_id", "tie", F.posexplode(F.split("text", "\n", -1)).alias("position", "line"))
+    lines = lines.select("doc_id", "tie", "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
+    return lines.withColumn("features", model.features(F.col("words"))).filter(F.col("speaks") | model.possible(F.col("features")))
+
+
+def _windows(looked: DataFrame, model: Scorer) -> DataFrame:
+    """Windows that may stand, over runs of lines that are not blank; ``position`` is the line they begin in, units count from 0.
 
     A notice of n words and line ends lies whole in a window of at most 4 n, or 32, of them.
     """
     lines = F.split("text", "\n", -1)
-    split = gated.select("doc_id", "tie", lines.alias("lines"))
+    split = looked.select("doc_id", "tie", lines.alias("lines"))
     # lines of marks only, such as those of comments, are blank too
     blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.get("lines", i).rlike(r"[\p{L}\p{N}]"))
     split = split.withColumn("blank", blank)
     ends = F.arrays_zip(F.concat(F.array(F.lit(-1)), "blank").alias("a"), F.concat("blank", F.array(F.size("lines"))).alias("b"))
     runs = split.select("doc_id", "tie", "lines", F.explode(ends).alias("e")).filter("e.b - e.a > 1")
     runs = runs.select("doc_id", "tie", (F.col("e.a") + 1).alias("first"), F.concat_ws("\n", F.slice("lines", F.col("e.a") + 2, F.col("e.b") - F.col("e.a") - 1)).alias("run"))
-    marked = runs.filter(F.col("run").rlike(GATE)).select("doc_id", "tie", "first", F.regexp_extract_all(F.lower("run"), F.lit(WORD + r"|\n"), F.lit(0)).alias("words"))
+    plain = lambda w: F.array_remove(w, "\n")
+    marked = runs.select("doc_id", "tie", "first", F.regexp_extract_all(F.lower("run"), F.lit(WORD + r"|\n"), F.lit(0)).alias("words"))
+    marked = marked.filter(model.possible(model.features(plain(F.col("words")))))
     n = F.size("words")
 
     def starts(size: int) -> Column:
@@ -191,14 +255,12 @@ def _windows(gated: DataFrame) -> DataFrame:
         made = F.transform(at, lambda i: F.struct(i.alias("begin"), F.lit(size).alias("size")))
         return made if size == WINDOWS[0] else F.when(n > size // 2, made).otherwise(F.slice(made, 1, 0))
 
-    held = lambda w: F.array_remove(F.slice("words", w["begin"] + 1, w["size"]), "\n")
-    kept = F.filter(F.concat(*map(starts, WINDOWS)), lambda w: F.concat_ws(" ", held(w)).rlike(GATE))
+    held = lambda w: plain(F.slice("words", w["begin"] + 1, w["size"]))
     cut = F.transform(
-        kept, lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words"))
-    )
-    return marked.select("doc_id", "tie", "first", F.posexplode(cut).alias("nr", "w")).select(
-        "doc_id", "tie", F.col("w.position").alias("position"), F.col("nr").alias("unit"), F.lit(False).alias("speaks"), F.col("w.words").alias("words")
+        F.concat(*map(starts, WINDOWS)), lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words"))
     )
+    laid = marked.select("doc_id", "tie", F.posexplode(cut).alias("unit", "w")).select("doc_id", "tie", F.col("w.position").alias("position"), "unit", F.lit(False).alias("speaks"), F.col("w.words").alias("words"))
+    return laid.withColumn("features", model.features(F.col("words"))).filter(model.possible(F.col("features")))
 
 
 def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -207,7 +269,7 @@ def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, tie, position, unit, speaks, family, confidence, similarity, stands of every line and window that passes the gate.
+    """doc_id, tie, position, unit, speaks, family, confidence, similarity, stands of every line that speaks of licences and every line and window that may stand.
 
     ``tie`` is a hash of the text, for rows of equal doc_id. In a window a name must stand
     as a phrase, since its words alone may come from anywhere; every family so named is a row,
@@ -215,24 +277,14 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     model = model or trained()
     spark = docs.sparkSession
-    k = len(model.families)
-    # as many rows as the model has features, a few thousand
-    weights = _table(spark, [{"f": f, "w": list(w)} for f, w in model.weights.items()], "f:string,w:array<double>")
+    scorer = Scorer(spark, model)
     templates = _table(spark, _templates(), "family:string,words:array<string>,phrase:string")
-    gated = docs.filter(F.col("text").rlike(GATE)).select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    # stored, so that units have lasting ids; their words stay out of the sums' rows
-    units = stored(_lines(gated).unionByName(_windows(gated)).withColumn("id", F.monotonically_increasing_id()))
-    pairs = F.when(F.size("words") < 2, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
-    )
+    whole = F.col("text").rlike(SPEAKS) | scorer.possible(scorer.features(_words(F.col("text"))))
+    looked = docs.filter(F.col("text").isNotNull()).filter(whole).select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    # stored, since lines and windows read it
+    looked = stored(looked)
     key = ["doc_id", "tie", "position", "unit"]
-    sums = (
-        units.select("id", F.explode(F.array_distinct(F.concat("words", pairs))).alias("f"))
-        .join(F.broadcast(weights), "f")
-        .groupBy("id")
-        .agg(*(F.sum(F.get("w", F.lit(i))).alias(f"z{i}") for i in range(k)))
-    )
-    scored = units.join(sums, "id", "left").withColumn("z", F.array(*(F.coalesce(f"z{i}", F.lit(0.0)) + F.lit(model.bias[i]) for i in range(k))))
+    scored = _lines(looked, scorer).unionByName(_windows(looked, scorer)).withColumn("z", scorer.logits(F.col("features")))
     best = F.array_max("z")
     share = 1 / F.aggregate("z", F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
     family = F.element_at(F.array(*map(F.lit, model.families)), F.array_position("z", best).cast("int"))

@@ -451,7 +451,6 @@ def test_license_notices_over_lines_and_short(spark):
     got = {r.doc_id: r for r in license_scan.op6(d).collect()}
     assert [got[i].licence for i in range(len(cases))] == [f for _, f in cases]
     assert got[0].n_candidates == 3 and got[3].position == 2 and got[5].position <= 1
-    assert all(re.search(license_scan.GATE, t) for names in (license_scan.NAMES, license_scan.TEXTS) for ts in names.values() for t in ts)
     assert max(2 * len(license_scan.words_of(t)) for ts in license_scan.TEXTS.values() for t in ts) <= license_scan.WINDOWS[-1] // 2
 
 
