@@ -76,6 +76,16 @@ PROSE = [
 ]
 #: Lines that speak of licences; of those without a notice that stands the text is called unknown.
 SPEAKS = r"(?i)licen[cs]e|licen[cs]ing|copyright|warrant|permission|redistribut|public domain|rights reserved|\bcc[ 0-]|creative commons|spdx|\bgnu\b|\bl?a?gpl|unencumbered|free to copy"
+#: Common words of four languages are no features, and pairs of them neither.
+COMMON = frozenset(
+    """a about above after all also an and any are as at be been before but by can could did do does each for from had has have he her his if in into is it its may more most must no nor
+    not of off on one only or other our out over own shall she should so some such than that the their them then there these they this those to under up upon use used was were what when where which who will with without would you your
+    aber als am auf aus bei bin bis das dem den der des die doch durch ein eine einem einen einer er es für hat ich ihm ihr im ist ja mit nach nicht noch nur oder ohne sich sie sind so über um und uns von vor war wie wir zu zum zur
+    al con de del el en la las lo los más o para pero por que se sin su un una y au aux avec ce cette dans des du elle est et il je le les leur ne nous ou par pas pour qui sa ses son sont sur une vous""".split()
+)
+#: What marks the ends of a paragraph in pairs; "mit" alone is a common word of German, in pairs it is not.
+BEGIN, FINISH = "^", "$"
+IN_PAIRS = frozenset(COMMON - {"mit"} | {BEGIN, FINISH})
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Probability and share of a template's words that let a prediction stand.
 CONFIDENT, SIMILAR = 0.5, 0.8
@@ -85,8 +95,8 @@ PIECE = 12
 WINDOWS = (32, 64, 128, 256, 512)
 DILUTED = 8
 STEPS, RATE, RIDGE, LASSO = 300, 2.0, 1e-3, 2e-5
-#: Buckets of the table that tells features from other words.
-BUCKETS = 1 << 16
+#: Weights this small, before calibration, are left out.
+LEAST = 0.03
 
 
 def words_of(text: str) -> list[str]:
@@ -94,9 +104,10 @@ def words_of(text: str) -> list[str]:
 
 
 def features_of(text: str) -> set[str]:
-    """Distinct words and pairs of neighbouring words."""
+    """Distinct words and pairs of neighbouring words, with marks of the ends; common words do not count."""
     w = words_of(text)
-    return {*w, *(f"{a} {b}" for a, b in itertools.pairwise(w))}
+    pairs = itertools.pairwise([BEGIN, *w, FINISH])
+    return {*(x for x in w if x not in COMMON), *(f"{a} {b}" for a, b in pairs if a not in IN_PAIRS or b not in IN_PAIRS)}
 
 
 @dataclass(frozen=True)
@@ -155,9 +166,10 @@ def trained() -> Model:
         w -= RATE * (a.T @ d + RIDGE * w)
         w = np.sign(w) * np.maximum(np.abs(w) - RATE * LASSO, 0)  # most weights are zero
         b -= RATE * d.sum(axis=0)
+    w[np.abs(w).max(axis=1) < LEAST] = 0
     z, h = x[~teach] @ w + b, y[~teach]
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=lambda c: -np.log((soft(z / c) * h).sum(axis=1) + 1e-12).sum())
-    w, b = np.round(w / temperature, 6), np.round(b / temperature, 6)
+    w, b = np.round(w / temperature, 4), np.round(b / temperature, 4)
     return Model(families, {f: tuple(w[i].tolist()) for f, i in index.items() if w[i].any()}, tuple(b.tolist()))
 
 
@@ -181,54 +193,43 @@ class Scorer:
     """The model as Column expressions over arrays of words; all tables in them have the model's fixed size."""
 
     def __init__(self, spark, model: Model):
-        self.names = sorted(model.weights)
-        grams = ", ".join("xxhash64(" + ", ".join(f"'{w}'" for w in f.split(" ")) + ")" for f in self.names)
-        hashes = spark.sql(f"SELECT array({grams}) AS h").first()["h"]
-        first, more = [0] * BUCKETS, {}
-        for i, h in enumerate(hashes):
-            if first[h % BUCKETS]:
-                more[h] = i + 1  # the bucket is another feature's
-            else:
-                first[h % BUCKETS] = i + 1
+        names = sorted(model.weights)
+        hash_of = lambda xs: spark.sql("SELECT array(" + ", ".join("xxhash64(" + ", ".join(f"'{w}'" for w in x.split(" ")) + ")" for x in xs) + ") AS h").first()["h"]
+        # of each feature one word that is in every text which has it
+        anchors = sorted({next(x for x in f.split(" ") if x not in (IN_PAIRS if " " in f else COMMON)) for f in names})
         none = model.families.index(UNKNOWN)
-        weights = np.array([model.weights[f] for f in self.names])
-        above = np.maximum(np.delete(weights, none, axis=1) - weights[:, [none]], 0)
+        weights = np.array([model.weights[f] for f in names])
         lit = lambda x, kind: F.from_json(F.lit(json.dumps(x)), kind)
-        self.first, self.hashes = lit(first, "array<int>"), lit([0, *hashes], "array<long>")
-        self.more = lit(list(more), "array<long>"), lit(list(more.values()), "array<int>")
-        self.weights = lit([[], *weights.tolist()], "array<array<double>>")
-        self.above = lit([[], *np.round(above, 6).tolist()], "array<array<double>>")
-        self.most = lit([0.0, *above.max(axis=1).tolist()], "array<double>")
+        self.anchors, self.hashes = lit(anchors, "array<string>"), lit(hash_of(names), "array<long>")
+        self.weights = lit(weights.tolist(), "array<array<double>>")
+        self.most = lit(np.maximum(weights - weights[:, [none]], 0).max(axis=1).tolist(), "array<double>")
         self.bias = lit(list(model.bias), "array<double>")
-        self.lead = lit((np.delete(model.bias, none) - model.bias[none]).tolist(), "array<double>")
-        self.top_lead = float(np.delete(model.bias, none).max() - model.bias[none])
+        self.none, self.lead = none, np.array(model.bias) - model.bias[none]
+        self.lead[none] = -1e9
 
     def features(self, words: Column) -> Column:
-        """Distinct features, from 1, of an array of words."""
-        place = lambda h: F.get(self.first, F.pmod(h, F.lit(BUCKETS)).cast("int"))
-        pair = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)))
-        none = F.array().cast("array<bigint>")
-        all_of = let(words, lambda w: F.concat(F.transform(w, lambda x: F.xxhash64(x)), F.when(F.size(w) > 1, pair(w)).otherwise(none)))
-        met = F.array_distinct(F.filter(all_of, lambda h: place(h) > 0))
-        other = lambda h: F.coalesce(F.get(self.more[1], F.array_position(self.more[0], h).cast("int") - 1), F.lit(0))
-        ids = F.transform(met, lambda h: F.when(F.get(self.hashes, place(h)) == h, place(h)).otherwise(other(h)))
-        return F.filter(ids, lambda x: x > 0)
+        """Distinct features, from 1, of an array of words; they are looked for where a word is one that features have."""
+        pairs = let(F.concat(F.array(F.lit(BEGIN)), words, F.array(F.lit(FINISH))), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1))))
+        met = F.array_intersect(F.concat(F.transform(words, lambda x: F.xxhash64(x)), pairs), self.hashes)
+        ids = F.transform(met, lambda h: F.array_position(self.hashes, h).cast("int"))
+        return F.when(F.arrays_overlap(words, self.anchors), ids).otherwise(F.array().cast("array<int>"))
 
     def possible(self, features: Column) -> Column:
         """Whether some part of a text with these features may be likelier of a family than unknown: all that speaks for a family, and nothing against, is added up."""
-        roughly = F.aggregate(features, F.lit(self.top_lead), lambda acc, f: acc + F.get(self.most, f)) >= 0
-        each = F.aggregate(features, self.lead, lambda acc, f: F.zip_with(acc, F.get(self.above, f), lambda x, y: x + y))
-        return F.when(roughly, F.array_max(each) >= -1e-4).otherwise(F.lit(False))
+        roughly = F.aggregate(features, F.lit(float(self.lead.max())), lambda acc, f: acc + F.get(self.most, f - 1)) >= -1e-6
+        above = lambda acc, w: F.zip_with(acc, w, lambda x, y: x + F.greatest(F.lit(0.0), y - F.get(w, F.lit(self.none))))
+        each = F.aggregate(features, F.array(*map(F.lit, self.lead.tolist())), lambda acc, f: above(acc, F.get(self.weights, f - 1)))
+        return F.when(roughly, F.array_max(each) >= -1e-6).otherwise(F.lit(False))
 
     def logits(self, features: Column) -> Column:
-        return F.aggregate(features, self.bias, lambda acc, f: F.zip_with(acc, F.get(self.weights, f), lambda x, y: x + y))
+        return F.aggregate(features, self.bias, lambda acc, f: F.zip_with(acc, F.get(self.weights, f - 1), lambda x, y: x + y))
 
 
 def _lines(looked: DataFrame, model: Scorer) -> DataFrame:
     """Single lines that speak of licences or may stand, as units -1."""
     lines = looked.select("doc_id", "tie", F.posexplode(F.split("text", "\n", -1)).alias("position", "line"))
     lines = lines.select("doc_id", "tie", "position", F.lit(-1).alias("unit"), F.col("line").rlike(SPEAKS).alias("speaks"), _words(F.col("line")).alias("words"))
-    return lines.withColumn("features", model.features(F.col("words"))).filter(F.col("speaks") | model.possible(F.col("features")))
+    return lines.withColumn("features", let(F.col("words"), model.features)).filter(F.col("speaks") | let(F.col("features"), model.possible))
 
 
 def _windows(looked: DataFrame, model: Scorer) -> DataFrame:
@@ -246,7 +247,7 @@ def _windows(looked: DataFrame, model: Scorer) -> DataFrame:
     runs = runs.select("doc_id", "tie", (F.col("e.a") + 1).alias("first"), F.concat_ws("\n", F.slice("lines", F.col("e.a") + 2, F.col("e.b") - F.col("e.a") - 1)).alias("run"))
     plain = lambda w: F.array_remove(w, "\n")
     marked = runs.select("doc_id", "tie", "first", F.regexp_extract_all(F.lower("run"), F.lit(WORD + r"|\n"), F.lit(0)).alias("words"))
-    marked = marked.filter(model.possible(model.features(plain(F.col("words")))))
+    marked = marked.filter(let(let(plain(F.col("words")), model.features), model.possible))
     n = F.size("words")
 
     def starts(size: int) -> Column:
@@ -256,11 +257,10 @@ def _windows(looked: DataFrame, model: Scorer) -> DataFrame:
         return made if size == WINDOWS[0] else F.when(n > size // 2, made).otherwise(F.slice(made, 1, 0))
 
     held = lambda w: plain(F.slice("words", w["begin"] + 1, w["size"]))
-    cut = F.transform(
-        F.concat(*map(starts, WINDOWS)), lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words"))
-    )
+    kept = F.filter(F.concat(*map(starts, WINDOWS)), lambda w: let(let(held(w), model.features), model.possible))
+    cut = F.transform(kept, lambda w: F.struct((F.col("first") + F.size(F.filter(F.slice("words", 1, w["begin"]), lambda x: x == "\n"))).alias("position"), held(w).alias("words")))
     laid = marked.select("doc_id", "tie", F.posexplode(cut).alias("unit", "w")).select("doc_id", "tie", F.col("w.position").alias("position"), "unit", F.lit(False).alias("speaks"), F.col("w.words").alias("words"))
-    return laid.withColumn("features", model.features(F.col("words"))).filter(model.possible(F.col("features")))
+    return laid.withColumn("features", let(F.col("words"), model.features))
 
 
 def paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -279,7 +279,7 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     spark = docs.sparkSession
     scorer = Scorer(spark, model)
     templates = _table(spark, _templates(), "family:string,words:array<string>,phrase:string")
-    whole = F.col("text").rlike(SPEAKS) | scorer.possible(scorer.features(_words(F.col("text"))))
+    whole = F.col("text").rlike(SPEAKS) | let(let(_words(F.col("text")), scorer.features), scorer.possible)
     looked = docs.filter(F.col("text").isNotNull()).filter(whole).select("doc_id", F.xxhash64("text").alias("tie"), "text")
     # stored, since lines and windows read it
     looked = stored(looked)
