@@ -14,7 +14,7 @@ SEASONS = {"春": "03", "夏": "06", "秋": "09", "冬": "12"}
 #: What a byline of a mere source begins with; closing verbs, longest first.
 SOURCE_ONLY = "見海刊"
 VERBS = ("編述", "編", "講", "作", "記", "說")
-_MONTH = "^(正|一|二|三|四|五|六|七|八|九|十[一二]?|[一二]?十[一二]?)月"
+_MONTH = "^([正一二三四五六七八九]|十[一二]?)月"
 
 
 def _month_number(name: Column) -> Column:

@@ -44,18 +44,21 @@ def kind_label(text: Column, flags: list[Column], fallbacks: list[tuple[Column,
     return F.when(text == "", empty).when(n >= 2, several).when(n == 1, one).otherwise(rest)
 
 
+#: Characters and patterns that decide the kind of a byline.
+_OPEN, _CLOSE = "[（(]", "[)）]"
+_PRINTED = "[刊載载轉转登][載载刊登]"
+_NUMBER, _LARGE, _APART = r"[\d一二三四五六七八九十廿卅]+", r"[\d一二三四五六七八九十百千万廿卅]+", r"[，,\s]*"
+_ERA_YEAR = rf"(?U)^{_OPEN}?(民國?|佛曆?)[\d一二三四五六七八九十百千]+年"
+_BARE_DATE = rf"(?U)^{_OPEN}?[廿卅第]?{_LARGE}{_APART}年?{_APART}{_NUMBER}{_APART}月?{_NUMBER}[日，,\s]"
+
+
 def classify_byline(raw: Column, sources: tuple[str, ...] = (), author: str = AUTHOR) -> Column:
     """The kind of a byline or note; ``sources`` are names of periodicals that tell of publication on their own."""
     t = strip(F.coalesce(raw, F.lit("")))
-    digits = "[\\d一二三四五六七八九十廿卅]"
-    publication = t.rlike("[（(][見见錄录出]") | t.rlike("^[见見錄录出]") | t.rlike("^[原并並散]?[見见]") | t.rlike("(?U)[)）]\\s*[原并並散]?[見见]") | t.rlike("[刊載载刊轉转登][載载刊登]")
-    lecture = t.rlike("——|──") | t.rlike("(?U)(民國|宣統)?\\d+年.*?(在|於|作|編|講|述|記)")
-    scribe = t.rlike("[（(][^)）]*[記记]")
-    signed = (
-        t.rlike(f"{author}[識撰跋敘序記附書簽]|釋{author}|雪山{author}") | t.rlike(f"(?<![，,]){author}[，,、]") | t.rlike(f"^[（(]?{author}")
-        | t.rlike("(?U)^[（(]?(民國|民|佛曆|佛)[\\d一二三四五六七八九十百千]+年")
-        | t.rlike(f"(?U)^[（(]?[廿卅第]?[\\d一二三四五六七八九十百千万廿卅]+[，,\\s]*年?[，,\\s]*{digits}+[，,\\s]*月?{digits}+[日，,\\s]")
-    )
+    publication = t.rlike(f"(^|{_OPEN})[见見錄录出]") | t.rlike(rf"(?U)(^|{_CLOSE}\s*)[原并並散]?[见見]") | t.rlike(_PRINTED)
+    lecture = t.contains("——") | t.contains("──") | t.rlike(r"(?U)\d年.*[在於作編講述記]")
+    scribe = t.rlike(f"{_OPEN}[^)）]*[記记]")
+    signed = t.rlike(f"(釋|雪山){author}|{author}[識撰跋敘序記附書簽]|^{_OPEN}?{author}|(?<![，,]){author}[，,、]") | t.rlike(_ERA_YEAR) | t.rlike(_BARE_DATE)
     fallbacks = [(t.rlike("[見见].*[刊报報叢书書集鈔钞誌志月周旬]"), KINDS[0]), (t.rlike("^[（(].{1,12}[)）]$"), KINDS[3])]
     if sources:
         fallbacks.append((any_of(t, [s for s in sources if len(s) >= 2]), KINDS[0]))

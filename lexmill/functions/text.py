@@ -154,3 +154,13 @@ def split_trailing_source(text: Column) -> Column:
 def split_appendix_heading(heading: Column) -> Column:
     """The subtitle of a heading that begins with 附 and a colon, a space or nothing; null for others."""
     return F.when(heading.rlike("^附"), F.regexp_replace(heading, "^附[：:　 ]?", ""))
+
+
+def truncated(text: Column, most: int) -> Column:
+    """The first ``most`` characters of a text."""
+    return F.substring(text, 1, most)
+
+
+def directory_index(name: Column, names: Column) -> Column:
+    """The place of a name in a list, from 1; null if it is not there."""
+    return F.nullif(F.array_position(names, name), F.lit(0))

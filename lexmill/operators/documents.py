@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.classify import about_publication, classify_byline
@@ -33,7 +34,7 @@ def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
     return parts.groupBy("doc_id", F.col("top").alias("node_id")).agg(joined.alias("text"))
 
 
-def node_paths(nodes: DataFrame, deepest: int = 64) -> DataFrame:
+def node_paths(nodes: DataFrame) -> DataFrame:
     """Nodes with ``path``: their ancestors' ids and their own, by a scan of each document in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +61,7 @@ def outline_labels(toc: DataFrame, top: str = "篇") -> DataFrame:
     from lexmill.operators.sequences import outline
 
     rows = outline(toc.withColumn("heading", space_heading(F.col("text"))), "doc_id")
-    depths = [r["level"] for r in toc.select("level").distinct().orderBy("level").limit(64).collect()]
+    depths = [r["level"] for r in toc.select("level").distinct().orderBy("level").collect()]
     done = None
     for level in depths:
         now = rows.filter(F.col("level") == level)
@@ -75,17 +76,32 @@ def outline_labels(toc: DataFrame, top: str = "篇") -> DataFrame:
 
 
 def toc_lines(toc: DataFrame, style: str = "flat") -> DataFrame:
-    """doc_id, seq, line of each heading: flat (indented), csv (quotes not escaped), or tree (with branches)."""
-    indent = F.expr("repeat('    ', greatest(level - 1, 0))")
+    """doc_id, seq, line of each heading: flat (indented), csv (quotes not escaped), or tree (branches and levels, of an outline())."""
     if style == "csv":
         line = F.format_string('%d,"%s"', "level", "text")
     elif style == "tree":
-        line = F.concat(indent, F.when(F.col("is_last"), "└── ").otherwise("├── "), F.col("text"))
+        line = F.concat(F.col("bars"), F.when(F.col("is_last"), "`-- ").otherwise("|-- "), F.col("text"), F.format_string(" (level %d)", "level"))
     else:
-        line = F.concat(indent, F.col("text"))
+        line = F.concat(F.expr("repeat('  ', greatest(level - 1, 0))"), F.col("text"))
     return toc.select("doc_id", "seq", line.alias("line"))
 
 
+def nested_toc(toc: DataFrame) -> DataFrame:
+    """doc_id, toc of every document: its headings (seq, level, text, parent_seq) as nested JSON, children under their parents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("seq").to_pylist()
+        made = {r["seq"]: {"text": r["text"], "level": r["level"], "children": []} for r in rows}
+        roots = []
+        for r in rows:
+            above = made.get(r["parent_seq"])
+            (above["children"] if above else roots).append(made[r["seq"]])
+        return pa.table({"doc_id": [rows[0]["doc_id"]], "toc": [json.dumps(roots, ensure_ascii=False)]})
+
+    kind = toc.schema["doc_id"].dataType.simpleString()
+    return toc.select("doc_id", "seq", "level", "text", "parent_seq").groupBy("doc_id").applyInArrow(run, f"doc_id {kind}, toc string")
+
+
 def inline_notes(nodes: DataFrame, within: str | None = "byline") -> DataFrame:
     """doc_id, node_id, text of inline notes that are not hidden additions, everywhere or within an element."""
     paths = node_paths(nodes)
@@ -108,16 +124,45 @@ def anchored_notes(nodes: DataFrame) -> DataFrame:
 
 
 def end_matter(nodes: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, type, raw_text, byline_type of bylines, inline notes that are not in them, and notes on publication; texts once."""
+    """doc_id, type, raw_text, byline_type of bylines, inline notes, paragraphs and back notes on publication; texts once, of the first source."""
     spaceless = F.regexp_replace("text", r"(?U)\s+", "")
     take = lambda df, kind: df.select("doc_id", "node_id", F.lit(kind).alias("type"), spaceless.alias("raw_text"))
     found = take(tree_text(nodes, ["byline"]), "byline").unionByName(take(inline_notes(nodes), "inline_note"))
     paragraphs = take(tree_text(nodes, ["p"]), "paragraph").filter(F.col("raw_text").rlike("附[註注]") & about_publication(F.col("raw_text")))
-    each = found.unionByName(paragraphs).filter("raw_text <> ''")
+    back = anchored_notes(nodes).select("doc_id", F.lit(1 << 30).alias("node_id"), F.lit("back_note").alias("type"), spaceless.alias("raw_text")).filter(about_publication(F.col("raw_text")))
+    each = found.unionByName(paragraphs).unionByName(back).filter("raw_text <> ''")
     once = Window.partitionBy("doc_id", "raw_text").orderBy("node_id", "type")
     return each.withColumn("rn", F.row_number().over(once)).filter("rn = 1").select("doc_id", "type", "raw_text", classify_byline(F.col("raw_text"), sources).alias("byline_type"))
 
 
+def first_bylines(nodes: DataFrame) -> DataFrame:
+    """doc_id, parent_id, text of the first byline of each division that stands before any of its paragraphs."""
+    inside = nodes.filter(F.col("tag").isin("byline", "p"))
+    first = inside.groupBy("doc_id", "parent_id").agg(F.min_by(F.struct("node_id", "tag"), "ord").alias("f")).filter("f.tag = 'byline'")
+    return first.select("doc_id", "parent_id", F.col("f.node_id").alias("node_id")).join(tree_text(nodes, ["byline"]), ["doc_id", "node_id"]).select("doc_id", "parent_id", "text")
+
+
+def byline_in_bytes(content: Column, start: Column, end: Column, tag: str = "byline", most: int = 5000) -> Column:
+    """The text of the first element ``tag`` in the first ``most`` bytes of a range; empty without one."""
+    head = F.decode(F.substring(content, (start + 1).cast("int"), F.least(F.lit(most), end - start).cast("int")), "utf-8")
+    return F.trim(F.regexp_replace(F.regexp_extract(head, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), "<[^>]+>", ""))
+
+
+def with_appendixes(catalogue: DataFrame, appendixes: DataFrame, key: str = "name") -> DataFrame:
+    """Catalogue entries with ``appendix`` and ``n_chars`` of articles (name, appendix, n_chars); of equal names only the first entry, by seq, takes them."""
+    first = catalogue.groupBy(key).agg(F.min("seq").alias("seq"))
+    once = appendixes.groupBy(key).agg(F.min("appendix").alias("appendix"), F.max("n_chars").alias("n_chars"))
+    return catalogue.join(first.join(once, key), [key, "seq"], "left")
+
+
+def assembled(articles: DataFrame) -> DataFrame:
+    """Articles (doc_id, title, front, markdown, notes array, appendix) as whole texts: front matter, title, body, appendix, notes, count of characters."""
+    notes = F.array_join(F.transform("notes", lambda x, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), x)), "\n")
+    part = lambda head, x: F.when(F.coalesce(x, F.lit("")) != "", F.concat(F.lit(head), x))
+    text = F.concat_ws("\n\n", F.col("front"), F.concat(F.lit("# "), "title"), part("", F.col("markdown")), part("## 附\n\n", F.col("appendix")), part("## 註\n\n", notes))
+    return articles.select("doc_id", text.alias("text"), count_class(F.col("markdown"), CJK_COMPAT).cast("long").alias("n_chars"))
+
+
 #: Elements that only hold divisions and blocks, and those that hold no text of the article.
 _HOLDERS, _APART = frozenset("TEI text body front html main article section".split()), frozenset("teiHeader back script style".split())
 

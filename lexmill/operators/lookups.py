@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 NO_DATE = ("0000-00-00", "0000", "")
 
 
-def expand_spans(rows: DataFrame, first: str, last: str, out: str = "issue", distinct: bool = True) -> DataFrame:
+def expand_spans(rows: DataFrame, first: str, last: str, out: str = "issue") -> DataFrame:
     """A row for every number from ``first`` to ``last``; none where first is above last or either is no number."""
     a, b = F.col(first).try_cast("int"), F.col(last).try_cast("int")
     span = F.when(a <= b, F.sequence(a, b))
@@ -29,8 +29,7 @@ def cascade(left: DataFrame, table: DataFrame, attempts: list[dict[str, Column]]
 
     Each attempt maps key columns of the table to expressions over ``left``, compared null-safely. A
     key that is there with an empty value stops the cascade, so hits and not values are
-    coalesced. ``table`` must have one row per key. All attempts are tried by one join: ``left``
-    keeps its rows, each attempt joins its own keys.
+    coalesced. ``table`` must have one row per key; each attempt is one join of its own keys.
     """
     result, hits, values = left, [], []
     for n, keys in enumerate(attempts, 1):
@@ -81,3 +80,57 @@ def vote(rows: DataFrame, key: str, value: str, order: str, default: str | None
     best = Window.partitionBy(key).orderBy(F.desc("n"), "o", value)
     out = n.withColumn("rn", F.row_number().over(best)).filter("rn = 1").select(key, value, "n")
     return out if default is None else rows.select(key).distinct().join(out, key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def canonical_name(rows: DataFrame, name: str, aliases: DataFrame, out: str = "canonical") -> DataFrame:
+    """Rows with the canonical form of a name: of an alias (alias, canonical) its own, of others themselves, null for blank ones."""
+    clean = F.nullif(F.trim(F.col(name)), F.lit(""))
+    known = aliases.select(F.col("alias").alias("__a"), F.col("canonical").alias("__c"))
+    return rows.withColumn("__n", clean).join(known, F.col("__n") == F.col("__a"), "left").withColumn(out, F.coalesce("__c", "__n")).drop("__n", "__a", "__c")
+
+
+def resolved_dates(parsed: DataFrame, dates: DataFrame) -> DataFrame:
+    """Parsed references (pub, vol, issues, text) with publish_y, publish_m, publish_d and unmatched.
+
+    The first issue's date counts, looked up in ``dates`` (pub, vol, issue, date) by volume, then without one, then by
+    volume 0. Without issues there is no date and nothing unmatched; a lookup that fails echoes the text.
+    """
+    from lexmill.functions.bylines import date_parts
+
+    left = parsed.withColumn("__pub", F.col("pub")).withColumn("__vol", F.col("vol")).withColumn("__issue", F.get("issues", F.lit(0)))
+    tries = [{"pub": F.col("__pub"), "vol": v, "issue": F.col("__issue")} for v in (F.col("__vol"), F.lit(None).cast("int"), F.lit(0))]
+    found = cascade(left, dates, tries, "date").withColumn("d", date_parts(F.col("found")))
+    asked = F.col("__issue").isNotNull()
+    part = lambda x: F.when(asked, F.coalesce(F.col(f"d.{x}"), F.lit(""))).otherwise("").alias(f"publish_{x}")
+    missing_date = asked & F.col("d.y").isNull()
+    return found.filter("pub is not null").select("text", "pub", part("y"), part("m"), part("d"), F.when(missing_date, F.col("text")).alias("unmatched"))
+
+
+def match_statistics(rows: DataFrame, text: str, canonical: str, heuristic: str) -> DataFrame:
+    """relevant, matched, unmatched (not matched, but ``heuristic`` takes them for references) and distinct names of all rows."""
+    return rows.agg(
+        F.count(F.lit(1)).alias("relevant"), F.count(canonical).alias("matched"), F.count_if(F.col(canonical).isNull() & F.col(text).rlike(heuristic)).alias("unmatched"),
+        F.count_distinct(canonical).alias("names"),
+    )
+
+
+def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, values: list[str]) -> DataFrame:
+    """``left`` with the values of the last row of ``right`` of the same key at or before its time; nulls without one.
+
+    Both are laid in one order per key and values carried on, so no pairs are made.
+    """
+    kinds = {f.name: f.dataType for f in left.schema} | {f.name: f.dataType for f in right.schema}
+    rest = [c for c in left.columns if c not in (key, time)]
+    null = lambda c: F.lit(None).cast(kinds[c])
+    a = left.select(key, time, F.lit(1).alias("__side"), *rest, F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("__v"))
+    b = right.select(key, time, F.lit(0).alias("__side"), *(null(c).alias(c) for c in rest), F.struct(*values).alias("__v"))
+    upto = Window.partitionBy(key).orderBy(time, "__side").rowsBetween(Window.unboundedPreceding, 0)
+    met = a.unionByName(b).withColumn("__v", F.last("__v", True).over(upto)).filter("__side = 1")
+    return met.select(*left.columns, *(F.col(f"__v.{v}").alias(v) for v in values))
+
+
+def interval_join(points: DataFrame, spans: DataFrame, at: str, first: str, last: str, width: float) -> DataFrame:
+    """Pairs of points and the spans [first, last] that hold them, met by buckets of ``width``; spans take as many buckets as they cross."""
+    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    wide = spans.filter(F.col(first) <= F.col(last)).withColumn("__b", F.explode(F.sequence(bucket(first), bucket(last))))
+    return points.withColumn("__b", bucket(at)).join(wide, "__b").filter((F.col(at) >= F.col(first)) & (F.col(at) <= F.col(last))).drop("__b")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,18 +27,20 @@ def with_front_matter(text: Column, block: Column) -> Column:
 def upsert_list(text: Column, field: str, items: Column, before: str = "themes:") -> Column:
     """A YAML list field of the front matter replaced, or inserted before ``before`` or the closing line.
 
-    Null items leave the text as it is.
+    Only the block between the first two --- lines is looked at. Null items, and texts
+    without such a block, are left as they are.
     """
+    head = F.regexp_extract(text, r"(?s)\A(---\n(?:.*?\n)??)---[ \t]*(?:\n|\z)", 1)
     block = F.concat(F.lit(f"{field}:\n"), F.array_join(F.transform(items, lambda x: F.concat(F.lit("  - "), x)), "\n"), F.lit("\n"))
     safe = F.regexp_replace(block, r"([\\$])", r"\\$1")
-    there = rf"(?m)^{field}:[^\n]*\n(?:[ \t]+-[^\n]*\n)*"
-    at_mark = rf"(?m)^(?={before})"
-    replaced = F.regexp_replace(text, F.lit(there), safe)
-    marked = F.regexp_replace(text, F.lit(at_mark), safe)
-    closing = F.instr(F.substring(text, 5, 1 << 30), "\n---")
-    ended = F.concat(F.substring(text, F.lit(1), closing + 4), block, F.substring(text, closing + 5, F.lit(1 << 30)))
-    done = F.when(text.rlike(there), replaced).when(text.rlike(at_mark), marked).when(text.startswith("---\n") & (closing > 0), ended).otherwise(text)
-    return F.when(items.isNull(), text).otherwise(done)
+    there = rf"(?m)^{re.escape(field)}:[^\n]*\n(?:[ \t]+-[^\n]*\n)*"
+    at_mark = rf"(?m)^(?={re.escape(before)})"
+    changed = (
+        F.when(head.rlike(there), F.regexp_replace(head, F.lit(there), safe))
+        .when(head.rlike(at_mark), F.regexp_replace(head, F.lit(at_mark), safe))
+        .otherwise(F.concat(head, block))
+    )
+    return F.when(items.isNull() | (head == ""), text).otherwise(F.concat(changed, F.substring(text, F.length(head) + 1, F.lit(1 << 30))))
 
 
 def annotated(text: Column, dimensions: dict[str, Column]) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,15 +46,51 @@ def gaps(rows: DataFrame, start: str, end: str, order: list, within: list[str],
 
 
 def outline(headings: DataFrame, key: str, seq: str = "seq", level: str = "level") -> DataFrame:
-    """Headings with parent_seq (the last before of smaller level) and is_last (no later sibling under that parent)."""
-    w = Window.partitionBy(key).orderBy(seq)
-    upto = w.rowsBetween(Window.unboundedPreceding, -1)
-    before = F.collect_list(F.struct(F.col(seq).alias("s"), F.col(level).alias("l"))).over(upto)
-    after = F.collect_list(F.col(level)).over(w.rowsBetween(1, Window.unboundedFollowing))
-    above = F.filter(before, lambda x: x["l"] < F.col(level))
-    # the next heading of at most this level: a sibling if it is of the same level
-    later = F.filter(after, lambda x: x <= F.col(level))
-    return headings.select("*", F.get(above, F.size(above) - 1)["s"].alias("parent_seq"), F.coalesce(F.get(later, F.lit(0)) < F.col(level), F.lit(True)).alias("is_last"))
+    """Headings with parent_seq (the last before of smaller level), is_last (no later sibling) and bars (the branches of a tree above it).
+
+    Each document's headings pass once, in order, through a stack of open levels; a document's
+    outline stays in its task.
+    """
+    names = headings.columns
+    at, depth = names.index(seq), names.index(level)
+    kinds = {f.name: f.dataType.simpleString() for f in headings.schema}
+
+    def told(rows: list[list]) -> None:
+        last, stack = [True] * len(rows), []
+        for i, r in enumerate(rows):
+            while stack and rows[stack[-1]][depth] > r[depth]:
+                stack.pop()
+            if stack and rows[stack[-1]][depth] == r[depth]:
+                last[stack.pop()] = False
+            r.append(rows[stack[-1]][at] if stack else None)
+            stack.append(i)
+        ends: list[bool] = []  # whether the open node of each level is the last of its siblings
+        for r, end in zip(rows, last, strict=True):
+            above = max(r[depth] - 1, 0)
+            ends = (ends + [False] * above)[:above]
+            r += [end, "".join("    " if e else "|   " for e in ends)]
+            ends.append(end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        document, rows, schema = None, [], None
+
+        def finished() -> pa.RecordBatch:
+            told(rows)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+        for b in batches:
+            schema = pa.schema([*b.schema, pa.field("parent_seq", b.schema.field(seq).type), pa.field("is_last", pa.bool_()), pa.field("bars", pa.string())])
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if rows and row[names.index(key)] != document:
+                    yield finished()
+                    rows = []
+                document = row[names.index(key)]
+                rows.append(list(row))
+        if rows:
+            yield finished()
+
+    out = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + f", parent_seq {kinds[seq]}, is_last boolean, bars string"
+    return headings.repartition(key).sortWithinPartitions(key, seq).mapInArrow(run, out)
 
 
 def collapse_blank(text: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Tables that a data folder may hold, one Parquet file or folder each.
@@ -39,3 +42,13 @@ def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None =
 def run_sql(spark: SparkSession, query: str, args: dict | list | None = None) -> DataFrame:
     """Free-form SQL over registered views, with named or positional parameters."""
     return spark.sql(query, args=args) if args else spark.sql(query)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; a temporary one only in local sessions where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="lexmill-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

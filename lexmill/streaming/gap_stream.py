@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lexmill.session import shared_folder
+
 
 SCHEMA = "article_path string, timestamp string, concepts array<string>, domains array<string>, functions array<string>, bearings array<string>, gap_terms array<string>"
 
@@ -45,9 +44,14 @@ def start(counts: DataFrame, name: str, checkpoint: str, every_batch=None) -> St
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """A new folder for a stream's state, below spark.checkpoint.dir; a temporary one only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexmill-stream-")
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A new folder for a stream's state."""
+    return shared_folder(spark, "stream")
+
+
+def windowed_counts(rows: DataFrame, time: str, by: str, late: str = "10 minutes", size: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """n per window and group; rows later than ``late`` are dropped, which bounds the state."""
+    at = F.window(time, size, slide) if slide else F.window(time, size)
+    return rows.withWatermark(time, late).groupBy(at.alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n")
 
 
 def distinct_counts(rows: DataFrame, by: str, distinct: str) -> DataFrame:
