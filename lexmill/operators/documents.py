@@ -144,7 +144,7 @@ def first_bylines(nodes: DataFrame) -> DataFrame:
 
 def byline_in_bytes(content: Column, start: Column, end: Column, tag: str = "byline", most: int = 5000) -> Column:
     """The text of the first element ``tag`` in the first ``most`` bytes of a range; empty without one."""
-    head = F.decode(F.substring(content, (start + 1).cast("int"), F.least(F.lit(most), end - start).cast("int")), "utf-8")
+    head = F.make_valid_utf8(F.substring(content, (start + 1).cast("int"), F.least(F.lit(most), end - start).cast("int")).cast("string"))
     return F.trim(F.regexp_replace(F.regexp_extract(head, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), "<[^>]+>", ""))
 
 

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from lexmill.plans import more  # noqa: F401
 from lexmill.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
