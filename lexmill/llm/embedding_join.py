@@ -25,14 +25,16 @@ from lexmill.llm.common import forget, released, stored
 from lexmill.llm.graph import components, local_roots
 
 COSINE = 0.95
-#: Dimensions of a block, about, and the least number of leading ones that the grid cuts; more vectors have more cut.
-BLOCK_DIMS, GRID_DIMS = 8, 2
+#: Dimensions of a block, about.
+BLOCK_DIMS = 8
 #: A cell is so many search radii wide; vectors near its upper side also go to the next cell.
-CELL_RADII = 2.0
-#: Vectors of a cell that are compared in one task, about; fuller cells are split into parts.
-PART = 4_096
+CELL_RADII = 3.0
+#: Vector components of a cell that are compared in one task, about; fuller cells are split into parts.
+PART_VALUES = 3 << 20
+#: Parts that a middling cell may have before the grid cuts one more dimension of each block, and the share of vectors that a cut leaves together.
+PARTS, TOGETHER = 8, 0.65
 #: Rows compared at once with all others of a part.
-STEP = 512
+STEP = 128
 #: Rounding of distances in a block may not lose a pair.
 SLACK = 1e-5
 SEED = 11
@@ -68,9 +70,14 @@ def unit_rows(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return unit, fine
 
 
-def grid_dims(n: int) -> int:
-    """Dimensions of a block that the grid cuts for ``n`` vectors, so that cells do not grow with them; a cut is taken to leave a quarter."""
-    return max(GRID_DIMS, min(BLOCK_DIMS, math.ceil(math.log(max(n / PART, 1), 4))))
+def part_rows(dims: int) -> int:
+    """Vectors of a part."""
+    return max(2, PART_VALUES // dims)
+
+
+def grid_dims(n: int, part: int) -> int:
+    """Leading dimensions of a block that the grid cuts for ``n`` vectors: more for more, so that cells have few parts."""
+    return max(1, min(BLOCK_DIMS, math.ceil(math.log(max(n / (PARTS * part), 1)) / -math.log(TOGETHER))))
 
 
 def _cell_ids(cells: np.ndarray) -> np.ndarray:
@@ -128,12 +135,14 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
 
 def _parts(nodes: np.ndarray, copies: np.ndarray, raw: np.ndarray, dims: int, block: int, cell: np.ndarray, full: dict) -> pa.RecordBatch:
     """Rows with the part pairs of their cell: a cell of n parts has n (n + 1) / 2 pairs, of which a row enters n."""
-    n = np.array([full.get((dims, block, c), 1) for c in cell.tolist()])
+    known, where = np.unique(cell, return_inverse=True)
+    n = np.array([full.get((dims, block, c), 1) for c in known.tolist()])[where]
     side = (nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
     row = np.repeat(np.arange(len(nodes)), n)
     other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     mine = side[row]
-    data = pa.array([x.tobytes() for x in raw], pa.binary()).take(pa.array(row))
+    width = raw.dtype.itemsize * dims
+    data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(row), [None, pa.py_buffer(np.ascontiguousarray(raw[row]))]).cast(pa.binary())
     names = ["dims", "block", "cell", "i", "j", "side", "node", "copies", "raw"]
     return _batch([np.full(len(row), dims), np.full(len(row), block), cell[row], np.minimum(mine, other), np.maximum(mine, other), mine, nodes[row], copies[row], data], names)
 
@@ -190,10 +199,10 @@ def _compared(placed: DataFrame, cosine: float, most: int, dtype: type) -> DataF
     """node, root, linked of each linked vector in each part pair of each cell."""
     keys = ["dims", "block", "cell", "i", "j"]
 
-    def compare(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
+    def compare(key: tuple, parts: list[tuple]) -> pa.RecordBatch:
         dims, block, cell, i, j = key
-        side, nodes, copies = (np.array([r[c] for r in rows], np.int64) for c in range(3))
-        unit, _ = unit_rows(np.frombuffer(b"".join(r[3] for r in rows), dtype).reshape(-1, dims))
+        side, nodes, copies = (np.concatenate([p[c] for p in parts]) for c in range(3))
+        unit, _ = unit_rows(np.frombuffer(b"".join(p[3] for p in parts), dtype).reshape(-1, dims))
         a, b = cell_links(unit, dims, block, cell, side if i != j else None, cosine, most)
         root = local_roots(len(nodes), a, b)
         linked = np.bincount(a, copies[b], len(nodes)) + np.bincount(b, copies[a], len(nodes))
@@ -201,17 +210,27 @@ def _compared(placed: DataFrame, cosine: float, most: int, dtype: type) -> DataF
         return _batch([nodes[live], nodes[root[live]], linked[live]], ["node", "root", "linked"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, parts, size = None, [], 0
         for b in batches:
-            columns = [c.to_pylist() for c in b.columns]
-            for k, row in zip(zip(*columns[:5], strict=True), zip(*columns[5:], strict=True), strict=True):
+            if not b.num_rows:
+                continue
+            columns = [b.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            raw = b.column(8).cast(pa.large_binary())
+            ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+            data = memoryview(raw.buffers()[2])
+            change = np.zeros(b.num_rows, bool)
+            for c in columns[:5]:
+                change[1:] |= c[1:] != c[:-1]
+            for s, e in itertools.pairwise([0, *np.flatnonzero(change).tolist(), b.num_rows]):
+                k = tuple(int(c[s]) for c in columns[:5])
                 if k != key:
-                    if len(rows) > 1:
-                        yield compare(key, rows)
-                    key, rows = k, []
-                rows.append(row)
-        if len(rows) > 1:
-            yield compare(key, rows)
+                    if size > 1:
+                        yield compare(key, parts)
+                    key, parts, size = k, [], 0
+                parts.append((*(c[s:e].copy() for c in columns[5:]), bytes(data[ends[s] : ends[e]])))
+                size += e - s
+        if size > 1:
+            yield compare(key, parts)
 
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(run), "node long, root long, linked long")
 
@@ -235,10 +254,11 @@ def embedding_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     distinct = named.filter(usable).select(*key, "vec_id", "embedding").groupBy("h1", "h2")
     distinct = distinct.agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()))
-    most = grid_dims(nodes.count())
-    # a list of full cells: there are at most as many as vectors' places divided by PART
-    counted = _placed(nodes, cosine, most, None).groupBy("dims", "block", "cell").count().filter(F.col("count") > PART).collect()
-    full = {(r["dims"], r["block"], r["cell"]): -(-r["count"] // PART) for r in counted}
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dims")).first()
+    most = grid_dims(sizes["n"], part_rows(sizes["dims"] or 1))
+    # the list of full cells: at most as many as vectors' places divided by part_rows
+    counted = _placed(nodes, cosine, most, None).groupBy("dims", "block", "cell").count().filter(F.col("dims") * F.col("count") > PART_VALUES).collect()
+    full = {(r["dims"], r["block"], r["cell"]): -(-r["count"] // part_rows(r["dims"])) for r in counted}
     dtype = np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
     found = stored(_compared(_placed(nodes, cosine, most, full), cosine, most, dtype))
     table, roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -132,7 +132,7 @@ def test_components(spark):
 
 @pytest.mark.parametrize("part", [16_384, 7])
 def test_embedding_join(spark, monkeypatch, part):
-    monkeypatch.setattr(embedding_join, "PART", part)
+    monkeypatch.setattr(embedding_join, "PART_VALUES", 32 * part)
     rng = np.random.default_rng(1)
     base = rng.standard_normal((12, 32))
     rows = [(i, (base[i % 12] * (1 + i) + (0.15 * rng.standard_normal(32) if i % 3 else 0)).tolist(), 0) for i in range(60)]
@@ -148,9 +148,10 @@ def test_embedding_join(spark, monkeypatch, part):
     assert embedding_join.op1(v.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("grid", [2, 5])
-def test_embedding_join_counts_repeated_rows_and_null_ids(spark, monkeypatch, grid):
-    monkeypatch.setattr(embedding_join, "GRID_DIMS", grid)
+@pytest.mark.parametrize("parts", [8, 0.001])
+def test_embedding_join_counts_repeated_rows_and_null_ids(spark, monkeypatch, parts):
+    monkeypatch.setattr(embedding_join, "PARTS", parts)  # few parts: the grid cuts more dimensions
+    monkeypatch.setattr(embedding_join, "PART_VALUES", 24 * 16)
     near, far = [1.0, 2.0, 3.0] * 8, [3.0, -2.0, 1.0] * 8
     rows = [(1, near, "a"), (1, near, "b"), (2, [*near[:-1], 3.1], "a"), (None, near, "a"), (3, far, "b"), (1, far, "b"), (5, [2 * x for x in far], "c"), (None, None, "c"), (7, [-0.0, *near[1:]], "c"), (8, [0.0, *near[1:]], "c")]
     rows += [(100 + i, near, "c") for i in range(50)]
