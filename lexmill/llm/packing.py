@@ -27,9 +27,9 @@ from lexmill.llm.tokens import token_pieces
 
 CAPACITY = 4096
 #: Lengths of at most this part of the capacity are small.
-SMALL_PART = 8
+SMALL_PART = 4
 #: Groups of equal cardinality among the large lengths.
-GROUPS = 256
+GROUPS = 1024
 #: Rows that one task ranks, about, and runs at most.
 RUN, MOST_RUNS = 4000, 4096
 

@@ -101,3 +101,31 @@ def test_pipeline(spark, folder):
     last = corpus_pipeline.run(spark, folder).collect()
     assert sorted(tuple(r)[:5] for r in last) == sorted(want)
     assert len({(r.sequence_id, r.offset) for r in last}) == len(last)
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns; then no rows at all."""
+    long = "\n".join(f"a rather long line of ordinary words number {i} with some more of them" for i in range(6000))
+    prose = "the quiet river went past the old mill and nobody in the village ever spoke of it again"
+    rows = [(1, prose, "en", "a", 1), (1, prose, "en", "a", 1), (1, "quite another text of seven words here", "en", None, 1), (2, None, "en", "a", 0), (3, "", None, "b", 0), (None, prose + " at all", "en", "b", 1), (None, None, None, None, None), (4, long, "en", "c", 1), (5, long, "en", "c", 1)]
+    extra = [(*r, "s", 7, "m", 1, "t", "k") for r in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, n_lines int, marks string, size int, tie string, `key` string"
+    labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (2, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    for name, part in (("all", extra), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(part, schema).write.parquet(f"{folder}/documents.parquet")
+        (labels if part else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        docs = found = spark.read.parquet(f"{folder}/documents.parquet")
+        n = []
+        for stage_name, stage in corpus_pipeline.STAGES:
+            # all documents are good here, so that every stage meets them
+            found = found if stage_name == "quality_network" and part else stage(spark, found, folder)
+            n.append(found.count())
+            if stage is not corpus_pipeline.STAGES[-1][1]:
+                assert found.schema == docs.schema or found.dtypes == docs.dtypes
+                if part:
+                    assert {(r.score, r.n_lines, r.marks, r["size"], r.tie, r.key) for r in found.collect()} == {("s", 7, "m", 1, "t", "k")}
+        assert (n[:3] == [9, 9, 7] and n[3] > 0 and n[4] >= n[3]) if part else n == [0] * 5, n
+        kept = corpus_pipeline.STAGES[0][1](spark, docs, folder)
+        assert kept.dtypes == docs.dtypes and kept.count() <= len(part)
+        assert corpus_pipeline.run(spark, folder).count() >= 0
