@@ -16,22 +16,44 @@ from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, seman
 def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
     """doc_id, node_id, text: all text within each node of the given tags, in order.
 
-    A node's text stands before its children's and its tail behind all below it. The subtree of
-    a node is the run of later nodes up to the next of at most its depth, so only documents
-    meet, not pairs of all nodes: each node goes to its ancestors by a chain of parents.
+    A node's text stands before its children's and its tail behind all below it. Each document's nodes
+    pass once, in order; a node's text grows while it is open, so no pairs of nodes are made.
     """
-    paths = node_paths(nodes)
-    each = paths.select("doc_id", "node_id", "text", "tail", F.explode("path").alias("top"))
-    tops = nodes.filter(F.col("tag").isin(tags)).select("doc_id", F.col("node_id").alias("top"))
-    met = each.join(tops, ["doc_id", "top"])
-    # the closing position of a node follows from the last node below it
-    last = paths.select("doc_id", F.explode("path").alias("node_id"), F.col("node_id").alias("below")).groupBy("doc_id", "node_id").agg(F.max("below").alias("last"), F.max(F.lit(0)).alias("z"))
-    deep = met.join(last.drop("z"), ["doc_id", "node_id"]).join(nodes.select("doc_id", "node_id", "depth"), ["doc_id", "node_id"])
-    opened = F.struct(F.col("node_id").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), F.col("text").alias("t"))
-    closed = F.struct(F.col("last").alias("a"), F.lit(1).alias("b"), (-F.col("depth")).alias("c"), F.when(F.col("node_id") == F.col("top"), "").otherwise(F.col("tail")).alias("t"))
-    parts = deep.select("doc_id", "top", F.explode(F.array(opened, closed)).alias("p"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda x: x["t"]), "")
-    return parts.groupBy("doc_id", F.col("top").alias("node_id")).agg(joined.alias("text"))
+    wanted = frozenset(tags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, stack, done = None, [], []  # stack: depth, node_id, tail, parts of a wanted node
+
+        def close(depth: int) -> None:
+            while stack and stack[-1][0] >= depth:
+                _, node, tail, parts = stack.pop()
+                if parts is not None:
+                    done.append((doc, node, "".join(parts)))
+                for *_, above in stack if tail else ():
+                    if above is not None:
+                        above.append(tail)
+
+        def made() -> pa.RecordBatch:
+            got = [list(c) for c in zip(*done, strict=True)] or [[], [], []]
+            done.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(got, (pa.string(), pa.int32(), pa.string()), strict=True)], ["doc_id", "node_id", "text"])
+
+        for b in batches:
+            for d, depth, node, tag, text, tail in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if d != doc:
+                    close(-1)
+                    doc = d
+                close(depth)
+                stack.append((depth, node, tail, [] if tag in wanted else None))
+                for *_, parts in stack if text else ():
+                    if parts is not None:
+                        parts.append(text)
+            yield made()
+        close(-1)
+        yield made()
+
+    ordered = nodes.select("doc_id", "depth", "node_id", "tag", "text", "tail").repartition("doc_id").sortWithinPartitions("doc_id", "node_id")
+    return ordered.mapInArrow(run, "doc_id string, node_id int, text string")
 
 
 def node_paths(nodes: DataFrame) -> DataFrame:
