@@ -273,7 +273,8 @@ _DATES = [("海潮音", 18, 11, "1937-11-15"), ("海潮音", 9, 10, "1928-10-15"
 
 def _references(spark: SparkSession) -> DataFrame:
     rows = _rows(spark, "text string", [(x[0],) for x in _PARSED])
-    return rows.withColumn("r", issues.parse_reference(F.col("text"), _PERIODICALS)).select("text", "r.*")
+    # bound once: as one expression per field it would outgrow generated code
+    return rows.withColumn("r", tx.let(F.col("text"), lambda t: issues.parse_reference(t, _PERIODICALS))).select("text", "r.*")
 
 
 @query(f"SELECT text, pub, vol, issues FROM {_values([x[:4] for x in _PARSED])} x(text, pub, vol, issues)")
