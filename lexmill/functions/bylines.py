@@ -101,6 +101,26 @@ def appendix_place(text: Column) -> Column:
     return F.regexp_replace(text, "講於([^，。,]+)", "在$1講")
 
 
+def lecture_place(text: Column) -> Column:
+    """A place as ``在X``, and ``講於X`` as ``在X講``."""
+    t = F.ltrim(text, F.lit("，,。."))
+    told = F.concat(F.lit("在"), F.regexp_replace(t, "^講於", ""), F.lit("講"))
+    return F.when(t.startswith("講於"), told).when((t == "") | t.startswith("在"), t).otherwise(F.concat(F.lit("在"), t))
+
+
+def appendix_date(raw: Column) -> Column:
+    """``（year month，place）`` of a note that dates an appendix, the place by lecture_place(); without a year as normalize_byline(). Null gives ''."""
+    dated = f"(?U)^(.+?年(?:[{DIGITS}十]+月|[{''.join(SEASONS)}])?)\\s*(.*)"
+
+    def told(t: Column) -> Column:
+        parts = F.struct(normalize_byline(F.regexp_extract(t, dated, 1)).alias("date"), lecture_place(strip(F.regexp_extract(t, dated, 2))).alias("place"))
+        whole = lambda p: F.concat(F.lit("（"), F.btrim(p["date"], F.lit("（）")), F.lit("，"), p["place"], F.lit("）"))
+        both = let(parts, lambda p: F.when((p["date"] == "") | (p["place"] == ""), p["date"]).otherwise(whole(p)))
+        return F.when(t.rlike(dated), both).otherwise(normalize_byline(t))
+
+    return let(strip(F.coalesce(raw, F.lit(""))), told)
+
+
 def date_parts(text: Column) -> Column:
     """struct(y, m, d) of YYYY.MM.DD or YYYY-MM-DD; null fields where there is none."""
     pattern = r"(\d{4})[.-](\d{2})[.-](\d{2})"

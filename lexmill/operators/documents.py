@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions.bylines import appendix_date, normalize_byline
 from lexmill.functions.classify import about_publication, classify_byline
-from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, semantic_label, space_heading
+from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, semantic_label, space_heading, strip
 
 
 def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
@@ -170,6 +171,49 @@ def byline_in_bytes(content: Column, start: Column, end: Column, tag: str = "byl
     return F.trim(F.regexp_replace(F.regexp_extract(head, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), "<[^>]+>", ""))
 
 
+def _names(nodes: DataFrame) -> DataFrame:
+    """doc_id, node_id, parent_id of divisions, with the texts of the first head and mulu right below them and the head's node."""
+    told = nodes.filter(F.col("tag").isin("head", "mulu")).select("doc_id", "parent_id", "node_id", "tag").join(tree_text(nodes, ["head", "mulu"]), ["doc_id", "node_id"])
+    first = lambda tag: F.when(F.col("tag") == tag, F.col("node_id"))
+    named = told.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(
+        strip(F.min_by("text", first("head"))).alias("head"), strip(F.min_by("text", first("mulu"))).alias("mulu"), F.min(first("head")).alias("head_id")
+    )
+    return nodes.filter("tag = 'div'").select("doc_id", "node_id", "parent_id").join(named, ["doc_id", "node_id"], "left")
+
+
+def headings(nodes: DataFrame, notes: str = "nkr_note_orig_") -> DataFrame:
+    """doc_id, node_id, text, anchor of every division: its head without wide spaces, else its mulu, else ''; the id of the head's first anchor if it begins with ``notes``."""
+    anchors = nodes.filter("tag = 'anchor'").groupBy("doc_id", F.col("parent_id").alias("head_id")).agg(F.min_by(F.col("attrs")["id"], "node_id").alias("anchor"))
+    head = F.regexp_replace("head", "　", "")
+    text = F.coalesce(F.when(head != "", head), F.col("mulu"), F.lit(""))
+    return _names(nodes).join(anchors, ["doc_id", "head_id"], "left").select("doc_id", "node_id", text.alias("text"), F.when(F.col("anchor").startswith(notes), F.col("anchor")).alias("anchor"))
+
+
+#: The note that dates an appendix, as （附註）「title」，date；今附於此, and what begins an appendix's title.
+_DATED_NOTE = r"(?U)^[（(]附[註注][）)]\s*「.+?」\s*[，,]\s*(.+?)[；;]\s*今附[於于]此"
+_APPENDIX = "附"
+
+
+def appendixes(nodes: DataFrame) -> DataFrame:
+    """doc_id, parent_id, node_id, title, date_place of divisions within divisions whose mulu begins as appendixes do.
+
+    The date stands in the first paragraph that is a dating note or byline that is no mere reference (見), in document order; else ''.
+    """
+    outer = nodes.filter("tag = 'div'").select("doc_id", F.col("node_id").alias("parent_id"))
+    found = _names(nodes).filter(F.col("mulu").startswith(_APPENDIX)).join(outer, ["doc_id", "parent_id"], "left_semi")
+    name = F.coalesce("head", "mulu")
+    bare = F.regexp_replace(name, f"^{_APPENDIX}[：　]*", "")
+    title = F.when(name.startswith(_APPENDIX) & bare.rlike("^[一-鿿]"), F.concat(F.lit(_APPENDIX + "："), bare)).otherwise(name)
+    found = found.select("doc_id", "parent_id", "node_id", title.alias("title"))
+    below = node_paths(nodes).filter(F.col("tag").isin("p", "byline")).select("doc_id", F.col("node_id").alias("below"), "tag", F.explode("path").alias("node_id"))
+    texts = tree_text(nodes, ["p", "byline"]).select("doc_id", F.col("node_id").alias("below"), strip(F.col("text")).alias("text"))
+    said = below.join(found.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi").join(texts, ["doc_id", "below"])
+    noted, byline = (F.col("tag") == "p") & F.col("text").rlike(_DATED_NOTE), (F.col("tag") == "byline") & (F.col("text") != "") & ~F.col("text").startswith("見")
+    first = said.filter(noted | byline).groupBy("doc_id", "node_id").agg(F.min_by(F.struct("tag", "text"), "below").alias("f"))
+    date = F.when(F.col("f.tag") == "p", appendix_date(F.regexp_extract("f.text", _DATED_NOTE, 1))).otherwise(normalize_byline(F.col("f.text")))
+    return found.join(first, ["doc_id", "node_id"], "left").select("doc_id", "parent_id", "node_id", "title", date.alias("date_place"))
+
+
 def with_appendixes(catalogue: DataFrame, appendixes: DataFrame, key: str = "name") -> DataFrame:
     """Catalogue entries with ``appendix`` and ``n_chars`` of articles (name, appendix, n_chars); of equal names only the first entry, by seq, takes them."""
     first = catalogue.groupBy(key).agg(F.min("seq").alias("seq"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import CJK_WIDE, is_heading_line, snippet
 
-#: Up to so many terms an alternation of all is matched in the JVM; beyond, sets by length in Arrow batches.
+#: Up to so many terms the pattern is matched in the JVM, which tries branches one by one; beyond, in Arrow batches.
 MOST_ALTERNATIVES = 200
 HEADING_WEIGHT = 3
 
@@ -35,17 +37,31 @@ def alternation(terms: list[str]) -> str:
     return "|".join(re.escape(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
 
 
+def trie(terms: list[str]) -> str:
+    """A regular expression, for Java and Python, with the matches of alternation(): common beginnings are read once, longer endings first."""
+
+    def tails(group: list[str]) -> str:
+        begin = os.path.commonprefix([group[0], group[-1]])
+        longer = [t[len(begin) :] for t in group if len(t) > len(begin)]
+        branches = "|".join(tails(list(g)) for _, g in groupby(longer, key=lambda t: t[0]))
+        ends = len(longer) < len(group)
+        return re.escape(begin) + (f"(?:{branches}){'?' if ends else ''}" if longer else "")
+
+    every = sorted({t for t in terms if t})
+    return "(?:" + "|".join(tails(list(g)) for _, g in groupby(every, key=lambda t: t[0])) + ")" if every else "(?!)"
+
+
 def hits(lines: DataFrame, terms: list[str], text: str = "line", chars: str | None = None) -> DataFrame:
     """``lines`` exploded to one row per hit: ``surface`` and ``ordinal``, its number in the text from 0.
 
     At each place the longest term wins and matching goes on behind it. With ``chars``
     only terms wholly of the class match. Few terms stay in the JVM; many run in Arrow
-    batches with sets by length. ``terms`` are the caller's dictionary, sent to every task.
+    batches, with the same rows. ``terms`` are the caller's dictionary, sent to every task as one pattern.
     """
     terms = [t for t in terms if _only(t, chars)]
     if len(terms) > MOST_ALTERNATIVES:
-        return _hits_by_sets(lines, terms, text).drop("position")
-    found = F.regexp_extract_all(F.col(text), F.lit(alternation(terms) if terms else "(?!)"), F.lit(0))
+        return _many_hits(lines, terms, text).drop("position")
+    found = F.regexp_extract_all(F.col(text), F.lit(trie(terms)), F.lit(0))
     return lines.select(*(c for c in lines.columns if c != text), F.posexplode(found).alias("ordinal", "surface"))
 
 
@@ -57,8 +73,8 @@ def positions(lines: DataFrame, terms: list[str], keys: list[str], text: str = "
     """hits() with ``position``, 0-based in the text; ``keys`` name a line, whose hits are added up in one task."""
     terms = [t for t in terms if _only(t, chars)]
     if len(terms) > MOST_ALTERNATIVES:
-        return _hits_by_sets(lines, terms, text)
-    pattern = F.lit("(?s)(.*?)(" + (alternation(terms) if terms else "(?!)") + ")")
+        return _many_hits(lines, terms, text)
+    pattern = F.lit(f"(?s)(.*?)({trie(terms)})")
     both = F.arrays_zip(F.regexp_extract_all(F.col(text), pattern, F.lit(1)).alias("b"), F.regexp_extract_all(F.col(text), pattern, F.lit(2)).alias("s"))
     each = lines.select(*(c for c in lines.columns if c != text), F.posexplode(both).alias("ordinal", "h"))
     upto = Window.partitionBy(*keys).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
@@ -66,29 +82,15 @@ def positions(lines: DataFrame, terms: list[str], keys: list[str], text: str = "
     return each.withColumn("position", at.cast("int")).withColumn("surface", F.col("h.s")).drop("h")
 
 
-def _hits_by_sets(lines: DataFrame, terms: list[str], text: str) -> DataFrame:
-    """The same by sets of terms of each length, for large dictionaries."""
-    by_length: dict[int, set[str]] = {}
-    for t in terms:
-        by_length.setdefault(len(t), set()).add(t)
-    sizes = sorted(by_length, reverse=True)
-    at = lines.columns.index(text)
+def _many_hits(lines: DataFrame, terms: list[str], text: str) -> DataFrame:
+    """The same in Arrow batches, for large dictionaries: one compiled pattern, scanned by its engine."""
+    pattern, at = trie(terms), lines.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = re.compile(pattern).finditer
         for b in batches:
-            rows, surfaces, positions = [], [], []
-            for r, line in enumerate(b.column(at).to_pylist()):
-                i, n = 0, len(line or "")
-                while i < n:
-                    for size in sizes:
-                        if line[i : i + size] in by_length[size]:
-                            rows.append(r)
-                            surfaces.append(line[i : i + size])
-                            positions.append(i)
-                            i += size
-                            break
-                    else:
-                        i += 1
+            found = [(r, m.group(), m.start()) for r, line in enumerate(b.column(at).to_pylist()) if line for m in scan(line)]
+            rows, surfaces, positions = ([f[i] for f in found] for i in range(3))
             taken = b.take(pa.array(rows, pa.int64()))
             nth = _ordinals(rows)
             more = [pa.array(nth, pa.int32()), pa.array(surfaces, pa.string()), pa.array(positions, pa.int32())]

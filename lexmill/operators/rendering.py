@@ -24,6 +24,19 @@ def with_front_matter(text: Column, block: Column) -> Column:
     return F.when(text.startswith("---"), text).otherwise(F.concat(block, F.lit("\n"), text))
 
 
+def migrated(entries: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per entry (old_path, new_path, block) of a front-matter migration over files (path, text): its action and the new text.
+
+    ``missing`` where no file has the old path, ``kept`` where the text has front matter, else ``written`` or, to
+    another path, ``renamed``; only the last two have a text. A dry run reads the actions, a real one writes the texts.
+    """
+    there = files.select(F.col("path").alias("old_path"), F.coalesce("text", F.lit("")).alias("__text"))
+    moves = F.when(F.col("old_path") == F.col("new_path"), "written").otherwise("renamed")
+    action = F.when(F.col("__text").isNull(), "missing").when(F.col("__text").startswith("---"), "kept").otherwise(moves)
+    text = F.when(action.isin("written", "renamed"), with_front_matter(F.col("__text"), F.col("block")))
+    return entries.join(there, "old_path", "left").select("old_path", "new_path", action.alias("action"), text.alias("text"))
+
+
 def upsert_list(text: Column, field: str, items: Column, before: str = "themes:") -> Column:
     """A YAML list field of the front matter replaced, or inserted before ``before`` or the closing line.
 

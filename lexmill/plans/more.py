@@ -588,6 +588,55 @@ def _nodes(spark: SparkSession) -> DataFrame:
     return xml_nodes.shred(_rows(spark, "id string, content string", [("t", _TEI)]), "id")
 
 
+_APPENDED = (
+    '<text xmlns:cb="urn:x"><cb:div><cb:mulu>講題</cb:mulu><head>講　題<anchor xml:id="nkr_note_orig_7"/></head><p>正文</p>'
+    '<cb:div><cb:mulu>附　原文</cb:mulu><head>附　原文<anchor xml:id="beg_1"/></head><p>文</p><p>（附註）「原文」，二十四年七月講於莫干山；今附於此</p><byline>某記</byline></cb:div>'
+    '<cb:div><cb:mulu>附：記</cb:mulu><byline>見海刊</byline><div><byline>民國十九年春作</byline></div></cb:div>'
+    '<cb:div><cb:mulu>附二</cb:mulu><p>附註：無日</p></cb:div><cb:div><cb:mulu>結論</cb:mulu><byline>十年作</byline></cb:div></cb:div><cb:div/></text>'
+)
+
+
+@query("SELECT * FROM (VALUES ('附：原文', '（1935 年 7 月，在莫干山講）'), ('附：記', '（1930 年春，作）'), ('附：二', '')) x(title, date_place)")
+def appendix_discovery(spark: SparkSession, d: str) -> DataFrame:
+    """Appendixes of articles with date and place, of a dating note or a byline."""
+    return documents.appendixes(xml_nodes.shred(_rows(spark, "id string, content string", [("t", _APPENDED)]), "id")).select("title", "date_place")
+
+
+@query(
+    "SELECT * FROM (VALUES ('講題', 'nkr_note_orig_7'), ('附原文', NULL), ('附：記', NULL), ('附二', NULL), ('結論', NULL), ('', NULL), ('', NULL)) x(text, anchor)"
+)
+def heading_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Headings of divisions with the notes that their anchors name."""
+    return documents.headings(xml_nodes.shred(_rows(spark, "id string, content string", [("t", _APPENDED)]), "id")).select("text", "anchor")
+
+
+@query(
+    """SELECT p_partkey::VARCHAR AS old_path, CASE WHEN p_size % 2 = 0 THEN p_partkey::VARCHAR ELSE 'n' || p_partkey END AS new_path,
+      CASE WHEN p_partkey % 5 = 0 THEN 'missing' WHEN p_partkey % 3 = 0 THEN 'kept' WHEN p_size % 2 = 0 THEN 'written' ELSE 'renamed' END AS action,
+      CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 3 <> 0 THEN 'title: ' || p_brand || chr(10) || p_name END AS text FROM part"""
+)
+def front_matter_migration(spark: SparkSession, d: str) -> DataFrame:
+    """What a migration does with every file: missing, kept, written, renamed."""
+    part, path = table(spark, d, "part"), F.col("p_partkey").cast("string")
+    new = F.when(F.col("p_size") % 2 == 0, path).otherwise(F.concat(F.lit("n"), path))
+    entries = part.select(path.alias("old_path"), new.alias("new_path"), F.concat(F.lit("title: "), "p_brand").alias("block"))
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("---"), "p_name")).otherwise(F.col("p_name"))
+    return rendering.migrated(entries, part.filter("p_partkey % 5 <> 0").select(path.alias("path"), text.alias("text")))
+
+
+_MANY = [f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in ("e", "er", "en", "ing", "i", "io", "ion", "a", "at", "o", "ou", "s")]
+
+
+@query(
+    f"""SELECT surface, count(*)::BIGINT AS n, count(DISTINCT doc_id)::BIGINT AS documents FROM
+      (SELECT doc_id, unnest(regexp_extract_all(text, '{matching.alternation(_MANY)}')) AS surface FROM documents) GROUP BY surface"""
+)
+def large_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of a dictionary of 312 terms in whole texts."""
+    found = matching.hits(table(spark, d, "documents").select("doc_id", "text"), _MANY, "text")
+    return found.groupBy("surface").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
+
+
 @query("SELECT * FROM (VALUES ('t', '——十九年作——見海刊')) x(doc_id, text)")
 def bylines_before_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Bylines that stand before any paragraph of their division."""

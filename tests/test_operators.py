@@ -1,6 +1,7 @@
 """Operators on small inputs."""
 
 import random
+import re
 
 from lexmill.functions.text import CJK_WIDE
 from lexmill.operators import documents, gaps, lookups, matching, rendering, sequences
@@ -32,6 +33,7 @@ def test_greedy_matching(spark, monkeypatch):
     texts = ["".join(rng.choices("abc", k=rng.randint(0, 40))) for _ in range(60)]
     lines = spark.createDataFrame(list(enumerate(texts)), "k int, line string")
     want = sorted((k, s, p) for k, t in enumerate(texts) for s, p in greedy(t, set(terms)))
+    assert re.fullmatch(matching.trie(["a.b", "a", "a.bc"]), "a.bc") and not re.search(matching.trie(["a.b"]), "axb") and not re.search(matching.trie([""]), "a")
     for most in (200, 0):
         monkeypatch.setattr(matching, "MOST_ALTERNATIVES", most)
         assert sorted((r.k, r.surface, r.position) for r in matching.positions(lines, terms, ["k"]).collect()) == want
