@@ -45,11 +45,14 @@ def gap_frequency(terms: DataFrame, least: int = 2) -> DataFrame:
 
 
 def inferred_domains(terms: DataFrame, vocabulary: DataFrame, default: str) -> DataFrame:
-    """The domain that known terms of the same articles most often have, for each gap term; else ``default``."""
+    """term, domain, subdomain of each gap term: what known terms of the same articles most often have, voted on each by itself; else ``default`` and ''."""
     entries = terms.select("article", F.col("term").alias("other"))
-    known = entries.join(vocabulary.select(normal_label(F.col("standard")).alias("other"), "domain"), "other").select("article", "other", "domain")
-    met = terms.select("article", "term").distinct().join(known, "article", "left").filter("other is null or other <> term")
-    return vote(met, "term", "domain", "article", default)
+    subdomain = F.col("subdomain") if "subdomain" in vocabulary.columns else F.lit(None).cast("string")
+    known = vocabulary.select(normal_label(F.col("standard")).alias("other"), F.nullif("domain", F.lit("")).alias("domain"), F.nullif(subdomain, F.lit("")).alias("subdomain"))
+    met = terms.select("article", "term").distinct().join(entries.join(known, "other"), "article", "left").filter("other is null or other <> term")
+    voted = lambda column: vote(met, "term", column, "article").drop("n")
+    each = terms.select("term").distinct().join(voted("domain"), "term", "left").join(voted("subdomain"), "term", "left")
+    return each.select("term", F.coalesce("domain", F.lit(default)).alias("domain"), F.coalesce("subdomain", F.lit("")).alias("subdomain"))
 
 
 def due_for_review(log: DataFrame, every: int = 5) -> DataFrame:

@@ -32,8 +32,8 @@ def gap_review(log: DataFrame, known: DataFrame, vocabulary: DataFrame, least: i
     """(report, additions, cleaned) of a gap log.
 
     ``known`` (dimension, label) has all labels there are; terms in it are false positives. report: dimension, false_positives, gaps
-    (distinct). additions: dimension, term, n of gaps in ``least`` articles or more, for concepts with the domain that
-    known terms of the same articles mostly have. cleaned: the log without false positives; rows left without any
+    (distinct). additions: dimension, term, n of gaps in ``least`` articles or more, for concepts with the domain and
+    subdomain that known terms of the same articles mostly have. cleaned: the log without false positives; rows left without any
     gap go, test rows stay.
     """
     terms = gap_terms(log, prefix)
@@ -42,9 +42,10 @@ def gap_review(log: DataFrame, known: DataFrame, vocabulary: DataFrame, least: i
         real.groupBy("dimension").agg(F.count(F.lit(1)).alias("left"), F.count_distinct("term").alias("gaps")), "dimension", "left"
     )
     report = report.select("dimension", (F.col("n") - F.coalesce("left", F.lit(0))).alias("false_positives"), F.coalesce("gaps", F.lit(0)).alias("gaps"))
-    domains = inferred_domains(terms.filter("dimension = 'concepts'"), vocabulary, default).select("term", "domain")
+    domains = inferred_domains(terms.filter("dimension = 'concepts'"), vocabulary, default)
     counted = gap_frequency(real, least)
-    additions = counted.join(domains, "term", "left").withColumn("domain", F.when(F.col("dimension") == "concepts", F.coalesce("domain", F.lit(default)))).select("dimension", "term", "n", "domain")
+    placed = lambda column, other: F.when(F.col("dimension") == "concepts", F.coalesce(column, F.lit(other))).alias(column)
+    additions = counted.join(domains, "term", "left").select("dimension", "term", "n", placed("domain", default), placed("subdomain", ""))
     return report, additions, cleaned_log(log, known, prefix)
 
 

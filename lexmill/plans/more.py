@@ -375,7 +375,23 @@ def gap_report(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT * FROM (VALUES ('concepts', '三無性', 2, '緣起'), ('functions', '经典講释', 2, NULL)) x(dimension, term, n, domain)")
 def gap_additions(spark: SparkSession, d: str) -> DataFrame:
     """Terms that several articles miss, with the domain their company has."""
-    return _review(spark)[1].withColumn("n", F.col("n").cast("int"))
+    return _review(spark)[1].select("dimension", "term", F.col("n").cast("int").alias("n"), "domain")
+
+
+_SHELVES = [("click", "web", "page"), ("purchase", "shop", ""), ("view", "web", "list"), ("signup", "", "form")]
+
+
+@query(
+    f"""WITH v AS (SELECT * FROM {_values(_SHELVES)} v(standard, domain, subdomain)), t AS (SELECT DISTINCT user_id, event_type AS term FROM events WHERE event_type IS NOT NULL),
+      m AS (SELECT t.term, t.user_id, v.domain, v.subdomain FROM t JOIN events e ON t.user_id = e.user_id AND e.event_type <> t.term JOIN v ON v.standard = e.event_type),
+      d AS (SELECT term, domain FROM m WHERE domain <> '' GROUP BY term, domain QUALIFY row_number() OVER (PARTITION BY term ORDER BY count(*) DESC, min(user_id), domain) = 1),
+      s AS (SELECT term, subdomain FROM m WHERE subdomain <> '' GROUP BY term, subdomain QUALIFY row_number() OVER (PARTITION BY term ORDER BY count(*) DESC, min(user_id), subdomain) = 1)
+      SELECT term, coalesce(domain, 'none') AS domain, coalesce(subdomain, '') AS subdomain FROM (SELECT DISTINCT term FROM t) LEFT JOIN d USING (term) LEFT JOIN s USING (term)"""
+)
+def company_votes(spark: SparkSession, d: str) -> DataFrame:
+    """Domain and subdomain of each type of event by votes of what the same users did."""
+    terms = table(spark, d, "events").filter("event_type is not null").select(F.col("user_id").alias("article"), F.col("event_type").alias("term"))
+    return gaps.inferred_domains(terms, _rows(spark, "standard string, domain string, subdomain string", _SHELVES), "none")
 
 
 @query("SELECT * FROM (VALUES ('a1', '三無性', '經典講釋'), ('a2', '三無性', '經典講釋'), ('a2', '三無性', ''), ('/tmp/x', '三無性', '經典講釋'), ('a4', '新詞', '')) x(article_path, concepts, functions)")
