@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,11 +47,50 @@ def run_sql(spark: SparkSession, query: str, args: dict | list | None = None) ->
     return spark.sql(query, args=args) if args else spark.sql(query)
 
 
+_scratch: list[str] = []
+_local: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's spark.checkpoint.dir, or the context's where that is unset.
+
+    Where neither is set a local session gets one temporary folder, removed at exit; on a cluster
+    an unset folder is an error, since executors could not share it.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if kept.isDefined():
+        return kept.get().rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="lexmill-")
+        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
+    return "file://" + _local[app]
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; a temporary one only in local sessions where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not (spark.sparkContext.master or "").startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below shared_dir(); sweep() deletes what is written there."""
+    _scratch.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def mark() -> int:
+    """A point in time for sweep()."""
+    return len(_scratch)
+
+
+def sweep(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete what was written to shared folders after a mark(), besides ``keep``: to be called when a query's result is written."""
+    for path in [p for p in _scratch[since:] if p not in keep]:
+        delete(spark, path)
+        _scratch.remove(path)
