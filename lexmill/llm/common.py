@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.session import delete, shared_folder
+
 #: The six characters of [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,32 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's spark.checkpoint.dir.
-
-    Where it is unset (tests on one machine) a temporary folder is set; on a
-    cluster an unset folder is an error, since executors could not share it.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if kept.isDefined():
-            return kept.get()
-        if not (spark.sparkContext.master or "").startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-        spark.sparkContext.setCheckpointDir(found)
-        return shared_dir(spark)
-    return found
-
-
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
-    This cuts the lineage and survives lost executors; later reads prune columns.
+    This cuts the lineage and survives lost executors; later reads prune columns. sweep()
+    of the session deletes the table once the query's result is written.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lexmill-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "lexmill")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
@@ -52,8 +34,7 @@ def stored(df: DataFrame) -> DataFrame:
 def forget(*tables: DataFrame) -> None:
     """Delete stored() tables that nothing will read again."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df._stored_at)
 
 
 def utf8(column) -> list[bytes]:
@@ -99,8 +80,3 @@ def cuts(df: DataFrame, column: str, n: int) -> list:
     shares = ",".join(f"{i / n:.8f}D" for i in range(1, n))
     got = df.agg(F.expr(f"percentile_approx({column}, array({shares}), 10000)").alias("q")).first()["q"]
     return sorted({x for x in got or [] if x is not None})
-
-
-def with_clean_names(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """Only the columns an operator reads, so that extra ones cannot clash with its own."""
-    return df.select(*wanted)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import embedding_join, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
+from lexmill.llm import alignment, embedding_join, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
 from lexmill.session import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_fit_packing": lambda spark, d: packing.op8(table(spark, d, "documents")),
     "op9_quality_network": lambda spark, d: quality.op9(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_url_filter": lambda spark, d: url_filter.op10(table(spark, d, "pages"), table(spark, d, "labels")),
+    "op11_cross_alignment": lambda spark, d: alignment.op11(table(spark, d, "documents")),
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,

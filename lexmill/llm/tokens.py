@@ -1,7 +1,7 @@
 """Token counts and token ids of whole texts, by the libraries' own vocabularies.
 
-Texts are cut into segments at boundaries where no token can span. Segments are told apart
-by 64-bit hashes; those that a worker's table of fixed size does not hold are encoded in
+Texts are cut into segments at boundaries where no token can span. Short segments are looked
+up by all their bytes; those that a worker's table of fixed size does not hold are encoded in
 batches balanced by bytes, so frequent words cost a lookup. Texts with unusual white space
 go to the library in long pieces that end at boundaries which are safe for any text.
 """
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lexmill.llm.common import released, utf8
-from lexmill.llm.spans import Memo, span_hashes
+from lexmill.llm.spans import Memo
 
 #: UTF-8 bytes handled together; batches are balanced by size, not by rows.
 BATCH_BYTES = 1 << 20
@@ -95,7 +95,7 @@ class Spans:
         def new(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             return self._encode([data[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
 
-        return self.memo.runs(span_hashes(np.frombuffer(data, np.uint8), start, end), new)
+        return self.memo.runs(np.frombuffer(data, np.uint8), start, end, new)
 
 
 class Counter(Spans):
@@ -211,7 +211,7 @@ class Encoder(Spans):
 
 @lru_cache(maxsize=1)
 def kept(kind: type, path: str) -> Spans:
-    """The worker's last counter or encoder: its table has a fixed size, about 25 MB, and outlives the task."""
+    """The worker's last counter or encoder: its table has a fixed size, about 40 MB, and outlives the task."""
     return kind(path)
 
 
