@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import alignment, embedding_join, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, quality, tokens, url_filter
+from lexmill.llm import alignment, embedding_join, fingerprints, html_main, license_scan, line_dedup, mixing, ngram_join, packing, prefix_trie, quality, tokens, url_filter
 from lexmill.session import table
 
 QUERIES = {
@@ -17,9 +17,12 @@ QUERIES = {
     "op9_quality_network": lambda spark, d: quality.op9(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_url_filter": lambda spark, d: url_filter.op10(table(spark, d, "pages"), table(spark, d, "labels")),
     "op11_cross_alignment": lambda spark, d: alignment.op11(table(spark, d, "documents")),
+    "op12_html_extraction": lambda spark, d: html_main.op12(table(spark, d, "pages")),
+    "op13_prefix_trie": lambda spark, d: prefix_trie.op13(table(spark, d, "conversations")),
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
