@@ -125,13 +125,12 @@ def _levels(found: DataFrame, classes: DataFrame) -> tuple[list[DataFrame], Data
     all_turns = found.join(reps, F.col("conv_id") == F.col("rep")).drop("rep")
     all_turns = stored(all_turns.repartitionByRange("pos", "conv_id").sortWithinPartitions("pos", "conv_id"))
     levels: list[DataFrame] = []
-    live = None
+    root, live = classes.agg(F.min("conv_id")).first()[0], None
     while True:
         d = len(levels) + 1
         here = all_turns.filter(F.col("pos") == d)
         if live is None:
-            first = classes.agg(F.min("conv_id").alias("node"))  # the root, one row
-            here = stored(here.join(F.broadcast(first)))
+            here = stored(here.withColumn("node", F.lit(root).cast("long")))
         else:
             here = stored(here.join(live, "conv_id"))
         over = F.when(F.col("len") == d, F.struct("conv_id", "weight"))
