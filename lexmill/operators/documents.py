@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.bylines import appendix_date, normalize_byline
 from lexmill.functions.classify import about_publication, classify_byline
-from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, semantic_label, space_heading, strip
+from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, strip
 
 
 def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
@@ -76,28 +76,6 @@ def node_paths(nodes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id string, depth int, node_id int, tag string, attrs map<string,string>, text string, tail string, path array<int>")
 
 
-def outline_labels(toc: DataFrame, top: str = "篇") -> DataFrame:
-    """``toc`` (doc_id, seq, level, text) with parent_seq and label: each label depends on its parent's.
-
-    Levels are few, so labels are given level by level, all documents at once.
-    """
-    from lexmill.operators.sequences import outline
-
-    rows = outline(toc.withColumn("heading", space_heading(F.col("text"))), "doc_id")
-    depths = [r["level"] for r in toc.select("level").distinct().orderBy("level").collect()]
-    done = None
-    for level in depths:
-        now = rows.filter(F.col("level") == level)
-        if done is None:
-            labelled = now.withColumn("parent_label", F.lit(top))
-        else:
-            above = done.select("doc_id", F.col("seq").alias("parent_seq"), F.col("label").alias("__above"))
-            labelled = now.join(above, ["doc_id", "parent_seq"], "left").withColumn("parent_label", F.coalesce("__above", F.lit(top))).drop("__above")
-        labelled = labelled.withColumn("label", semantic_label(F.col("heading"), F.col("parent_label"))).select("doc_id", "seq", "level", "text", "heading", "parent_seq", "is_last", "label")
-        done = labelled if done is None else done.unionByName(labelled)
-    return done if done is not None else rows.withColumn("label", F.lit(None).cast("string"))
-
-
 def toc_lines(toc: DataFrame, style: str = "flat") -> DataFrame:
     """doc_id, seq, line of each heading: flat (indented), csv (quotes not escaped), or tree (branches and levels, of an outline())."""
     if style == "csv":

@@ -50,19 +50,6 @@ def match_status(found: Column, by: Column, known: Column) -> Column:
     return F.when(by.isNotNull() & (F.coalesce(found, F.lit("")) != ""), "dated").when(by.isNotNull() | known, "matched").otherwise("unmatched")
 
 
-def longest_alias(rows: DataFrame, key: str, text: str, aliases: DataFrame, fold_case: bool = False) -> DataFrame:
-    """key, alias, canonical of the longest alias that each text contains, earlier ones first among equals.
-
-    ``aliases`` (alias, canonical, ord) is a dictionary of the caller's, joined by broadcast
-    as its pairs are tested one by one; rows without any alias do not come back.
-    """
-    a, b = F.col(text), F.col("alias")
-    holds = F.lower(a).contains(F.lower(b)) if fold_case else a.contains(b)
-    best = F.min_by(F.struct("alias", "canonical"), F.struct(-F.length("alias"), F.col("ord")))
-    met = rows.select(key, text).join(F.broadcast(aliases), holds)
-    return met.groupBy(key).agg(best.alias("b")).select(key, "b.alias", "b.canonical")
-
-
 def missing(rows: DataFrame, known: DataFrame, key: Column, known_key: Column) -> DataFrame:
     """Rows whose key is not among the known ones."""
     k = known.select(known_key.alias("__k")).distinct()

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
 from itertools import groupby
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import CJK_WIDE, is_heading_line, snippet
+from lexmill.operators.dictionary import trie_hits
 
 #: Up to so many terms the pattern is matched in the JVM, which tries branches one by one; beyond, in Arrow batches.
 MOST_ALTERNATIVES = 200
@@ -55,12 +54,12 @@ def hits(lines: DataFrame, terms: list[str], text: str = "line", chars: str | No
     """``lines`` exploded to one row per hit: ``surface`` and ``ordinal``, its number in the text from 0.
 
     At each place the longest term wins and matching goes on behind it. With ``chars``
-    only terms wholly of the class match. Few terms stay in the JVM; many run in Arrow
-    batches, with the same rows. ``terms`` are the caller's dictionary, sent to every task as one pattern.
+    only terms wholly of the class match. Few terms stay in the JVM as one pattern; many run in Arrow
+    batches through a trie in arrays, with the same rows. ``terms`` are the caller's dictionary.
     """
     terms = [t for t in terms if _only(t, chars)]
     if len(terms) > MOST_ALTERNATIVES:
-        return _many_hits(lines, terms, text).drop("position")
+        return trie_hits(lines, terms, text).drop("position")
     found = F.regexp_extract_all(F.col(text), F.lit(trie(terms)), F.lit(0))
     return lines.select(*(c for c in lines.columns if c != text), F.posexplode(found).alias("ordinal", "surface"))
 
@@ -73,7 +72,7 @@ def positions(lines: DataFrame, terms: list[str], keys: list[str], text: str = "
     """hits() with ``position``, 0-based in the text; ``keys`` name a line, whose hits are added up in one task."""
     terms = [t for t in terms if _only(t, chars)]
     if len(terms) > MOST_ALTERNATIVES:
-        return _many_hits(lines, terms, text)
+        return trie_hits(lines, terms, text)
     pattern = F.lit(f"(?s)(.*?)({trie(terms)})")
     both = F.arrays_zip(F.regexp_extract_all(F.col(text), pattern, F.lit(1)).alias("b"), F.regexp_extract_all(F.col(text), pattern, F.lit(2)).alias("s"))
     each = lines.select(*(c for c in lines.columns if c != text), F.posexplode(both).alias("ordinal", "h"))
@@ -82,33 +81,6 @@ def positions(lines: DataFrame, terms: list[str], keys: list[str], text: str = "
     return each.withColumn("position", at.cast("int")).withColumn("surface", F.col("h.s")).drop("h")
 
 
-def _many_hits(lines: DataFrame, terms: list[str], text: str) -> DataFrame:
-    """The same in Arrow batches, for large dictionaries: one compiled pattern, scanned by its engine."""
-    pattern, at = trie(terms), lines.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = re.compile(pattern).finditer
-        for b in batches:
-            found = [(r, m.group(), m.start()) for r, line in enumerate(b.column(at).to_pylist()) if line for m in scan(line)]
-            rows, surfaces, positions = ([f[i] for f in found] for i in range(3))
-            taken = b.take(pa.array(rows, pa.int64()))
-            nth = _ordinals(rows)
-            more = [pa.array(nth, pa.int32()), pa.array(surfaces, pa.string()), pa.array(positions, pa.int32())]
-            kept = [c for i, c in enumerate(taken.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*kept, *more], [n for n in b.schema.names if n != text] + ["ordinal", "surface", "position"])
-
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in lines.schema if f.name != text)
-    return lines.mapInArrow(run, f"{schema}ordinal int, surface string, position int")
-
-
-def _ordinals(rows: list[int]) -> list[int]:
-    """The number of each item among equal neighbours."""
-    out: list[int] = []
-    for i, r in enumerate(rows):
-        out.append(out[-1] + 1 if i and rows[i - 1] == r else 0)
-    return out
-
-
 def lines_of(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, line_no, line and is_heading of every line."""
     each = docs.select(key, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n", -1)).alias("line_no", "line"))

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.operators.scan import scan
+
 
 def linked(rows: DataFrame, order: list, within: list[str], name: str) -> DataFrame:
     """Rows with seq (in ``within``), prev_ and next_ of ``name``. ``within`` bounds what one task orders."""
@@ -112,9 +114,9 @@ def head_and_tail(rows: DataFrame, order: list, within: list[str], first: int =
 
 
 def wide(rows: DataFrame, order: list, values: list[str], columns: int = 3) -> DataFrame:
-    """Rows dealt into lines of ``columns``; needs all rows in one order, so use it on report-sized input."""
-    n = rows.withColumn("__n", F.row_number().over(Window.orderBy(*order)) - 1)
-    line, at = F.floor(F.col("__n") / columns).cast("long").alias("line"), F.col("__n") % columns
+    """Rows dealt into lines of ``columns``, in one order over the whole table, numbered by a scan and not in one task."""
+    n = scan(rows.select(*rows.columns), order, number="__seq").withColumn("__seq", F.col("__seq") - 1)
+    line, at = F.floor(F.col("__seq") / columns).cast("long").alias("line"), F.col("__seq") % columns
     return n.groupBy(line).agg(*(F.max(F.when(at == i, F.col(v))).alias(f"{v}_{i + 1}") for i in range(columns) for v in values))
 
 

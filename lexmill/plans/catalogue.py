@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import bylines, classify, issues, numerals
 from lexmill.functions import text as tx
-from lexmill.operators import documents, gaps, lookups, matching, sequences
+from lexmill.operators import dictionary, documents, gaps, lookups, matching, sequences
 from lexmill.session import register_tables, run_sql, table
 from lexmill.sources import xml_nodes
 from lexmill.streaming import gap_stream
@@ -206,7 +206,7 @@ _ALIASES = [("example.com", "com", 1), ("example.org", "org", 2), ("blog.", "blo
 )
 def alias_longest_match(spark: SparkSession, d: str) -> DataFrame:
     """The longest alias in every url."""
-    return lookups.longest_alias(table(spark, d, "pages"), "page_id", "url", _rows(spark, "alias string, canonical string, ord int", _ALIASES))
+    return dictionary.longest_contained(table(spark, d, "pages"), "page_id", "url", _rows(spark, "alias string, canonical string, ord int", _ALIASES))
 
 
 @query(

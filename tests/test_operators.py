@@ -70,8 +70,8 @@ def test_fold_and_outline(spark):
     got = sequences.fold(rows, F.col("name").startswith("（附）"), ["seq"], ["g"], ["name"], "byte_end", "name").orderBy("last_byte_end").collect()
     assert [(r.name, r.last_byte_end, r.folded) for r in got] == [("（附）z", 1, ""), ("a", 4, "（附）b；（附）c"), ("d", 5, "")]
     toc = spark.createDataFrame([("d", i, lv, t) for i, (lv, t) in enumerate([(1, "第一章甲"), (2, "一緒言"), (3, "甲一序"), (2, "二正文")])], "doc_id string, seq int, level int, text string")
-    got = [(r.seq, r.parent_seq, r.label, r.is_last) for r in documents.outline_labels(toc).orderBy("seq").collect()]
-    assert got == [(0, None, "章", True), (1, 0, "節", False), (2, 1, "小節", True), (3, 0, "節", True)]
+    got = [(r.seq, r.parent_seq, r.is_last) for r in sequences.outline(toc, "doc_id").orderBy("seq").collect()]
+    assert got == [(0, None, True), (1, 0, False), (2, 1, True), (3, 0, True)]
     assert [r.line for r in documents.toc_lines(sequences.outline(toc, "doc_id"), "csv").orderBy("seq").collect()][0] == '1,"第一章甲"'
 
 
