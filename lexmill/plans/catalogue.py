@@ -147,54 +147,6 @@ def text_classifier(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(kind.alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-_NUMERALS = [("十九", 19, 19), ("二十六", 26, 26), ("十", 10, 10), ("二十", 20, 20), ("一九", 9, None), ("七八", 8, None), ("１２", 12, 12), ("百", None, 100), ("廿", None, 20), ("零", None, 0), ("", None, None), ("一四一", 1, 141), ("一百三十三", None, 133), ("一百零五", None, 100), ("廿三", None, None)]
-
-
-@query(f"SELECT t AS numeral, a AS small, b AS wide FROM {_values(_NUMERALS)} x(t, a, b)")
-def numeral_parse(spark: SparkSession, d: str) -> DataFrame:
-    """Numerals by the narrow and by the wide rule."""
-    rows = _rows(spark, "numeral string", [(t,) for t, _, _ in _NUMERALS])
-    return rows.select("numeral", numerals.small_numeral(F.col("numeral")).alias("small"), numerals.wide_numeral(F.col("numeral")).alias("wide"))
-
-
-_BYLINES = [
-    ("——十九年一月在閩南佛學院編述——", "（1930 年 1 月，在閩南佛學院編述）", "1930", "01", "閩南佛學院", "編述"), ("——民國四年春作於普陀——", "（1915 年春，作於普陀）", "1915", "03", "普陀", "作"),
-    ("——宣統二年作——", "（1910 年，作）", "1910", "", "", "作"), ("——二十一年十二月在閩南佛學院講——", "（1932 年 12 月，在閩南佛學院講）", "1932", "12", "閩南佛學院", "講"),
-    ("（碧松記）", "（碧松記）", "", "", "碧松", "記"), ("見海刊九卷九期", "", "", "", "", ""), ("", "", "", "", "", ""),
-]
-
-
-@query(f"SELECT raw, normal, y AS create_y, m AS create_m, loc AS location, ctx AS context FROM {_values(_BYLINES)} x(raw, normal, y, m, loc, ctx)")
-def byline_fields(spark: SparkSession, d: str) -> DataFrame:
-    """Bylines in common years, and their parts."""
-    rows = _rows(spark, "raw string", [(r[0],) for r in _BYLINES]).withColumn("normal", bylines.normalize_byline(F.col("raw")))
-    rows = rows.withColumn("f", bylines.byline_fields(F.col("normal")))
-    return rows.select("raw", "normal", "f.create_y", "f.create_m", "f.location", "f.context")
-
-
-_HEADINGS = [("一緒言", "一　緒言", "部", "章"), ("第一章釋尊略傳", "第一章　釋尊略傳", "部", "章"), ("甲一序分", "甲一　序分", "章", "節"), ("甲色蘊", "甲　色蘊", "章", "節"), ("十一結論", "十　一結論", "章", "節"), ("百法明門論", "百　法明門論", "節", "小節"), ("１十善業", "１十善業", "篇", "部"), ("第一章", "第一章", "", "章"), ("緒論", "緒論", "", "?")]
-
-
-@query(f"SELECT heading, spaced, parent, label FROM {_values(_HEADINGS)} x(heading, spaced, parent, label)")
-def heading_spacing(spark: SparkSession, d: str) -> DataFrame:
-    """Headings with a space behind their ordinal, and their labels under a parent."""
-    rows = _rows(spark, "heading string, parent string", [(h, p) for h, _, p, _ in _HEADINGS]).withColumn("spaced", tx.space_heading(F.col("heading")))
-    return rows.withColumn("label", tx.semantic_label(F.col("spaced"), F.col("parent")))
-
-
-_ISSUES = [
-    ("二卷三至五期", [(2, "3"), (2, "4"), (2, "5")]), ("二卷十一期至三卷五期", [(2, "11"), (2, "12"), *((3, str(i)) for i in range(1, 6))]),
-    ("四卷七八期", [(4, "7"), (4, "8"), (4, "7-8"), (None, "7"), (None, "8")]), ("第三期", [(None, "3")]), ("十、十一各期", [(None, "10"), (None, "11"), (None, "10-11")]),
-]
-
-
-@query(f"SELECT ref, vol, issue, label FROM {_values([(t, v, i, f'{v}卷{i}期' if v else f'第{i}期') for t, found in _ISSUES for v, i in found])} x(ref, vol, issue, label)")
-def vol_issue_extract(spark: SparkSession, d: str) -> DataFrame:
-    """References expanded to one row per volume and issue."""
-    rows = _rows(spark, "ref string", [(t,) for t, _ in _ISSUES]).select("ref", F.explode(issues.parse_issues(F.col("ref"))).alias("p"))
-    return rows.select("ref", "p.vol", "p.issue", issues.issue_label(F.col("p.vol"), F.col("p.issue")).alias("label"))
-
-
 # -- lookups ------------------------------------------------------------------------------
 
 _ALIASES = [("example.com", "com", 1), ("example.org", "org", 2), ("blog.", "blog", 3), ("example", "any", 4), ("blog.th", "blog-th", 5), ("www.th", "www-th", 6)]
@@ -252,17 +204,6 @@ def mapped_inner_join(spark: SparkSession, d: str) -> DataFrame:
     return met.groupBy(F.col("p_brand").alias("jnum")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.when(F.col("p_type") != "", F.col("p_type"))), F.lit("")).alias("first_type"))
 
 
-_GAPS = [("a1", ["經典講釋", "三無性"], None), ("../a2", ["經典講釋"], ["因緣（因緣生法）"]), ("a3", ["经典讲释"], ["因緣"]), ("a3", ["經典講釋"], None), ("/tmp/x", ["三無性"], None)]
-
-
-@query("SELECT * FROM (VALUES ('concepts', '因緣', 2), ('functions', '经典講释', 3)) x(dimension, term, n)")
-def label_normalize_gap(spark: SparkSession, d: str) -> DataFrame:
-    """Unknown labels of two or more articles, in normal form."""
-    log = _rows(spark, "article_path string, functions array<string>, gap_terms array<string>", _GAPS)
-    known = _rows(spark, "dimension string, label string", [("functions", "三無性")])
-    return gaps.gap_frequency(gaps.unknown_terms(gaps.gap_terms(log), known)).withColumn("n", F.col("n").cast("int"))
-
-
 @query(
     """WITH v AS (SELECT l_suppkey, p_brand, count(*) AS n, min(l_orderkey) AS o FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)
     SELECT l_suppkey, p_brand, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, o, p_brand) AS rn FROM v) WHERE rn = 1"""
@@ -443,12 +384,6 @@ def pivot3(spark: SparkSession, d: str) -> DataFrame:
     return sequences.wide(table(spark, d, "nation"), ["n_name"], ["n_name"])
 
 
-@query("SELECT i::INT AS vol, (1919 + i)::INT AS year, (i + 8)::INT AS era_year FROM range(1, 31) r(i)")
-def year_table(spark: SparkSession, d: str) -> DataFrame:
-    """Thirty volumes with their years."""
-    return sequences.year_table(spark)
-
-
 @query(
     """SELECT doc_id, lang, source, CASE WHEN n_chars > 1000 THEN lang || '-' || source ELSE lang END AS created FROM documents
     WHERE source IS NOT NULL AND source <> '' AND n_chars <> 0 ORDER BY n_chars, doc_id LIMIT 50"""
@@ -502,13 +437,3 @@ def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     name = f"stream_counts_{uuid.uuid4().hex}"
     gap_stream.start(gap_stream.distinct_counts(rows, "event_type", "user_id"), name, gap_stream.checkpoint_folder(spark)).awaitTermination()
     return spark.table(name)
-
-
-_FIXTURE = [('<d xmlns:cb="urn:x"><cb:div><cb:mulu level="2">一緒言</cb:mulu><p>前<note place="inline">注</note>後</p></cb:div></d>',), ("<bad><x></bad>",), (None,)]
-
-
-@query("SELECT * FROM (VALUES ('0', 0, -1, 'd', ''), ('0', 1, 0, 'div', ''), ('0', 2, 1, 'mulu', ''), ('0', 3, 1, 'p', ''), ('0', 4, 3, 'note', '後')) x(doc_id, node_id, parent_id, tag, tail)")
-def shred_xml_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes of a document with mixed content; malformed ones have none."""
-    rows = _rows(spark, "id string, content string", [(str(i), t[0]) for i, t in enumerate(_FIXTURE)])
-    return xml_nodes.shred(rows, "id").select("doc_id", "node_id", "parent_id", "tag", "tail")

@@ -13,6 +13,13 @@ def read_catalogues(spark: SparkSession, path: str, entries: str, pattern: str =
     return docs.select(F.input_file_name().alias("file_name"), F.posexplode(entries).alias("entry_index", "entry")).select("file_name", "entry_index", "entry.*")
 
 
+def catalogue_entries(spark: SparkSession, path: str, mark: str = "_編目錄.json") -> DataFrame:
+    """folder and entry (entry_index and its fields) of the catalogues ``NAME`` + ``mark`` in folders that begin with two digits and a line."""
+    names = F.split(F.url_decode("file_name"), "/")
+    found = read_catalogues(spark, path, "entries", "*" + mark).withColumn("folder", F.element_at(names, -2))
+    return found.filter(F.col("folder").rlike(r"^\d{2}_")).drop("file_name")
+
+
 def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON lines; malformed ones are skipped."""
     reader = spark.read.option("mode", "DROPMALFORMED")

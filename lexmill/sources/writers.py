@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.sources.byte_ranges import file_system
 
 
 def write_articles(articles: DataFrame, path: str, text: str = "text", by: str | None = None) -> None:
@@ -12,6 +18,21 @@ def write_articles(articles: DataFrame, path: str, text: str = "text", by: str |
     (writer.partitionBy(by) if by else writer).text(path)
 
 
+def write_named(rows: DataFrame, path: str, name: str = "name", text: str = "text") -> None:
+    """Each row's text as a file of its own below ``path``; names may hold folders. A task that runs again writes the same files again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            system, base = file_system(path)
+            for n, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                system.create_dir(f"{base}/{n}".rpartition("/")[0], recursive=True)
+                with system.open_output_stream(f"{base}/{n}") as f:
+                    f.write((t or "").encode())
+            yield b.select([0])
+
+    rows.select(F.col(name).alias("name"), text).filter("name is not null").mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
+
+
 def write_json(rows: DataFrame, path: str, by: str | None = None) -> None:
     """Rows as JSON lines, candidates of a document for example."""
     writer = rows.write.mode("overwrite")
