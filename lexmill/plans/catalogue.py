@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import bylines, classify, issues, numerals
@@ -215,10 +215,11 @@ def cooccurrence_vote(spark: SparkSession, d: str) -> DataFrame:
     return lookups.vote(met, "l_suppkey", "p_brand", "l_orderkey")
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 200000")
 def no_reference_entities(spark: SparkSession, d: str) -> DataFrame:
-    """Customers without orders."""
-    return table(spark, d, "customer").select("c_custkey").exceptAll(table(spark, d, "orders").select("o_custkey").distinct())
+    """Customers without a large open order."""
+    large = table(spark, d, "orders").filter("o_orderstatus = 'O' and o_totalprice > 200000")
+    return table(spark, d, "customer").select("c_custkey").exceptAll(large.select("o_custkey").distinct())
 
 
 @query("SELECT item, max(kind) AS kind FROM (SELECT p_brand AS item, 'brand' AS kind FROM part UNION SELECT p_type, 'type' FROM part UNION SELECT c_mktsegment, 'segment' FROM customer) GROUP BY item")
@@ -344,10 +345,10 @@ def forward_fill(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
 def ordered_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    """The first document of each text; texts meet by hash and length, and by themselves only where those agree."""
+    """The first document of each text; texts meet by a digest of 256 bits and travel with it."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    least = docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"))
-    return docs.join(least, "doc_id", "left_semi")
+    first = docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min(F.struct("doc_id", "text")).alias("f"))
+    return first.select("f.doc_id", "f.text")
 
 
 @query(
@@ -404,26 +405,39 @@ def free_sql(spark: SparkSession, d: str) -> DataFrame:
 # -- documents ----------------------------------------------------------------------------
 
 
-@query()
+_PLAIN = "replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&'), '&amp', '&')"
+_PARAGRAPHS = f"""b AS (SELECT page_id, html, list_transform(string_split(html, '<p>')[2:], lambda x: {_PLAIN.format("regexp_extract(x, '^(?s)(.*?)(</p>|</article>|$)', 1)")}) AS ps FROM pages)"""
+
+
+def _page_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return xml_nodes.shred(table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html"), "id", "html", html=True)
+
+
+@query(f"WITH {_PARAGRAPHS} SELECT page_id, i::INT AS nth, ps[i] AS text FROM (SELECT page_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM b)")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraph text of web pages, read leniently; scripts and styles hold none."""
-    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
-    nodes = xml_nodes.shred(pages, "id", "html", html=True)
-    return documents.tree_text(nodes, ["p"]).select(F.col("doc_id").cast("long").alias("page_id"), "node_id", "text")
+    """Paragraphs of web pages, read leniently, in order; scripts and styles hold none."""
+    found = documents.tree_text(_page_nodes(spark, d), ["p"])
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("node_id"))
+    return found.select(F.col("doc_id").cast("long").alias("page_id"), nth.alias("nth"), "text")
 
 
-@query()
+@query("SELECT tag, count(*)::BIGINT AS n, count(DISTINCT page_id)::BIGINT AS pages FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-z0-9]+)[ >]', 1)) AS tag FROM pages) GROUP BY tag")
 def shred_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of all pages by tag."""
-    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
-    return xml_nodes.shred(pages, "id", "html", html=True).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("deepest"))
+    return _page_nodes(spark, d).filter("parent_id >= 0").groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("pages"))
 
 
-@query()
+_TIDY = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH {_PARAGRAPHS}, t AS (SELECT page_id, ps, {_TIDY.format(_PLAIN.format("regexp_extract(html, '<title>([^<]*)<', 1)"))} AS title, {_TIDY.format(_PLAIN.format("regexp_extract(html, '<h1>([^<]*)<', 1)"))} AS h1,
+      {_TIDY.format(_PLAIN.format("array_to_string(regexp_extract_all(html, '<a[^>]*>([^<]*)</a>', 1), '')"))} AS nav, {_TIDY.format(_PLAIN.format("regexp_extract(html, '<footer>([^<]*)<', 1)"))} AS foot FROM b)
+    SELECT page_id, array_to_string(list_filter(['- ' || title, '## ' || title, nav, h1] || list_transform(ps, lambda x: {_TIDY.format("x")}) || [foot], lambda x: x <> ''), chr(10) || chr(10)) AS markdown FROM t"""
+)
 def render_markdown(spark: SparkSession, d: str) -> DataFrame:
     """Every page as Markdown."""
-    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "html")
-    nodes = xml_nodes.shred(pages, "id", "html", html=True).filter(~F.col("tag").isin("script", "style"))
+    nodes = _page_nodes(spark, d).filter(~F.col("tag").isin("script", "style"))
     return documents.render_articles(nodes, gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
 
 
@@ -432,8 +446,6 @@ def render_markdown(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_type, count(DISTINCT user_id)::BIGINT AS n FROM events GROUP BY event_type")
 def stream_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Users per type of event, counted by a stream that reads what is there and ends."""
+    """Users per type of event, counted by a stream that reads what is there and ends; results in files."""
     rows = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
-    name = f"stream_counts_{uuid.uuid4().hex}"
-    gap_stream.start(gap_stream.distinct_counts(rows, "event_type", "user_id"), name, gap_stream.checkpoint_folder(spark)).awaitTermination()
-    return spark.table(name)
+    return gap_stream.counted(gap_stream.distinct_counts(rows, "event_type", "user_id"))

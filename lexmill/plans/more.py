@@ -302,14 +302,13 @@ def article_files(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value") - 2).alias("chars"))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_acctbal IS NOT NULL")
 def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Nations from an SQLite file."""
-    db = sqlite3.connect(":memory:")
-    db.execute("CREATE TABLE nation (n_nationkey INTEGER PRIMARY KEY, n_name TEXT, n_regionkey INTEGER)")
-    db.executemany("INSERT INTO nation VALUES (?, ?, ?)", [tuple(r) for r in table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").collect()])
-    db.commit()
-    return sqlite.sqlite_rows(_rows(spark, "content binary", [(db.serialize(),)]), "nation", "n_nationkey int, n_name string, n_regionkey int")
+    """Customers written as SQLite files, one a nation and thousand, and scanned again from their folder."""
+    base, kind = shared_folder(spark, "sqlite"), "c_custkey long, c_name string, c_nationkey int, c_acctbal double"
+    rows = table(spark, d, "customer").filter("c_acctbal is not null").select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"), F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    sqlite.write_sqlite(rows, base, "customer", F.concat_ws("-", "c_nationkey", F.floor(F.col("c_custkey") / 1000)))
+    return sqlite.read_sqlite(spark, base, "customer", kind)
 
 
 # -- reports ----------------------------------------------------------------------------------
@@ -534,9 +533,8 @@ def user_table_function(spark: SparkSession, d: str) -> DataFrame:
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events per day and type, by a stream with a watermark that keeps all windows of one pass."""
     rows = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
-    name = f"stream_windows_{uuid.uuid4().hex}"
-    gap_stream.start(gap_stream.windowed_counts(rows, "ts", "event_type", "3650 days", "1 day"), name, gap_stream.checkpoint_folder(spark)).awaitTermination()
-    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    found = gap_stream.counted(gap_stream.windowed_counts(rows, "ts", "event_type", "3650 days", "1 day"))
+    return found.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 @query(

@@ -292,12 +292,14 @@ def gap_report(spark: SparkSession, d: str) -> DataFrame:
     return report
 
 
-@query(
-    f"""WITH {_TERMS}, c AS (SELECT article, term FROM t WHERE dimension = 'concepts'), v AS (SELECT * FROM (VALUES ('因緣', '緣起'), ('法性', '性相')) v(other, domain)),
+#: The additions that a review finds, behind _TERMS.
+ORACLE_ADDITIONS = f"""WITH c AS (SELECT article, term FROM t WHERE dimension = 'concepts'), v AS (SELECT * FROM (VALUES ('因緣', '緣起'), ('法性', '性相')) v(other, domain)),
     m AS (SELECT x.term, x.article, v.domain FROM (SELECT DISTINCT article, term FROM c) x JOIN c y ON x.article = y.article AND y.term <> x.term JOIN v ON v.other = y.term),
     w AS (SELECT term, domain FROM m GROUP BY term, domain QUALIFY row_number() OVER (PARTITION BY term ORDER BY count(*) DESC, min(article), domain) = 1)
     SELECT dimension, u.term, count(DISTINCT article)::BIGINT AS n, CASE WHEN dimension = 'concepts' THEN coalesce(max(domain), '教理') END AS domain FROM u LEFT JOIN w ON w.term = u.term GROUP BY dimension, u.term HAVING count(DISTINCT article) >= 2"""
-)
+
+
+@query(f"WITH {_TERMS}, g AS ({ORACLE_ADDITIONS}) SELECT * FROM g")
 def gap_additions(spark: SparkSession, d: str) -> DataFrame:
     """Terms that several articles miss, with the domain their company has."""
     _, additions, _ = reports.gap_review(_gap_log(spark, d), _known(spark), spark.createDataFrame(_VOCABULARY, "standard string, domain string"))

@@ -32,6 +32,26 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     return terms.select("seq", "t.*")
 
 
+def read_labels(spark: SparkSession, path: str, dimensions: tuple[str, ...] = ("functions", "bearings")) -> DataFrame:
+    """dimension and label of JSON documents that list the labels of each dimension; documents without a list have none."""
+    schema = ", ".join(f"`{d}` array<string>" for d in dimensions)
+    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    named = F.map_from_arrays(F.array(*map(F.lit, dimensions)), F.array(*(F.coalesce(d, F.array().cast("array<string>")) for d in dimensions)))
+    return docs.select(F.explode(named).alias("dimension", "labels")).select("dimension", F.explode("labels").alias("label")).distinct()
+
+
+#: What a publication of a calendar may tell.
+CALENDAR = "category: string, aliases: array<string>, ref_count: long, volume_to_year: map<string,int>, confidence: string"
+
+
+def read_calendar(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(publications, heuristics) of JSON calendars: name and the fields of CALENDAR, lists and maps never null; name and rule."""
+    docs = spark.read.schema(f"publications map<string,struct<{CALENDAR}>>, heuristics map<string,string>").option("multiLine", True).json(path)
+    rows = docs.select(F.explode("publications").alias("name", "p")).select("name", "p.*")
+    filled = rows.withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>"))).withColumn("volume_to_year", F.coalesce("volume_to_year", F.create_map().cast("map<string,int>")))
+    return filled.withColumn("ref_count", F.coalesce("ref_count", F.lit(0))), docs.select(F.explode("heuristics").alias("name", "rule"))
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """path and text of Markdown files."""
     return spark.read.option("wholetext", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))

@@ -6,7 +6,9 @@ import sqlite3
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from lexmill.sources.byte_ranges import file_system
 
 #: Rows that leave a file together.
 BATCH = 5_000
@@ -40,3 +42,24 @@ def sqlite_rows(files: DataFrame, table: str, schema: str, content: str = "conte
 def read_sqlite(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
     """Rows of a table of all SQLite files under ``path``."""
     return sqlite_rows(spark.read.format("binaryFile").load(path).select("content"), table, schema)
+
+
+def write_sqlite(rows: DataFrame, path: str, table: str, file: Column) -> None:
+    """Rows as SQLite files below ``path``, one for each value of ``file``, which bounds what a task holds; a task that runs again writes the same files."""
+    names = rows.columns
+    kinds = {"string": "TEXT", "double": "REAL", "float": "REAL"}
+    quoted = lambda n: '"' + n.replace('"', '""') + '"'
+    columns = ", ".join(f"{quoted(f.name)} {kinds.get(f.dataType.simpleString(), 'INTEGER')}" for f in rows.schema)
+
+    def run(key: tuple, held: pa.Table) -> pa.Table:
+        db = sqlite3.connect(":memory:")
+        db.execute(f"CREATE TABLE {quoted(table)} ({columns})")
+        db.executemany(f"INSERT INTO {quoted(table)} VALUES ({', '.join('?' * len(names))})", zip(*(held[n].to_pylist() for n in names), strict=True))
+        db.commit()
+        system, base = file_system(path)
+        system.create_dir(base, recursive=True)
+        with system.open_output_stream(f"{base}/{key[0].as_py()}.db") as f:
+            f.write(db.serialize())
+        return pa.table({"n": [held.num_rows]})
+
+    rows.withColumn("__file", file).groupBy("__file").applyInArrow(run, "n long").write.format("noop").mode("overwrite").save()

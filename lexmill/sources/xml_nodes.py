@@ -19,6 +19,9 @@ NODES = "doc_id string, node_id int, parent_id int, ord int, depth int, tag stri
 _WRAP = '<r xmlns:cb="urn:cb" xmlns:xml="http://www.w3.org/XML/1998/namespace">{}</r>'
 #: HTML elements that never hold others.
 _VOID = "area base br col embed hr img input link meta source track wbr".split()
+#: HTML elements that an open paragraph ends before, and those that only mark letters.
+_BLOCKS = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+_INLINE = frozenset("a abbr b bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
 
 
 def local_name(tag: str) -> str:
@@ -58,8 +61,12 @@ class _Lenient(HTMLParser):
         self.open = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "p" and self.open[-1].tag == "p":
-            self.open.pop()
+        if tag in _BLOCKS:  # a block ends an open paragraph, and marks of letters that are still open in it
+            at = len(self.open) - 1
+            while at and self.open[at].tag in _INLINE:
+                at -= 1
+            if self.open[at].tag == "p":
+                del self.open[at:]
         e = ET.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
         if tag not in _VOID:
             self.open.append(e)

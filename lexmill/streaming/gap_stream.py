@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from lexmill.session import shared_folder
 
@@ -35,12 +34,21 @@ def gap_terms_row(log: DataFrame, prefix: str = "") -> DataFrame:
     return rows.select("article", F.explode(F.concat(*parts)).alias("p")).select("article", "p.dimension", "p.term")
 
 
-def start(counts: DataFrame, name: str, checkpoint: str, every_batch=None) -> StreamingQuery:
-    """Run to the end of what is there; results in memory under ``name``, or each batch to a function."""
-    writer = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(every_batch).start() if every_batch else writer.format("memory").queryName(name).start()
+def counted(counts: DataFrame) -> DataFrame:
+    """The counts of a stream at the end of what is there, from files: each batch writes all of them to a folder of its number, and the last folder is read.
 
+    A batch that runs again writes the same folder; nothing passes through the driver.
+    """
+    spark, base = counts.sparkSession, shared_folder(counts.sparkSession, "counts")
+    last: list[int] = []
 
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/{number}")
+        last.append(number)
+
+    writer = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint_folder(spark)).trigger(availableNow=True)
+    writer.foreachBatch(write).start().awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{base}/{last[-1]}") if last else spark.createDataFrame([], counts.schema)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:

@@ -4,7 +4,7 @@ import os
 
 import duckdb
 import pytest
-from lexmill.plans import more, ordered, stored, streams, texts  # noqa: F401
+from lexmill.plans import editions, more, ordered, stored, streams, texts  # noqa: F401
 from lexmill.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
