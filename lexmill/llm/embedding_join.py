@@ -242,12 +242,16 @@ def embedding_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     Vectors that are null, empty, zero, or hold nulls or non-finite numbers link with
     nothing, nor do vectors of different lengths. Rows of equal vec_id count each as a row; a
     null vec_id links with nothing and is its own component (null). kept: vec_id = component_id.
+    Arrays of integers or decimals are taken as doubles.
 
     Equal vectors meet by 128 bits of hash and travel once, with their number. A cell's vectors stay in
     its task or, of full cells, in pairs of parts of bounded size; pairs are counted where they are
     found and never sent, only counts and roots are.
     """
-    named = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    kind = vectors.schema["embedding"].dataType.elementType.typeName()
+    dtype = np.float32 if kind == "float" else np.float64
+    embedding = F.col("embedding") if kind in ("float", "double") else F.col("embedding").cast("array<double>")
+    named = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), embedding.alias("embedding"))
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     usable = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0)
     key = [F.when(usable, F.xxhash64("embedding")).alias("h1"), F.when(usable, F.xxhash64(F.lit("vector"), "embedding")).alias("h2")]
@@ -259,7 +263,6 @@ def embedding_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     # the list of full cells: at most as many as vectors' places divided by part_rows
     counted = _placed(nodes, cosine, most, None).groupBy("dims", "block", "cell").count().filter(F.col("dims") * F.col("count") > PART_VALUES).collect()
     full = {(r["dims"], r["block"], r["cell"]): -(-r["count"] // part_rows(r["dims"])) for r in counted}
-    dtype = np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
     found = stored(_compared(_placed(nodes, cosine, most, full), cosine, most, dtype))
     table, roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = roots.select("node", F.col("root").alias("r"))
