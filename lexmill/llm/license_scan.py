@@ -189,6 +189,13 @@ def _templates() -> list[dict]:
     return named + [{"family": f, "words": sorted(set(words_of(t)))} for f in NAMES for t in TEXTS[f]]
 
 
+def named_alone(model: Model) -> list[tuple[str, str, float]]:
+    """(family, phrase, probability) of the names of several words that the model gives to their family when they stand alone."""
+    phrases = sorted({(t["family"], t["phrase"]) for t in _templates() if len(t.get("phrase", "").split()) > 1})
+    told = [(f, p, float(model.probabilities(p)[model.families.index(f)])) for f, p in phrases]
+    return [(f, p, c) for f, p, c in told if c >= CONFIDENT]
+
+
 class Scorer:
     """The model as Column expressions over arrays of words; all tables in them have the model's fixed size."""
 
@@ -272,8 +279,9 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, tie, position, unit, speaks, family, confidence, similarity, stands of every line that speaks of licences and every line and window that may stand.
 
     ``tie`` is a hash of the text, for rows of equal doc_id. In a window a name must stand
-    as a phrase, since its words alone may come from anywhere; every family so named is a row,
-    if it is likelier than unknown. Texts confirm the most probable family only.
+    as a phrase, since its words alone may come from anywhere, and so must that of a line's second
+    family, which is classified by that phrase alone; every family so named is a row, if it is likelier than unknown.
+    Texts confirm the most probable family only.
     """
     model = model or trained()
     spark = docs.sparkSession
@@ -292,7 +300,13 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     none = F.element_at("z", model.families.index(UNKNOWN) + 1)
     each = [F.struct(F.lit(f).alias("family"), (1 / (1 + F.exp(none - F.element_at("z", i + 1)))).alias("confidence"), F.lit(False).alias("top")) for i, f in enumerate(model.families) if f != UNKNOWN]
     top = F.struct(family.alias("family"), share.alias("confidence"), F.lit(True).alias("top"))
-    said = F.when(F.col("unit") < 0, F.array(top)).otherwise(F.concat(F.array(top), F.filter(F.array(*each), lambda x: (x["confidence"] >= CONFIDENT) & (x["family"] != family))))
+    # what else a line names is classified by itself, without the rest of the line
+    whole_line = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
+    alone = {f: [(p, c) for g, p, c in named_alone(model) if g == f] for f in model.families}
+    own = lambda f: F.greatest(*(F.when(whole_line.contains(p), F.lit(c)) for p, c in alone[f]), F.lit(0.0))
+    named = [F.struct(F.lit(f).alias("family"), own(f).alias("confidence"), F.lit(False).alias("top")) for f in model.families if alone[f]]
+    others = F.when(F.col("unit") < 0, F.array(*named)).otherwise(F.array(*each))
+    said = F.concat(F.array(top), F.filter(others, lambda x: (x["confidence"] >= CONFIDENT) & (x["family"] != family)))
     told = scored.select(*key, "speaks", "words", F.explode(said).alias("said")).select(*key, "speaks", "words", "said.*")
     t = templates.groupBy(F.col("family")).agg(F.collect_list(F.struct("words", "phrase")).alias("templates"))
     met = told.join(F.broadcast(t), "family", "left").withColumn("distinct", F.array_distinct("words")).withColumn("whole", F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" ")))
@@ -302,12 +316,13 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
         held = F.size(F.array_intersect(x["words"], F.col("distinct")))
         of_line = held / F.when(n == 1, F.greatest(n, most)).otherwise(n)
         of_window = F.when(x["phrase"].isNotNull(), F.when((n > 1) & F.col("whole").contains(x["phrase"]), 1.0)).when(F.col("top") & (F.size("words") <= DILUTED * n + WINDOWS[0]), held / n)
-        return F.when(F.col("unit") < 0, of_line).otherwise(F.coalesce(of_window, F.lit(0.0)))
+        return F.when((F.col("unit") < 0) & F.col("top"), of_line).otherwise(F.coalesce(of_window, F.lit(0.0)))
 
     similar = F.coalesce(F.array_max(F.transform("templates", share_of)), F.lit(0.0))
-    return met.select(*key, "speaks", "family", "confidence", similar.alias("similarity")).withColumn(
-        "stands", (F.col("family") != UNKNOWN) & (F.col("confidence") >= CONFIDENT) & (F.col("similarity") >= SIMILAR)
-    )
+    stands = (F.col("family") != UNKNOWN) & (F.col("confidence") >= CONFIDENT) & (F.col("similarity") >= SIMILAR)
+    # what is not the most probable family of a line is told only if it stands
+    found = met.select(*key, "speaks", "family", "confidence", similar.alias("similarity"), "top").withColumn("stands", stands)
+    return found.filter(F.col("top") | F.col("stands") | (F.col("unit") >= 0)).drop("top")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -324,7 +339,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     line, best = F.col("unit") < 0, F.struct("family", "confidence", "similarity", "position")
     first = F.struct("stands", "confidence", (-F.col("position")).alias("p"))
     found = judged(docs).filter("stands or speaks").groupBy("doc_id", "tie", "family").agg(
-        F.size(F.collect_set(F.when(line, F.col("position")))).alias("lines"), F.max(F.col("stands") & line).alias("by_line"), F.max("stands").alias("stands"),
+        F.collect_set(F.when(line, F.col("position"))).alias("lines"), F.max(F.col("stands") & line).alias("by_line"), F.max("stands").alias("stands"),
         F.collect_set(F.when(F.col("stands") & line, F.struct("family", "position"))).alias("places"),
         F.max_by(best, F.when(line, first)).alias("line"), F.max_by(best, F.when(~line, first)).alias("window"),
     )
@@ -333,7 +348,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     found = found.withColumn("places", F.when(F.col("stands") & ~F.col("by_line"), F.array(F.struct("family", F.col("window.position").alias("position")))).otherwise(F.col("places")))
     others = F.col("family") != "proprietary"  # all rights are reserved in the head of many a licence
     by_text = found.groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(
-        F.sum(F.col("lines") + (F.col("stands") & ~F.col("by_line")).cast("long")).alias("n_candidates"), F.max("stands").alias("any"),
+        # a line of two families is one candidate
+        (F.size(F.array_distinct(F.flatten(F.collect_list("lines")))) + F.sum((F.col("stands") & ~F.col("by_line")).cast("long"))).alias("n_candidates"), F.max("stands").alias("any"),
         F.sort_array(F.flatten(F.collect_list("places"))).alias("licences"),
         F.max_by("best", F.struct("stands", others.alias("o"), F.col("best.confidence").alias("c"), (-F.col("best.position")).alias("p"))).alias("best"),
     )

@@ -146,6 +146,10 @@ def test_embedding_join(spark, monkeypatch, part):
     assert all(got[i] == (int(a[i].sum()), int(root[i]), bool(root[i] == i)) for i in range(60)) and a.sum()
     assert all(got[i] == (0, i, True) for i in range(60, 66)) and got[66] == (1, 66, True) and got[67] == (1, 66, False)
     assert embedding_join.op1(v.limit(0)).collect() == []
+    whole = [(i, [int(y) for y in rng.integers(-9, 9, 16)]) for i in range(20)] + [(20, [2] * 16), (21, [3] * 16), (22, None), (23, [None] * 16)]
+    for kind in ("int", "long", "decimal(9,2)"):
+        got = embedding_join.op1(spark.createDataFrame(whole, "vec_id long, embedding array<long>").selectExpr("vec_id", f"cast(embedding as array<{kind}>) embedding"))
+        assert {r.vec_id: r.n_links for r in got.collect()} == {i: int(i in (20, 21)) for i in range(24)}
 
 
 @pytest.mark.parametrize("parts", [8, 0.001])
@@ -457,14 +461,16 @@ def test_license_notices_over_lines_and_short(spark):
 
 def test_license_scan_returns_every_family(spark):
     apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
-    texts = [f"x\n{mit}\n{apache}\n{mit}", f"{mit}\ncode\nThe text is under Creative Commons\nAttribution 4.0", "The driver lost the license after the accident.", "nothing", None, "All rights reserved.\n" + mit, "Licensed under MIT or Apache-2.0."]
+    texts = [f"x\n{mit}\n{apache}\n{mit}", f"{mit}\ncode\nThe text is under Creative Commons\nAttribution 4.0", "The driver lost the license after the accident.", "nothing", None, "All rights reserved.\n" + mit, "Licensed under MIT or Apache-2.0.", "x\nunder MIT or Apache 2.0", f"{mit} {apache}"]
     d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: r for r in license_scan.op6(d).collect()}
     assert [tuple(x) for x in got[0].licences] == [("apache", 2), ("mit", 1), ("mit", 3)] and got[0].licence in ("apache", "mit")
     assert [x.family for x in got[1].licences] == ["cc-by", "mit"] and got[1].licences[1].position == 0
     assert [got[i].licences for i in (2, 3, 4)] == [[], [], []]
     assert [tuple(x) for x in got[5].licences] == [("mit", 1), ("proprietary", 0)] and got[5].licence == "mit"
-    assert [tuple(x) for x in got[6].licences] == [("apache", 0), ("mit", 0)]
+    assert [tuple(x) for x in got[6].licences] == [("apache", 0), ("mit", 0)] and got[6].n_candidates == 1
+    assert [tuple(x) for x in got[7].licences] == [("apache", 1), ("mit", 1)] and got[7].n_candidates == 1
+    assert [tuple(x) for x in got[8].licences] == [("apache", 0), ("mit", 0)]
 
 
 def test_shingles_match_brute_force():
