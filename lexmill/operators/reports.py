@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import normal_label
@@ -50,21 +50,23 @@ def gap_review(log: DataFrame, known: DataFrame, vocabulary: DataFrame, least: i
 
 
 def cleaned_log(log: DataFrame, known: DataFrame, prefix: str = "", test_marker: str = "/tmp/") -> DataFrame:
-    """The log without known labels. Labels of a dimension are a list of a vocabulary's size, kept in one row by broadcast."""
-    sets = known.select("dimension", normal_label(F.col("label")).alias("l")).groupBy().agg(F.collect_set(F.struct("dimension", "l")).alias("__known"))
-    rows = log.join(F.broadcast(sets), how="cross")
-    test = F.col("article_path").contains(test_marker)
-
-    def left(column: str, dimension: str) -> Column:
-        return F.filter(F.coalesce(column, F.array().cast("array<string>")), lambda x: ~F.array_contains(F.col("__known"), F.struct(F.lit(dimension).alias("dimension"), normal_label(x).alias("l"))))
+    """The log without known labels; rows left without any go, test rows stay as they are, equal rows stay as many.
 
+    Labels are taken out of their lists, meet the known ones by an anti join, and what is left is put back in order.
+    """
     lists = [(d, d) for d in DIMENSIONS if d in log.columns] + ([("gap_terms", "concepts")] if "gap_terms" in log.columns else [])
-    kept = rows.withColumns({c: F.when(test, F.col(c)).otherwise(left(c, d)) for c, d in lists})
-    some = test
-    for c, _ in lists:
-        some = some | (F.size(c) > 0)
+    none, test = F.array().cast("array<string>"), F.coalesce(F.col("article_path").contains(test_marker), F.lit(False))
+    once = log.groupBy(*log.columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__h", F.sha2(F.to_json(F.struct(*log.columns)), 256))
+    placed = lambda c, d: F.transform(F.coalesce(c, none), lambda x, i: F.struct(F.lit(c).alias("c"), F.lit(d).alias("dimension"), i.alias("i"), x.alias("raw")))
+    each = once.filter(~test).select("__h", F.explode(F.concat(*(placed(c, d) for c, d in lists))).alias("x")).select("__h", "x.*").withColumn("label", normal_label(F.col("raw")))
+    of_list = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("c") == c, F.struct("i", "raw")))), lambda x: x["raw"])
+    labels = known.select("dimension", normal_label(F.col("label")).alias("label")).distinct()
+    left = each.join(labels, ["dimension", "label"], "left_anti").groupBy("__h").agg(*(of_list(c).alias(f"__{c}") for c, _ in lists))
+    met = once.join(left.withColumn("__some", F.lit(True)), "__h", "left").filter(test | F.col("__some"))
     path = F.when(test, F.col("article_path")).otherwise(clean_path(F.col("article_path"), prefix))
-    return kept.filter(some).withColumn("article_path", path).drop("__known")
+    kept = {c: F.when(test, F.col(c)).otherwise(F.coalesce(f"__{c}", none)).alias(c) for c, _ in lists}
+    rows = met.select(*(kept.get(c, path.alias(c) if c == "article_path" else F.col(c)) for c in log.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__i"))
+    return rows.drop("__i")
 
 
 def sectioned(rows: DataFrame, section: str, columns: list[str], order: list[str], level: int = 2) -> DataFrame:
