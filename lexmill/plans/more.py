@@ -199,11 +199,12 @@ def distinct_in_order(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conv_id", sequences.distinct_in_order(F.col("rs")).alias("roles"))
 
 
-@query(f"SELECT doc_id, regexp_matches(text, '{_FLAGS['link']}|{_FLAGS['mail']}') AS about, regexp_replace(text, '講於([^，。,]+)', '在\\1講') AS placed FROM documents")
+@query(f"SELECT doc_id, regexp_matches(text, '{_FLAGS['link']}|{_FLAGS['mail']}') AS about, concat('某在', coalesce(lang, '何處'), left(text, 3), '講，今附') AS placed FROM (SELECT doc_id, lang, replace(replace(text, ',', ''), '，', '') AS text FROM documents) WHERE left(text, 3) NOT SIMILAR TO '.*[，。,].*'")
 def publication_predicate(spark: SparkSession, d: str) -> DataFrame:
     """Whether a text tells of given words, and places put before verbs."""
-    t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", (classify.about_publication(t, ["http://", "https://", "@"])).alias("about"), bylines.appendix_place(t).alias("placed"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.translate("text", ",，", "").alias("text")).filter(~F.left("text", F.lit(3)).rlike("[，。,]"))
+    line = F.concat(F.lit("某講於"), F.coalesce("lang", F.lit("何處")), F.left("text", F.lit(3)), F.lit("，今附"))
+    return docs.select("doc_id", classify.about_publication(F.col("text"), ["http://", "https://", "@"]).alias("about"), bylines.appendix_place(line).alias("placed"))
 
 
 # -- candidates and prompts -------------------------------------------------------------------
@@ -465,13 +466,13 @@ def byline_in_first_bytes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, 'F' || chr(10) || chr(10) || '# ' || source || chr(10) || chr(10) || text || CASE WHEN lang = 'de' THEN chr(10) || chr(10) || '## 附' || chr(10) || chr(10) || 'x' ELSE '' END
-      || chr(10) || chr(10) || '## 註' || chr(10) || chr(10) || '[1] ' || lang || chr(10) || '[2] ' || source AS text, length(regexp_replace(text, '[^一-龥]', '', 'g'))::BIGINT AS n_chars FROM documents WHERE text <> '' AND source IS NOT NULL AND lang IS NOT NULL"""
+    """SELECT doc_id, 'F' || chr(10) || chr(10) || '# ' || source || chr(10) || chr(10) || text || '因緣' || lang || '觀' || CASE WHEN lang = 'de' THEN chr(10) || chr(10) || '## 附' || chr(10) || chr(10) || 'x' ELSE '' END
+      || chr(10) || chr(10) || '## 註' || chr(10) || chr(10) || '[1] ' || lang || chr(10) || '[2] ' || source AS text, 3 + length(regexp_replace(text, '[^一-龥]', '', 'g'))::BIGINT AS n_chars FROM documents WHERE text <> '' AND source IS NOT NULL AND lang IS NOT NULL"""
 )
 def assembled_articles(spark: SparkSession, d: str) -> DataFrame:
     """Whole articles put together: front matter, title, body, appendix, notes."""
     rows = table(spark, d, "documents").filter("text <> '' and source is not null and lang is not null")
-    parts = rows.select("doc_id", F.lit("F").alias("front"), F.col("source").alias("title"), F.col("text").alias("markdown"), F.array("lang", "source").alias("notes"), F.when(F.col("lang") == "de", "x").alias("appendix"))
+    parts = rows.select("doc_id", F.lit("F").alias("front"), F.col("source").alias("title"), F.concat("text", F.lit("因緣"), "lang", F.lit("觀")).alias("markdown"), F.array("lang", "source").alias("notes"), F.when(F.col("lang") == "de", "x").alias("appendix"))
     return documents.assembled(parts)
 
 
