@@ -301,11 +301,11 @@ def judged(docs: DataFrame, model: Model | None = None) -> DataFrame:
     each = [F.struct(F.lit(f).alias("family"), (1 / (1 + F.exp(none - F.element_at("z", i + 1)))).alias("confidence"), F.lit(False).alias("top")) for i, f in enumerate(model.families) if f != UNKNOWN]
     top = F.struct(family.alias("family"), share.alias("confidence"), F.lit(True).alias("top"))
     # what else a line names is classified by itself, without the rest of the line
-    whole_line = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
     alone = {f: [(p, c) for g, p, c in named_alone(model) if g == f] for f in model.families}
-    own = lambda f: F.greatest(*(F.when(whole_line.contains(p), F.lit(c)) for p, c in alone[f]), F.lit(0.0))
-    named = [F.struct(F.lit(f).alias("family"), own(f).alias("confidence"), F.lit(False).alias("top")) for f in model.families if alone[f]]
-    others = F.when(F.col("unit") < 0, F.array(*named)).otherwise(F.array(*each))
+    own = lambda f, line: F.greatest(*(F.when(line.contains(p), F.lit(c)) for p, c in alone[f]), F.lit(0.0))
+    named = lambda line: F.array(*(F.struct(F.lit(f).alias("family"), own(f, line).alias("confidence"), F.lit(False).alias("top")) for f in model.families if alone[f]))
+    of_line = let(F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" ")), named)
+    others = F.when(F.col("unit") < 0, of_line).otherwise(F.array(*each))
     said = F.concat(F.array(top), F.filter(others, lambda x: (x["confidence"] >= CONFIDENT) & (x["family"] != family)))
     told = scored.select(*key, "speaks", "words", F.explode(said).alias("said")).select(*key, "speaks", "words", "said.*")
     t = templates.groupBy(F.col("family")).agg(F.collect_list(F.struct("words", "phrase")).alias("templates"))
