@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions import bylines, classify, issues, numerals
+from lexmill.functions import classify
 from lexmill.functions import text as tx
-from lexmill.operators import dictionary, documents, gaps, lookups, matching, sequences
+from lexmill.operators import dictionary, documents, lookups, matching, sequences
 from lexmill.session import register_tables, run_sql, table
 from lexmill.sources import xml_nodes
 from lexmill.streaming import gap_stream

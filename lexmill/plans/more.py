@@ -1,19 +1,15 @@
-"""More queries: one or more operators each, over the tables or over small literal inputs, with the SQL that must give the same rows."""
+"""More queries: one or more operators each, over the tables, with the SQL that must give the same rows."""
 
 from __future__ import annotations
 
-import json
-import sqlite3
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions import bylines, classify, issues, registry
+from lexmill.functions import bylines, classify, registry
 from lexmill.functions import text as tx
 from lexmill.operators import documents, gaps, lookups, matching, rendering, reports, sequences
-from lexmill.plans.catalogue import _FLAGS, _KEYS, _PER_LINE, _found, _rows, _values, query
+from lexmill.plans.catalogue import _FLAGS, _PER_LINE, _found, _rows, _values, query
 from lexmill.session import register_tables, run_sql, shared_folder, table
 from lexmill.sources import files, sqlite, writers, xml_nodes
 from lexmill.streaming import gap_stream
