@@ -13,7 +13,7 @@ from lexmill.functions import text as tx
 from lexmill.operators import documents, gaps, lookups, rendering, reports, sequences
 from lexmill.plans.catalogue import query
 from lexmill.plans.ordered import _sql_label
-from lexmill.session import shared_folder, table
+from lexmill.session import shared_folder, spread, table
 from lexmill.sources import files, versions, writers, xml_nodes
 
 
@@ -328,7 +328,7 @@ _TEI = f"""concat('<text xmlns:cb="urn:x"><cb:div id="d', c_custkey, '"><head>',
 
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", f"{_TEI} AS content")
+    rows = spread(table(spark, d, "customer").select("c_custkey", "c_nationkey")).selectExpr("CAST(c_custkey AS STRING) AS id", f"{_TEI} AS content")
     return xml_nodes.shred(rows, "id")
 
 
@@ -373,7 +373,7 @@ _APPENDED = f"""concat('<text xmlns:cb="urn:x"><cb:div><cb:mulu>講題', c_custk
 
 
 def _appended(spark: SparkSession, d: str) -> DataFrame:
-    return xml_nodes.shred(table(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", f"{_APPENDED} AS content"), "id")
+    return xml_nodes.shred(spread(table(spark, d, "customer").select("c_custkey", "c_nationkey")).selectExpr("CAST(c_custkey AS STRING) AS id", f"{_APPENDED} AS content"), "id")
 
 
 @query(

@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores, before work that costs much more than reading them: a file's row group is read by one task."""
+    return rows.repartition(max(32, 4 * rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
     """Make the tables of a folder known to ``spark.sql`` as temporary views."""
     for name in names or TABLES:
