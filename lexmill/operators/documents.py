@@ -14,66 +14,65 @@ from lexmill.functions.classify import about_publication, classify_byline
 from lexmill.functions.text import CJK_COMPAT, count_class, is_structural, strip
 
 
-def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
-    """doc_id, node_id, text: all text within each node of the given tags, in order.
+#: What scanned() tells of a node besides the attributes that are asked for.
+_SCANNED = (("doc_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("ord", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("path", pa.list_(pa.int32())), ("tags", pa.list_(pa.string())))
+
+
+def scanned(nodes: DataFrame, kept: list[str], texts: list[str], attrs: tuple[str, ...] = ()) -> DataFrame:
+    """Nodes of the ``kept`` tags: doc_id, node_id, parent_id, ord, tag, the given attributes, text, path and tags.
 
-    A node's text stands before its children's and its tail behind all below it. Each document's nodes
-    pass once, in order; a node's text grows while it is open, so no pairs of nodes are made.
+    ``text``: of nodes of the tags ``texts``, all within the node, in order; else null. ``path``, ``tags``: the ids and tags of
+    the ancestors and the node. A node's text stands before its children's and its tail behind all below it. Each document's nodes
+    pass once, in order; a node's text grows while it is open, so no pairs of nodes are made and nothing is joined.
     """
-    wanted = frozenset(tags)
+    wanted, told = frozenset(kept), frozenset(texts)
+    schema = pa.schema([*_SCANNED, *((a, pa.string()) for a in attrs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, stack, done = None, [], []  # stack: depth, node_id, tail, parts of a wanted node
+        doc, trail, stack, done = None, [], [], []  # stack: depth, tail, parts of a node whose text is told, what else is told of a kept one
 
         def close(depth: int) -> None:
             while stack and stack[-1][0] >= depth:
-                _, node, tail, parts = stack.pop()
-                if parts is not None:
-                    done.append((doc, node, "".join(parts)))
-                for *_, above in stack if tail else ():
+                _, tail, parts, row = stack.pop()
+                if row is not None:
+                    row[5] = None if parts is None else "".join(parts)
+                    done.append(row)
+                for _, _, above, _ in stack if tail else ():
                     if above is not None:
                         above.append(tail)
 
         def made() -> pa.RecordBatch:
-            got = [list(c) for c in zip(*done, strict=True)] or [[], [], []]
+            got = list(zip(*done, strict=True)) or [()] * len(schema)
             done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(got, (pa.string(), pa.int32(), pa.string()), strict=True)], ["doc_id", "node_id", "text"])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(got, schema, strict=True)], schema=schema)
 
         for b in batches:
-            for d, depth, node, tag, text, tail in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for d, depth, node, parent, nth, tag, text, tail, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if d != doc:
                     close(-1)
-                    doc = d
+                    doc, trail = d, []
                 close(depth)
-                stack.append((depth, node, tail, [] if tag in wanted else None))
-                for *_, parts in stack if text else ():
+                trail = [*trail[:depth], (node, tag)]
+                row = None
+                if tag in wanted:
+                    path, tags = zip(*trail, strict=True)
+                    row = [d, node, parent, nth, tag, None, path, tags, *rest]
+                stack.append((depth, tail, [] if tag in told else None, row))
+                for _, _, parts, _ in stack if text else ():
                     if parts is not None:
                         parts.append(text)
             yield made()
         close(-1)
         yield made()
 
-    ordered = nodes.select("doc_id", "depth", "node_id", "tag", "text", "tail").repartition("doc_id").sortWithinPartitions("doc_id", "node_id")
-    return ordered.mapInArrow(run, "doc_id string, node_id int, text string")
+    ordered = nodes.select("doc_id", "depth", "node_id", "parent_id", "ord", "tag", "text", "tail", *(F.col("attrs")[a].alias(f"__{a}") for a in attrs)).repartition("doc_id").sortWithinPartitions("doc_id", "node_id")
+    columns = ["doc_id string, node_id int, parent_id int, ord int, tag string, text string, path array<int>, tags array<string>", *(f"`{a}` string" for a in attrs)]
+    return ordered.mapInArrow(run, ", ".join(columns))
 
 
-def node_paths(nodes: DataFrame) -> DataFrame:
-    """Nodes with ``path``: their ancestors' ids and their own, by a scan of each document in order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, path = None, []
-        for b in batches:
-            docs, depths, ids = (b.column(i).to_pylist() for i in range(3))
-            out = []
-            for d, depth, n in zip(docs, depths, ids, strict=True):
-                if d != doc:
-                    doc, path = d, []
-                path = [*path[:depth], n]
-                out.append(path)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int32()))], [*b.schema.names, "path"])
-
-    ordered = nodes.select("doc_id", "depth", "node_id", "tag", "attrs", "text", "tail").repartition("doc_id").sortWithinPartitions("doc_id", "node_id")
-    return ordered.mapInArrow(run, "doc_id string, depth int, node_id int, tag string, attrs map<string,string>, text string, tail string, path array<int>")
+def tree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
+    """doc_id, node_id, text: all text within each node of the given tags, in order."""
+    return scanned(nodes, tags, tags).select("doc_id", "node_id", "text")
 
 
 def toc_lines(toc: DataFrame, style: str = "flat") -> DataFrame:
@@ -103,44 +102,57 @@ def nested_toc(toc: DataFrame) -> DataFrame:
     return toc.select("doc_id", "seq", "level", "text", "parent_seq").groupBy("doc_id").applyInArrow(run, f"doc_id {kind}, toc string")
 
 
+#: Attributes that tell what a note is.
+_NOTE_ATTRS = ("place", "type", "rend", "target", "id")
+
+
+def _is_inline(within: str | None) -> Column:
+    """Whether a scanned note is inline and no hidden addition, everywhere or within an element."""
+    shown = (F.col("place") == "inline") & ~F.coalesce((F.col("type") == "add") & (F.col("rend") == "hide"), F.lit(False))
+    shown = (F.col("tag") == "note") & shown
+    return shown & F.array_contains("tags", within) if within else shown
+
+
 def inline_notes(nodes: DataFrame, within: str | None = "byline") -> DataFrame:
     """doc_id, node_id, text of inline notes that are not hidden additions, everywhere or within an element."""
-    paths = node_paths(nodes)
-    shown = (F.col("attrs")["place"] == "inline") & ~F.coalesce((F.col("attrs")["type"] == "add") & (F.col("attrs")["rend"] == "hide"), F.lit(False))
-    notes = paths.filter((F.col("tag") == "note") & shown)
-    if within:
-        inside = nodes.filter(F.col("tag") == within).select("doc_id", F.col("node_id").alias("top"))
-        notes = notes.select("*", F.explode("path").alias("top")).join(inside, ["doc_id", "top"], "left_semi").dropDuplicates(["doc_id", "node_id"])
-    return notes.select("doc_id", "node_id").join(tree_text(nodes, ["note"]), ["doc_id", "node_id"])
+    return scanned(nodes, ["note"], ["note"], _NOTE_ATTRS).filter(_is_inline(within)).select("doc_id", "node_id", "text")
+
+
+def _pointed(rows: DataFrame) -> DataFrame:
+    """Scanned anchors and notes with ``target``, and of each anchor with an id ``seq`` and ``note``, the text of the first note that points to it."""
+    anchor = (F.col("tag") == "anchor") & F.col("id").isNotNull()
+    named = F.nullif(F.ltrim(F.coalesce("target", F.lit("")), F.lit("#")), F.lit(""))
+    rows = rows.withColumn("anchor", anchor).withColumn("target", F.when(anchor, F.col("id")).when(F.col("tag") == "note", named))
+    # both windows hold one document's rows at most: they are dealt out by document once
+    upto = Window.partitionBy("doc_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    note = F.min_by("text", F.when(F.col("tag") == "note", F.col("node_id"))).over(Window.partitionBy("doc_id", "target"))
+    return rows.repartition("doc_id").withColumn("seq", F.count_if("anchor").over(upto).cast("int")).withColumn("note", F.when(F.col("anchor"), note))
 
 
 def anchored_notes(nodes: DataFrame) -> DataFrame:
     """doc_id, seq, target, text: notes that anchors point to, in the anchors' order; missing ones have null text."""
-    anchors = nodes.filter((F.col("tag") == "anchor") & F.col("attrs")["id"].isNotNull())
-    seq = F.row_number().over(Window.partitionBy("doc_id").orderBy("node_id"))
-    anchors = anchors.select("doc_id", seq.alias("seq"), F.col("attrs")["id"].alias("target"))
-    notes = nodes.filter(F.col("tag") == "note").select("doc_id", "node_id", F.ltrim(F.coalesce(F.col("attrs")["target"], F.lit("")), F.lit("#")).alias("target")).filter("target <> ''")
-    texts = notes.join(tree_text(nodes, ["note"]), ["doc_id", "node_id"]).groupBy("doc_id", "target").agg(F.min_by("text", "node_id").alias("text"))
-    return anchors.join(texts, ["doc_id", "target"], "left").select("doc_id", "seq", "target", "text")
+    rows = _pointed(scanned(nodes, ["anchor", "note"], ["note"], _NOTE_ATTRS))
+    return rows.filter("anchor").select("doc_id", "seq", "target", F.col("note").alias("text"))
 
 
 def end_matter(nodes: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, type, raw_text, byline_type of bylines, inline notes, paragraphs and back notes on publication; texts once, of the first source."""
-    spaceless = F.regexp_replace("text", r"(?U)\s+", "")
-    take = lambda df, kind: df.select("doc_id", "node_id", F.lit(kind).alias("type"), spaceless.alias("raw_text"))
-    found = take(tree_text(nodes, ["byline"]), "byline").unionByName(take(inline_notes(nodes), "inline_note"))
-    paragraphs = take(tree_text(nodes, ["p"]), "paragraph").filter(F.col("raw_text").rlike("附[註注]") & about_publication(F.col("raw_text")))
-    back = anchored_notes(nodes).select("doc_id", F.lit(1 << 30).alias("node_id"), F.lit("back_note").alias("type"), spaceless.alias("raw_text")).filter(about_publication(F.col("raw_text")))
-    each = found.unionByName(paragraphs).unionByName(back).filter("raw_text <> ''")
+    rows = _pointed(scanned(nodes, ["byline", "p", "anchor", "note"], ["byline", "p", "note"], _NOTE_ATTRS))
+    rows = rows.withColumn("inline", F.coalesce(_is_inline("byline"), F.lit(False))).filter("tag in ('byline', 'p') or inline or anchor")
+    kind = F.when(F.col("tag") == "byline", "byline").when(F.col("tag") == "p", "paragraph").when(F.col("inline"), "inline_note").otherwise("back_note")
+    raw = F.regexp_replace(F.when(F.col("anchor"), F.col("note")).otherwise(F.col("text")), r"(?U)\s+", "")
+    each = rows.select("doc_id", F.when(F.col("anchor"), 1 << 30).otherwise(F.col("node_id")).alias("node_id"), kind.alias("type"), raw.alias("raw_text")).filter("raw_text <> ''")
+    told = F.when(F.col("type") == "paragraph", F.col("raw_text").rlike("附[註注]") & about_publication(F.col("raw_text"))).when(F.col("type") == "back_note", about_publication(F.col("raw_text"))).otherwise(True)
     once = Window.partitionBy("doc_id", "raw_text").orderBy("node_id", "type")
-    return each.withColumn("rn", F.row_number().over(once)).filter("rn = 1").select("doc_id", "type", "raw_text", classify_byline(F.col("raw_text"), sources).alias("byline_type"))
+    each = each.filter(told).withColumn("rn", F.row_number().over(once)).filter("rn = 1")
+    return each.select("doc_id", "type", "raw_text", classify_byline(F.col("raw_text"), sources).alias("byline_type"))
 
 
 def first_bylines(nodes: DataFrame) -> DataFrame:
     """doc_id, parent_id, text of the first byline of each division that stands before any of its paragraphs."""
-    inside = nodes.filter(F.col("tag").isin("byline", "p"))
-    first = inside.groupBy("doc_id", "parent_id").agg(F.min_by(F.struct("node_id", "tag"), "ord").alias("f")).filter("f.tag = 'byline'")
-    return first.select("doc_id", "parent_id", F.col("f.node_id").alias("node_id")).join(tree_text(nodes, ["byline"]), ["doc_id", "node_id"]).select("doc_id", "parent_id", "text")
+    inside = scanned(nodes, ["byline", "p"], ["byline"])
+    first = inside.groupBy("doc_id", "parent_id").agg(F.min_by(F.struct("tag", "text"), "ord").alias("f"))
+    return first.filter("f.tag = 'byline'").select("doc_id", "parent_id", "f.text")
 
 
 def byline_in_bytes(content: Column, start: Column, end: Column, tag: str = "byline", most: int = 5000) -> Column:
@@ -149,22 +161,28 @@ def byline_in_bytes(content: Column, start: Column, end: Column, tag: str = "byl
     return F.trim(F.regexp_replace(F.regexp_extract(head, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), "<[^>]+>", ""))
 
 
-def _names(nodes: DataFrame) -> DataFrame:
-    """doc_id, node_id, parent_id of divisions, with the texts of the first head and mulu right below them and the head's node."""
-    told = nodes.filter(F.col("tag").isin("head", "mulu")).select("doc_id", "parent_id", "node_id", "tag").join(tree_text(nodes, ["head", "mulu"]), ["doc_id", "node_id"])
-    first = lambda tag: F.when(F.col("tag") == tag, F.col("node_id"))
-    named = told.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(
-        strip(F.min_by("text", first("head"))).alias("head"), strip(F.min_by("text", first("mulu"))).alias("mulu"), F.min(first("head")).alias("head_id")
-    )
-    return nodes.filter("tag = 'div'").select("doc_id", "node_id", "parent_id").join(named, ["doc_id", "node_id"], "left")
+_NAME_TAGS = ["div", "head", "mulu"]
+
+
+def _first(tag: str, what: str, at: str = "node_id") -> Column:
+    """What the first of a group's rows of a tag holds."""
+    return F.min_by(what, F.when(F.col("tag") == tag, F.col(at)))
 
 
 def headings(nodes: DataFrame, notes: str = "nkr_note_orig_") -> DataFrame:
     """doc_id, node_id, text, anchor of every division: its head without wide spaces, else its mulu, else ''; the id of the head's first anchor if it begins with ``notes``."""
-    anchors = nodes.filter("tag = 'anchor'").groupBy("doc_id", F.col("parent_id").alias("head_id")).agg(F.min_by(F.col("attrs")["id"], "node_id").alias("anchor"))
-    head = F.regexp_replace("head", "　", "")
+    rows = scanned(nodes, [*_NAME_TAGS, "anchor"], ["head", "mulu"], ("id",))
+    above = F.when(F.size("path") > 2, F.get("path", F.size("path") - 3))  # of an anchor: the parent of what holds it
+    in_head = F.coalesce(F.get("tags", F.size("tags") - 2) == "head", F.lit(False))
+    rows = rows.filter((F.col("tag") != "anchor") | in_head)
+    of = F.when(F.col("tag") == "div", F.col("node_id")).when(F.col("tag") == "anchor", above).otherwise(F.col("parent_id"))
+    named = rows.withColumn("anchor", F.struct("parent_id", "id")).groupBy("doc_id", of.alias("node_id")).agg(
+        F.max(F.col("tag") == "div").alias("division"), strip(_first("head", "text")).alias("head"), strip(_first("mulu", "text")).alias("mulu"),
+        F.min(F.when(F.col("tag") == "head", F.col("node_id"))).alias("head_id"), _first("anchor", "anchor").alias("a"),
+    )
+    head, anchor = F.regexp_replace("head", "　", ""), F.when(F.col("a.parent_id") == F.col("head_id"), F.col("a.id"))
     text = F.coalesce(F.when(head != "", head), F.col("mulu"), F.lit(""))
-    return _names(nodes).join(anchors, ["doc_id", "head_id"], "left").select("doc_id", "node_id", text.alias("text"), F.when(F.col("anchor").startswith(notes), F.col("anchor")).alias("anchor"))
+    return named.filter("division").select("doc_id", "node_id", text.alias("text"), F.when(anchor.startswith(notes), anchor).alias("anchor"))
 
 
 #: The note that dates an appendix, as （附註）「title」，date；今附於此, and what begins an appendix's title.
@@ -177,19 +195,22 @@ def appendixes(nodes: DataFrame) -> DataFrame:
 
     The date stands in the first paragraph that is a dating note or byline that is no mere reference (見), in document order; else ''.
     """
-    outer = nodes.filter("tag = 'div'").select("doc_id", F.col("node_id").alias("parent_id"))
-    found = _names(nodes).filter(F.col("mulu").startswith(_APPENDIX)).join(outer, ["doc_id", "parent_id"], "left_semi")
+    rows = scanned(nodes, [*_NAME_TAGS, "p", "byline"], ["head", "mulu", "p", "byline"])
+    said = strip(F.col("text"))
+    dates = F.when(F.col("tag") == "p", said.rlike(_DATED_NOTE)).when(F.col("tag") == "byline", (said != "") & ~said.startswith("見")).otherwise(False)
+    inside = F.filter(F.arrays_zip("path", "tags"), lambda x: x["tags"] == "div")["path"]  # the divisions that a dating row is in
+    of = F.when(F.col("tag") == "div", F.array("node_id")).when(F.col("tag").isin("head", "mulu"), F.array("parent_id")).when(dates, inside)
+    rows = rows.withColumn("said", F.when(dates, F.struct("tag", said.alias("text")))).withColumn("parent", F.when((F.col("tag") == "div") & (F.get("tags", F.size("tags") - 2) == "div"), F.col("parent_id")))
+    rows = rows.select("doc_id", "node_id", "tag", "text", "said", "parent", F.explode(of).alias("of"))
+    found = rows.groupBy("doc_id", "of").agg(
+        F.max("parent").alias("parent_id"), strip(_first("head", "text")).alias("head"), strip(_first("mulu", "text")).alias("mulu"),
+        F.min_by("said", F.when(F.col("said").isNotNull(), F.col("node_id"))).alias("f"),
+    ).filter(F.col("parent_id").isNotNull() & F.col("mulu").startswith(_APPENDIX))
     name = F.coalesce("head", "mulu")
     bare = F.regexp_replace(name, f"^{_APPENDIX}[：　]*", "")
     title = F.when(name.startswith(_APPENDIX) & bare.rlike("^[一-鿿]"), F.concat(F.lit(_APPENDIX + "："), bare)).otherwise(name)
-    found = found.select("doc_id", "parent_id", "node_id", title.alias("title"))
-    below = node_paths(nodes).filter(F.col("tag").isin("p", "byline")).select("doc_id", F.col("node_id").alias("below"), "tag", F.explode("path").alias("node_id"))
-    texts = tree_text(nodes, ["p", "byline"]).select("doc_id", F.col("node_id").alias("below"), strip(F.col("text")).alias("text"))
-    said = below.join(found.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi").join(texts, ["doc_id", "below"])
-    noted, byline = (F.col("tag") == "p") & F.col("text").rlike(_DATED_NOTE), (F.col("tag") == "byline") & (F.col("text") != "") & ~F.col("text").startswith("見")
-    first = said.filter(noted | byline).groupBy("doc_id", "node_id").agg(F.min_by(F.struct("tag", "text"), "below").alias("f"))
     date = F.when(F.col("f.tag") == "p", appendix_date(F.regexp_extract("f.text", _DATED_NOTE, 1))).otherwise(normalize_byline(F.col("f.text")))
-    return found.join(first, ["doc_id", "node_id"], "left").select("doc_id", "parent_id", "node_id", "title", date.alias("date_place"))
+    return found.select("doc_id", "parent_id", F.col("of").alias("node_id"), title.alias("title"), date.alias("date_place"))
 
 
 def with_appendixes(catalogue: DataFrame, appendixes: DataFrame, key: str = "name") -> DataFrame:
