@@ -1,12 +1,14 @@
-"""Dictionaries of any size: a trie in flat arrays for greedy matching, and an index of rarest grams for contained names."""
+"""Dictionaries of any size: a trie in flat arrays for greedy matching, and a join of grams for contained names."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,12 @@ from pyspark.sql import functions as F
 MOST_BYTES = 1 << 28
 #: Characters that are scanned together.
 CHARS = 1 << 18
-#: Characters of a gram; shorter names are filed under themselves.
-GRAM = 4
-#: Rows of an index of grams that are sent to all executors at most; a larger one is joined by a shuffle.
-SMALL_INDEX = 1_000_000
+#: Characters of a gram: names are met by themselves, longer ones by so many first characters and compared as a whole then.
+GRAM = 32
+#: Names that are sent to all executors at most; more are joined by a shuffle.
+SMALL_INDEX = 200_000
+#: A filter of grams has 16 bits a name, but 2 to the power of so many at most (64 MB).
+MOST_BITS = 29
 
 
 def codes(text: str) -> np.ndarray:
@@ -110,21 +114,17 @@ def trie_hits(lines: DataFrame, terms: list[str], text: str = "line") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found: list[tuple[int, int, str, int]] = []
-            texts = b.column(at).to_pylist()
-            for first, group in _runs(texts):
-                parts = [x for line in group for x in (codes(line or ""), _APART)]
-                begins = np.cumsum([0, *(len(x) for x in parts)])[0:-1:2]
-                hits = sent.value.greedy(np.concatenate(parts))
-                of = np.searchsorted(begins, [p for p, _ in hits], side="right") - 1
-                nth, last = 0, -1
-                for (p, n), line in zip(hits, of.tolist(), strict=True):
-                    nth = nth + 1 if line == last else 0
-                    last, p = line, p - int(begins[line])
-                    found.append((first + line, nth, group[line][p : p + n], p))
-            taken = b.take(pa.array([f[0] for f in found], pa.int64()))
-            more = [pa.array([f[i] for f in found], t) for i, t in ((1, pa.int32()), (2, pa.string()), (3, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(taken.columns) if i != at), *more], [n for n in b.schema.names if n != text] + ["ordinal", "surface", "position"])
+            for first, n in _runs(b.column(at)):  # a run's hits are handed on before the next is read: a batch of long texts holds too many
+                group, rows = b.column(at).slice(first, n).to_pylist(), b.slice(first, n)
+                run_of, begins, _ = _joined(group)
+                hits = np.array(sent.value.greedy(run_of), np.int64).reshape(-1, 2)
+                line = np.searchsorted(begins, hits[:, 0], side="right") - 1
+                nth = np.arange(len(line)) - np.searchsorted(line, line, side="left")
+                place = hits[:, 0] - begins[line]
+                surfaces = [group[i][p : p + k] for i, p, k in zip(line.tolist(), place.tolist(), hits[:, 1].tolist(), strict=True)]
+                taken = rows.take(pa.array(line, pa.int64()))
+                more = [pa.array(nth, pa.int32()), pa.array(surfaces, pa.string()), pa.array(place, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(taken.columns) if i != at), *more], [c for c in b.schema.names if c != text] + ["ordinal", "surface", "position"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in lines.schema if f.name != text)
     return lines.mapInArrow(run, f"{schema}ordinal int, surface string, position int")
@@ -133,47 +133,112 @@ def trie_hits(lines: DataFrame, terms: list[str], text: str = "line") -> DataFra
 _APART = np.array([0xFFFFFFFF], np.uint32)
 
 
-def _runs(texts: list) -> Iterator[tuple[int, list]]:
-    """Runs of texts of about CHARS characters, with the first one's number."""
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about CHARS characters: the first one's number and how many."""
     first, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t or "")
+    for i, size in enumerate(pc.utf8_length(texts).to_pylist()):
+        n += size or 0
         if n >= CHARS:
-            yield first, texts[first : i + 1]
+            yield first, i + 1 - first
             first, n = i + 1, 0
     if first < len(texts):
-        yield first, texts[first:]
+        yield first, len(texts) - first
 
 
-def grams(text, size: int):
-    """The distinct substrings of ``size`` characters, in time linear in the text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+def _joined(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of texts with a gap behind each, and where each begins and ends."""
+    parts = [x for t in texts for x in (codes(t or ""), _APART)]
+    at = np.cumsum([0, *map(len, parts)])
+    return np.concatenate(parts), at[0:-1:2], at[1::2]
+
+
+_BASE, _STIR = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+
+
+@lru_cache(2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse, 2 to the power of ``bits`` of each, modulo 2^64."""
+    of = lambda x: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full((1 << bits) - 1, x, np.uint64)]))
+    return of(_BASE), of(pow(_BASE, -1, 1 << 64))
+
+
+def _sums(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a text's code points up to each place, each times a power of the base, and the inverse powers."""
+    up, down = _powers(max(18, len(text).bit_length()))
+    letter = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(_STIR[0])
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum((letter ^ (letter >> np.uint64(31))) * up[: len(text)])]), down
+
+
+def _bits(sums: np.ndarray, down: np.ndarray, size: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a filter for the ``size`` characters at each place."""
+    h = (sums[size:] - sums[:-size]) * down[: len(sums) - size]
+    h ^= h >> np.uint64(29)
+    return tuple((h * np.uint64(x)) >> np.uint64(64 - bits) for x in _STIR)
+
+
+def _filter(named: DataFrame, bits: int) -> np.ndarray:
+    """The bits of all names' grams, as bytes: Spark collects them in parts of 4 KB."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [x for t in b.column(0).to_pylist() for c in [codes(t)] for two in _bits(*_sums(c), len(c), bits) for x in two.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([x + 1 for x in found], pa.int64())], ["bit"])
+
+    parts = named.select("gram").mapInArrow(run, "bit long").groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("held"))
+    out = np.zeros(max(1, (1 << bits) >> 15) << 12, np.uint8)
+    for r in parts.toLocalIterator():
+        out[(r.part - 1) << 12 : r.part << 12] = np.frombuffer(bytes(r.held), np.uint8)
+    return out
+
+
+def grams_met(texts: DataFrame, sizes: list[int], held: np.ndarray, bits: int) -> DataFrame:
+    """__k and gram: the distinct substrings, of the given sizes, of each text (__k, __t) whose bits a filter holds."""
+    sent = texts.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has = lambda x: (sent.value[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        for b in batches:
+            for first, n in _runs(b.column(1)):
+                group = b.column(1).slice(first, n).to_pylist()
+                text, begins, ends = _joined(group)
+                sums, down = _sums(text)
+                found = set()
+                for size in sizes:
+                    if size > len(text):
+                        continue
+                    one, two = _bits(sums, down, size, bits)
+                    at = np.flatnonzero(has(one))
+                    at = at[has(two[at])]
+                    line = np.searchsorted(begins, at, side="right") - 1
+                    inside = at + size <= ends[line]
+                    at, line = at[inside], line[inside]
+                    found.update((i, group[i][p : p + size]) for i, p in zip(line.tolist(), (at - begins[line]).tolist(), strict=True))
+                keys = b.column(0).slice(first, n).take(pa.array([i for i, _ in found], pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, pa.array([g for _, g in found], pa.string())], ["__k", "gram"])
+
+    return texts.select("__k", "__t").mapInArrow(run, f"__k {texts.schema['__k'].dataType.simpleString()}, gram string")
 
 
 def longest_contained(rows: DataFrame, key: str, text: str, names: DataFrame, fold_case: bool = False) -> DataFrame:
     """key, alias, canonical of the longest alias that each text contains, of equal length the one of least ``ord``; texts with none do not come back.
 
-    ``names`` (alias, canonical, ord) is filed by grams: each alias under the one of its grams that
-    the fewest texts hold. Texts meet the index by their grams, in a hash join, and only who meets is compared as a whole.
+    Texts and ``names`` (alias, canonical, ord) meet in a join of grams: an alias's gram is the alias itself, or its first GRAM characters,
+    and of texts only those substrings are laid out that a filter of fixed size holds. So a text meets few names that it does not contain, however alike names are.
     Rows of equal key count as one text's; null keys are one. Null and empty aliases and texts match nothing.
     """
     fold = F.lower if fold_case else (lambda x: x)
     named = names.filter(F.length("alias") > 0).select("alias", "canonical", "ord", fold(F.col("alias")).alias("__a"))
-    sizes = sorted(r[0] for r in named.select(F.least(F.length("__a"), F.lit(GRAM)).alias("n")).distinct().collect())  # GRAM numbers at most
-    if not sizes:
+    named = named.withColumn("gram", F.left("__a", F.lit(GRAM)))
+    told = named.groupBy(F.length("gram").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.max(F.length("__a")).alias("most")).collect()  # GRAM rows at most
+    if not told:
         return rows.select(key).join(named.select("alias", "canonical"), F.lit(False))
+    n = sum(r.n for r in told)
+    bits = min(max(16, (16 * n).bit_length()), MOST_BITS)
     texts = rows.select(F.col(key).alias("__k"), fold(F.col(text)).alias("__t"))
-    of_text = texts.select("__k", F.explode(F.concat(*(grams(F.col("__t"), n) for n in sizes))).alias("gram"))
-    sized = F.coalesce(*(F.when(F.least(F.length("__a"), F.lit(GRAM)) == n, grams(F.col("__a"), n)) for n in sizes))
-    of_name = named.select("alias", "__a", F.explode(sized).alias("gram"))
-    every = of_name.select("gram").distinct()
-    small = every.count() <= SMALL_INDEX
-    hint = F.broadcast if small else (lambda x: x)
-    held = of_text.join(hint(every), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
-    # a gram that no text holds files its alias where nobody looks
-    filed = of_name.join(held, "gram", "left").groupBy("alias", "__a").agg(F.min_by("gram", F.struct(F.coalesce("texts", F.lit(0)), "gram")).alias("gram"))
-    met = of_text.join(hint(filed), "gram").select("__k", "alias", "__a").distinct()
-    proven = met.join(texts.withColumnRenamed("__k", "__r"), F.col("__k").eqNullSafe(F.col("__r"))).filter(F.col("__t").contains(F.col("__a"))).select("__k", "alias").distinct()
-    best = F.min_by(F.struct("alias", "canonical"), F.struct(-F.length("alias"), F.col("ord")))
-    told = proven.join(named.select("alias", "canonical", "ord"), "alias").groupBy("__k").agg(best.alias("b"))
-    return told.select(F.col("__k").alias(key), "b.alias", "b.canonical")
+    met = grams_met(texts, sorted(r["size"] for r in told), _filter(named, bits), bits).join(F.broadcast(named) if n <= SMALL_INDEX else named, "gram")
+    if max(r.most for r in told) > GRAM:
+        long = met.filter(F.length("__a") > GRAM).select("__k", "__a", "alias", "canonical", "ord").join(texts.withColumnRenamed("__k", "__r"), F.col("__k").eqNullSafe(F.col("__r")))
+        short = met.filter(F.length("__a") <= GRAM).select("__k", "alias", "canonical", "ord")
+        met = short.unionByName(long.filter(F.col("__t").contains(F.col("__a"))).select("__k", "alias", "canonical", "ord"))
+    best = F.min_by(F.struct("alias", "canonical"), F.struct(-F.length("alias"), F.col("ord"), F.col("alias")))
+    return met.groupBy("__k").agg(best.alias("b")).select(F.col("__k").alias(key), "b.alias", "b.canonical")

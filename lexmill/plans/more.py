@@ -10,7 +10,7 @@ from lexmill.functions import bylines, classify, registry
 from lexmill.functions import text as tx
 from lexmill.operators import documents, gaps, lookups, matching, rendering, reports, sequences
 from lexmill.plans.catalogue import _FLAGS, _PER_LINE, _found, _rows, _values, query
-from lexmill.session import register_tables, run_sql, shared_folder, table
+from lexmill.session import register_tables, run_sql, shared_folder, spread, table
 from lexmill.sources import files, sqlite, writers, xml_nodes
 from lexmill.streaming import gap_stream
 
@@ -450,7 +450,7 @@ _MANY = [f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in ("e", "er", "e
 )
 def large_dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Hits of a dictionary of 312 terms in whole texts."""
-    found = matching.hits(table(spark, d, "documents").select("doc_id", "text"), _MANY, "text")
+    found = matching.hits(spread(table(spark, d, "documents").select("doc_id", "text")), _MANY, "text")
     return found.groupBy("surface").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 

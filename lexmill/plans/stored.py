@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import dictionary, gaps, matching, sketches
 from lexmill.plans.catalogue import query
-from lexmill.session import shared_folder, table
+from lexmill.session import shared_folder, spread, table
 from lexmill.sources import byte_ranges, shapes, versions
 
 _OPEN = "'<cb:div type=\"a\"><cb:mulu level=\"2\">' || doc_id || '</cb:mulu>' || CASE WHEN doc_id % 3 = 0 THEN '<cb:div><cb:mulu level=\"3\">x</cb:mulu></cb:div>' ELSE '' END"
@@ -125,7 +125,7 @@ def aliases_by_grams(spark: SparkSession, d: str) -> DataFrame:
     found = F.array_distinct(F.regexp_extract_all("text", F.lit("[a-z]{7,9} [a-z]{2,6}"), F.lit(0)))
     names = table(spark, d, "documents").filter("doc_id % 5 = 0").select("doc_id", F.explode(found).alias("alias")).groupBy("alias").agg(F.min("doc_id").alias("ord"))
     names = names.withColumn("canonical", F.col("alias"))
-    met = dictionary.longest_contained(table(spark, d, "pages").select("page_id", "html"), "page_id", "html", names)
+    met = dictionary.longest_contained(spread(table(spark, d, "pages").select("page_id", "html")), "page_id", "html", names)
     return met.groupBy("page_id", F.length("alias").alias("n")).agg(F.count(F.lit(1)).alias("one"))
 
 

@@ -73,3 +73,21 @@ def test_longest_contained(spark, monkeypatch, small, fold):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     empty = dictionary.longest_contained(spark.createDataFrame(rows, "k int, t string"), "k", "t", spark.createDataFrame([], "alias string, canonical string, ord int"))
     assert empty.columns == ["k", "alias", "canonical"] and empty.collect() == []
+
+
+def test_names_that_are_alike(spark):
+    """Every name's grams of four characters are in every text; only names that a text holds are laid out, long ones by their beginning."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    rows = [(i, word(400)) for i in range(100)]
+    names = [(word(rng.choice([12, 14, 40, 60])), f"c{i}", i) for i in range(2000)] + [(rows[7][1][30:80], "long", -1), (rows[8][1][:15], "short", -2)]
+    texts, named = spark.createDataFrame(rows, "__k int, __t string"), spark.createDataFrame(names, "alias string, canonical string, ord int")
+    held = dictionary._filter(named.select("alias", dictionary.F.left("alias", dictionary.F.lit(32)).alias("gram")), 16)
+    sizes = sorted({min(32, len(a)) for a, *_ in names})
+    met = {(r["__k"], r.gram) for r in dictionary.grams_met(texts, sizes, held, 16).collect()}
+    true = {(k, a[:32]) for k, t in rows for a, *_ in names if a[:32] in t}
+    every = sum(len({t[i : i + n] for i in range(len(t) - n + 1)}) for _, t in rows for n in sizes)
+    assert true <= met and len(met - true) < 0.02 * every
+    got = dictionary.longest_contained(texts, "__k", "__t", named)
+    want = {k: min((-len(a), o, c) for a, c, o in names if a in t) for k, t in rows if any(a in t for a, *_ in names)}
+    assert {r["__k"]: r.canonical for r in got.collect()} == {k: c for k, (*_, c) in want.items()} and want[7][2] == "long"
