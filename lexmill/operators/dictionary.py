@@ -69,18 +69,19 @@ class Trie:
     def nbytes(self) -> int:
         return sum(x.nbytes for x in (self.letters, self.keys, self.to, self.ends, self.first))
 
-    def longest(self, text: np.ndarray) -> np.ndarray:
-        """The length of the longest term that begins at each place, 0 for none; all places go down the trie together."""
-        n, out = len(self.letters), np.zeros(len(text), np.int32)
+    def longest(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The length and the last state of the longest term that begins at each place, 0 for none; all places go down the trie together."""
+        n, out, told = len(self.letters), np.zeros(len(text), np.int32), np.zeros(len(text), np.int64)
         if not n:
-            return out
+            return out, told
         letter = np.minimum(np.searchsorted(self.letters, text), n - 1)
         letter = np.where(self.letters[letter] == text, letter, -1)
         at = np.flatnonzero(letter >= 0)
         state, depth = self.first[letter[at]], 1
         at, state = at[state >= 0], state[state >= 0]
         while len(at):
-            out[at[self.ends[state]]] = depth
+            ended = self.ends[state]
+            out[at[ended]], told[at[ended]] = depth, state[ended]
             on = at + depth < len(text)
             at, state = at[on], state[on]
             nxt = letter[at + depth]
@@ -88,18 +89,24 @@ class Trie:
             place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             on = (nxt >= 0) & (self.keys[place] == key)
             at, state, depth = at[on], self.to[place[on]], depth + 1
-        return out
+        return out, told
 
-    def greedy(self, text: np.ndarray) -> list[tuple[int, int]]:
-        """(start, length) of leftmost-longest terms without overlaps."""
-        size = self.longest(text)
+    def places(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and state of leftmost-longest terms without overlaps; equal terms have equal states."""
+        size, state = self.longest(text)
         found, free = [], 0
         at = np.flatnonzero(size)
         for p, n in zip(at.tolist(), size[at].tolist(), strict=True):
             if p >= free:
-                found.append((p, n))
+                found.append(p)
                 free = p + n
-        return found
+        found = np.array(found, np.int64)
+        return found, size[found].astype(np.int64), state[found]
+
+    def greedy(self, text: np.ndarray) -> list[tuple[int, int]]:
+        """(start, length) of leftmost-longest terms without overlaps."""
+        at, size, _ = self.places(text)
+        return list(zip(at.tolist(), size.tolist(), strict=True))
 
 
 def trie_hits(lines: DataFrame, terms: list[str], text: str = "line") -> DataFrame:
@@ -107,27 +114,40 @@ def trie_hits(lines: DataFrame, terms: list[str], text: str = "line") -> DataFra
 
     Null and empty lines have no hits. Lines of a batch are scanned as one run of characters; a gap that no term holds keeps them apart.
     """
+    return _scan(lines, terms, text, False)
+
+
+def trie_counts(lines: DataFrame, terms: list[str], text: str = "line") -> DataFrame:
+    """``lines`` with surface and n, how often it is hit in the line, as trie_hits() grouped by line: one row for each surface that the line holds."""
+    return _scan(lines, terms, text, True)
+
+
+def _scan(lines: DataFrame, terms: list[str], text: str, counts: bool) -> DataFrame:
     trie = Trie.of(terms)
     if trie.nbytes > MOST_BYTES:
         raise ValueError(f"a dictionary of {trie.nbytes} bytes exceeds the {MOST_BYTES} that are sent to every task")
     sent, at = lines.sparkSession.sparkContext.broadcast(trie), lines.columns.index(text)
+    columns = [("surface", pa.string(), "string"), ("n", pa.int64(), "long")] if counts else [("ordinal", pa.int32(), "int"), ("surface", pa.string(), "string"), ("position", pa.int32(), "int")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, n in _runs(b.column(at)):  # a run's hits are handed on before the next is read: a batch of long texts holds too many
                 group, rows = b.column(at).slice(first, n).to_pylist(), b.slice(first, n)
                 run_of, begins, _ = _joined(group)
-                hits = np.array(sent.value.greedy(run_of), np.int64).reshape(-1, 2)
-                line = np.searchsorted(begins, hits[:, 0], side="right") - 1
-                nth = np.arange(len(line)) - np.searchsorted(line, line, side="left")
-                place = hits[:, 0] - begins[line]
-                surfaces = [group[i][p : p + k] for i, p, k in zip(line.tolist(), place.tolist(), hits[:, 1].tolist(), strict=True)]
+                start, size, state = sent.value.places(run_of)
+                line = np.searchsorted(begins, start, side="right") - 1
+                if counts:
+                    _, one, n_of = np.unique(line * len(sent.value.ends) + state, return_index=True, return_counts=True)
+                    start, size, line = start[one], size[one], line[one]
+                place = start - begins[line]
+                surfaces = [group[i][p : p + k] for i, p, k in zip(line.tolist(), place.tolist(), size.tolist(), strict=True)]
+                told = [surfaces, n_of] if counts else [np.arange(len(line)) - np.searchsorted(line, line, side="left"), surfaces, place]
                 taken = rows.take(pa.array(line, pa.int64()))
-                more = [pa.array(nth, pa.int32()), pa.array(surfaces, pa.string()), pa.array(place, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(taken.columns) if i != at), *more], [c for c in b.schema.names if c != text] + ["ordinal", "surface", "position"])
+                more = [pa.array(x, t) for x, (_, t, _) in zip(told, columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(taken.columns) if i != at), *more], [c for c in b.schema.names if c != text] + [c for c, *_ in columns])
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in lines.schema if f.name != text)
-    return lines.mapInArrow(run, f"{schema}ordinal int, surface string, position int")
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema if f.name != text] + [f"{c} {kind}" for c, _, kind in columns]
+    return lines.mapInArrow(run, ", ".join(schema))
 
 
 _APART = np.array([0xFFFFFFFF], np.uint32)

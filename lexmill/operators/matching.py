@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import CJK_WIDE, is_heading_line, snippet
-from lexmill.operators.dictionary import trie_hits
+from lexmill.operators.dictionary import trie_counts, trie_hits
 
 #: Up to so many terms the pattern is matched in the JVM, which tries branches one by one; beyond, in Arrow batches.
 MOST_ALTERNATIVES = 200
@@ -64,6 +64,15 @@ def hits(lines: DataFrame, terms: list[str], text: str = "line", chars: str | No
     return lines.select(*(c for c in lines.columns if c != text), F.posexplode(found).alias("ordinal", "surface"))
 
 
+def hit_counts(lines: DataFrame, terms: list[str], text: str = "line", chars: str | None = None) -> DataFrame:
+    """hits() counted where they are found: a line's columns, ``surface`` and ``n``, whose sums over equal rows count."""
+    terms = [t for t in terms if _only(t, chars)]
+    if len(terms) > MOST_ALTERNATIVES:
+        return trie_counts(lines, terms, text)
+    found = hits(lines, terms, text)
+    return found.groupBy(*(c for c in found.columns if c != "ordinal")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _only(term: str, chars: str | None) -> bool:
     return bool(term) and (chars is None or bool(re.match("^[" + chars.replace("\\x{20000}-\\x{2a6df}", "\U00020000-\U0002a6df") + "]+$", term)))
 

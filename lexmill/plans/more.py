@@ -450,8 +450,8 @@ _MANY = [f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in ("e", "er", "e
 )
 def large_dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Hits of a dictionary of 312 terms in whole texts."""
-    found = matching.hits(spread(table(spark, d, "documents").select("doc_id", "text")), _MANY, "text")
-    return found.groupBy("surface").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
+    found = matching.hit_counts(spread(table(spark, d, "documents").select("doc_id", "text")), _MANY, "text")
+    return found.groupBy("surface").agg(F.sum("n").alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 
 @query("SELECT page_id, trim(regexp_replace(regexp_extract(substr(html, 1, 5000), '(?s)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g')) AS byline FROM pages")

@@ -91,3 +91,27 @@ def test_names_that_are_alike(spark):
     got = dictionary.longest_contained(texts, "__k", "__t", named)
     want = {k: min((-len(a), o, c) for a, c, o in names if a in t) for k, t in rows if any(a in t for a, *_ in names)}
     assert {r["__k"]: r.canonical for r in got.collect()} == {k: c for k, (*_, c) in want.items()} and want[7][2] == "long"
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_hits_are_counted_where_they_are(spark, monkeypatch, most):
+    rng = random.Random(2)
+    terms = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(40)}
+    lines = [None, "", "xyz"] + ["".join(rng.choice("abcd ") for _ in range(rng.randint(0, 300))) for _ in range(50)]
+    d = spark.createDataFrame(list(enumerate(lines)), "no int, line string")
+    monkeypatch.setattr(matching, "MOST_ALTERNATIVES", most)
+    got = sorted((r.no, r.surface, r.n) for r in matching.hit_counts(d, list(terms)).collect())
+    want = {}
+    for i, x in enumerate(lines):
+        for _, s in plain(x or "", terms):
+            want[i, s] = want.get((i, s), 0) + 1
+    assert got == sorted((*k, n) for k, n in want.items())
+
+
+def test_hits_leave_run_by_run(spark, monkeypatch):
+    d = spark.createDataFrame([(0, "")], "no int, line string")
+    monkeypatch.setattr(dictionary, "CHARS", 100)
+    monkeypatch.setattr(type(d), "mapInArrow", lambda self, run, schema: run)
+    batch = dictionary.pa.RecordBatch.from_pydict({"no": list(range(200)), "line": ["ab" * 25] * 200})
+    sent = list(dictionary.trie_hits(d, ["ab"])(iter([batch])))
+    assert sum(b.num_rows for b in sent) == 5000 and max(b.num_rows for b in sent) <= 75
