@@ -51,6 +51,11 @@ def numeral_parse(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", "numeral", numerals.small_numeral(F.col("numeral")).alias("small"), numerals.wide_numeral(F.col("numeral")).alias("wide"))
 
 
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of orders over all tasks, for texts whose reading costs far more than the keys."""
+    return spread(table(spark, d, "orders").select("o_orderkey", "o_custkey"))
+
+
 _Y, _M = "(o_custkey % 60 + 1)", "(o_orderkey % 12 + 1)"
 _PLACE, _SEASON, _VERB = of("o_custkey", "'閩南佛學院'", "'普陀'", "'武昌'"), of("o_orderkey", "'春'", "'夏'", "'秋'", "'冬'"), of("o_custkey", "'講'", "'編述'")
 _BYLINE = of(
@@ -69,7 +74,7 @@ _KIND = "o_orderkey % 5"
 )
 def byline_fields(spark: SparkSession, d: str) -> DataFrame:
     """Bylines of five forms in common years, and their parts."""
-    rows = table(spark, d, "orders").selectExpr("o_orderkey", f"{_BYLINE} AS raw").withColumn("normal", bylines.normalize_byline(F.col("raw")))
+    rows = _orders(spark, d).selectExpr("o_orderkey", f"{_BYLINE} AS raw").withColumn("normal", bylines.normalize_byline(F.col("raw")))
     rows = rows.withColumn("f", bylines.byline_fields(F.col("normal")))
     return rows.select("o_orderkey", "raw", "normal", "f.create_y", "f.create_m", "f.location", "f.context")
 
@@ -158,7 +163,7 @@ _REF = of(
 )
 def vol_issue_extract(spark: SparkSession, d: str) -> DataFrame:
     """References of seven forms expanded to one row per volume and issue."""
-    rows = table(spark, d, "orders").selectExpr("o_orderkey", f"{_REF} AS ref").select("o_orderkey", "ref", F.explode(issues.parse_issues(F.col("ref"))).alias("p"))
+    rows = _orders(spark, d).selectExpr("o_orderkey", f"{_REF} AS ref").select("o_orderkey", "ref", F.explode(issues.parse_issues(F.col("ref"))).alias("p"))
     return rows.select("o_orderkey", "ref", "p.vol", "p.issue", issues.issue_label(F.col("p.vol"), F.col("p.issue")).alias("label"))
 
 
@@ -209,7 +214,7 @@ _VOL = f"(CASE WHEN o_orderkey % 5 < 3 THEN {_V} END)::INT"
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").selectExpr("o_orderkey", f"concat({_REFERENCE}, '') AS text")
+    rows = _orders(spark, d).selectExpr("o_orderkey", f"concat({_REFERENCE}, '') AS text")
     # bound once: as one expression per field it would outgrow generated code
     return rows.withColumn("r", tx.let(F.col("text"), lambda t: issues.parse_reference(t, _PERIODICALS))).select("o_orderkey", "text", "r.*")
 

@@ -49,3 +49,12 @@ def test_issues(column):
 def test_classifier(column):
     got = column(["見海刊九卷", "——十九年在某處講——", "（碧松記）", "佛學書局印行", "民國八年", "見海刊，佛學書局印行", "", None, "xyz"], classify.classify_byline)
     assert got == ["刊载出处", "讲演信息", "记録者", "印行信息", "作者署名", "综合", "空", "空", "其他"]
+
+
+def test_steps_of_a_reference_are_evaluated_once(spark):
+    """Each step is bound: the text's own clean-up stands once, however many names and rules there are."""
+    names = {f"名{i}": f"刊{i % 7}" for i in range(40)}
+    plan = spark.range(1).select(F.lit("見名7三卷").alias("x"), F.col("id")).select(issues.parse_reference(F.concat("x", F.col("id").cast("string")), names).alias("r"))
+    shown = plan._jdf.queryExecution().analyzed().toString()
+    assert shown.count("散]?[見见]") == 1
+    assert tuple(plan.first().r) == ("刊0", 3, None)
