@@ -17,7 +17,7 @@ _OPEN = "'<cb:div type=\"a\"><cb:mulu level=\"2\">' || doc_id || '</cb:mulu>' ||
 def elements_by_ranges(spark: SparkSession, d: str) -> DataFrame:
     """Every document as a division of large files, found again by byte ranges that cut divisions and headings anywhere."""
     base = shared_folder(spark, "elements")
-    docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit("<"), F.lit("&lt;")).alias("t"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.replace("text", F.lit("<"), F.lit("&lt;")).alias("t"))
     inner = F.when(F.col("doc_id") % 3 == 0, '<cb:div><cb:mulu level="3">x</cb:mulu></cb:div>').otherwise("")
     docs.select(F.concat(F.lit('<cb:div type="a"><cb:mulu level="2">'), "doc_id", F.lit("</cb:mulu>"), inner, "t", F.lit("</cb:div>"))).write.text(base)
     found = byte_ranges.read_elements(spark, base, split_bytes=100_003)

@@ -18,6 +18,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 SCHEMA = "path string, byte_start long, byte_end long, chunk binary, bytes_read long"
 #: Bytes that are read at once beyond a range's ends.
 STEP = 1 << 14
+#: Above so many ranges, neighbours are read one after the other by one task, as long as they are no more than so many bytes.
+MANY_RANGES, TASK_BYTES = 200, 1 << 25
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -109,8 +111,11 @@ class Elements:
 
 
 class Range(InputPartition):
+    """A range of bytes of a file, and the ranges that its task reads after it."""
+
     def __init__(self, path: str, size: int, a: int, b: int):
         self.path, self.size, self.a, self.b = path, size, a, b
+        self.then: list[Range] = []
 
 
 class _Reader(DataSourceReader):
@@ -138,24 +143,36 @@ class _Reader(DataSourceReader):
             if self.paths is None or path in self.paths:
                 # a mark lies between its element's start and end
                 out += [Range(path, size, a, min(a + split, size)) for a in range(0, size, split) if a + split > self.least and (self.most is None or a < self.most)]
-        return out or [Range("", 0, 0, 0)]
+        n = max(1, min(-(-len(out) // MANY_RANGES), TASK_BYTES // split))
+        for i in range(0, len(out), n):
+            out[i].then = out[i + 1 : i + n]
+        return out[::n] or [Range("", 0, 0, 0)]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         if not part.path:
             return
         o = self.options
         elements = Elements(o.get("tag", "cb:div"), o.get("mark", "cb:mulu"), o.get("where", r'\blevel="2"'))
-        system, at = file_system(part.path)
-        with system.open_input_file(at) as stream:
-            w, rows, held, counted = Window(stream, part.size, part.a, part.b), [], 0, 0
-            for start, end in elements.of_range(w, part.a, part.b):
-                rows.append((part.path, start, end, bytes(w.data[start - w.lo : end - w.lo]), w.read - counted))
-                counted, held = w.read, held + end - start
-                if held > 1 << 24:
-                    yield _batch(rows)
-                    rows, held = [], 0
+        rows, held, stream, opened = [], 0, None, ""
+        try:
+            for r in (part, *part.then):
+                if r.path != opened:
+                    if stream:
+                        stream.close()
+                    system, at = file_system(r.path)
+                    stream, opened = system.open_input_file(at), r.path
+                w, counted = Window(stream, r.size, r.a, r.b), 0
+                for start, end in elements.of_range(w, r.a, r.b):
+                    rows.append((r.path, start, end, bytes(w.data[start - w.lo : end - w.lo]), w.read - counted))
+                    counted, held = w.read, held + end - start
+                    if held > 1 << 24:
+                        yield _batch(rows)
+                        rows, held = [], 0
             if rows:
                 yield _batch(rows)
+        finally:
+            if stream:
+                stream.close()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -62,6 +62,21 @@ def test_source(spark, tmp_path):
     assert byte_ranges.read_elements(spark, str(tmp_path / "empty")).collect() == []
 
 
+def test_many_small_ranges_share_tasks(spark, tmp_path):
+    """Ranges stay as they are asked for, but more than some hundred of them are no tasks of their own."""
+    rng = random.Random(4)
+    for n in range(3):
+        (tmp_path / f"{n}.xml").write_bytes(made(rng) * 60)
+    parts = byte_ranges._Reader({"path": str(tmp_path), "splitbytes": "50"}).partitions()
+    every = [(r.path, r.a, r.b) for p in parts for r in (p, *p.then)]
+    assert every == [(p, a, min(a + 50, size)) for p, size in byte_ranges.files_below(str(tmp_path)) for a in range(0, size, 50)]
+    assert len(every) > 1000 and len(parts) <= byte_ranges.MANY_RANGES
+    got = {tuple(r) for r in byte_ranges.read_elements(spark, str(tmp_path), 50).select("path", "byte_start", "byte_end").collect()}
+    assert got == {(str(tmp_path / f"{n}.xml"), *x) for n in range(3) for x in xml_nodes.byte_ranges((tmp_path / f"{n}.xml").read_bytes())}
+    large = byte_ranges._Reader({"path": str(tmp_path), "splitbytes": str(1 << 26)}).partitions()
+    assert len(large) == 3 and not any(p.then for p in large)
+
+
 def articles(spark, n, tag):
     return spark.range(n).repartition(3).select(F.concat(F.lit(f"{tag}/"), F.col("id")).alias("name"), F.concat(F.lit("text\n"), F.col("id")).alias("text"), F.lit("- t").alias("toc"), F.lit(None).cast("string").alias("toc_json"))
 
