@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -230,19 +232,29 @@ def assembled(articles: DataFrame) -> DataFrame:
 
 #: Elements that only hold divisions and blocks, and those that hold no text of the article.
 _HOLDERS, _APART = frozenset("TEI text body front html main article section".split()), frozenset("teiHeader back script style".split())
+#: White space of HTML; other spaces, as no-break ones, are characters, but at the ends of a text.
+_SPACES = re.compile("[\t\n\f\r ]+")
+_ENDS = "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c) == "Zs")
 
 
 class Renderer:
     """One article's nodes as Markdown: contents, headings, paragraphs, quotations, notes."""
 
     def __init__(self, rows: list[dict], gap: str = ""):
-        self.gap = gap  # what stands for white space: nothing in Chinese texts
+        self.gap = gap  # what stands for HTML's white space; without one, as in Chinese texts, all white space goes
         self.children: dict[int, list[dict]] = {}
         for r in rows:
             self.children.setdefault(r["parent_id"], []).append(r)
         self.anchors: list[str] = []
 
     def inline(self, node: dict, pre: bool = False) -> str:
+        """Mixed content as one text, its white space put in order once, over the borders of the elements in it."""
+        text = self.mixed(node, pre)
+        if pre:
+            return text
+        return _SPACES.sub(self.gap, text).strip(_ENDS) if self.gap else "".join(text.split())
+
+    def mixed(self, node: dict, pre: bool) -> str:
         """Mixed content in order: notes in brackets, anchors numbered, line breaks dropped, bold kept, figures linked."""
         out = [node["text"]]
         for c in self.children.get(node["node_id"], []):
@@ -260,10 +272,9 @@ class Renderer:
             elif tag == "graphic":
                 out.append(f"![]({a.get('url', '')})")
             else:
-                out.append(self.inline(c, pre))
+                out.append(self.mixed(c, pre))
             out.append(c["tail"])
-        text = "".join(out)
-        return text if pre else self.gap.join(text.split())
+        return "".join(out)
 
     def block(self, node: dict) -> str:
         """A child of a division as a Markdown block."""
@@ -278,7 +289,7 @@ class Renderer:
 
         def walk(node: dict, level: int, quoted: bool) -> None:
             kids = self.children.get(node["node_id"], [])
-            head = next((self.inline(k).replace("　", "") for k in kids if k["tag"] == "head"), None)
+            head = next((self.inline(k) for k in kids if k["tag"] == "head"), None)
             mulu = next((self.inline(k) for k in kids if k["tag"] == "mulu"), None)
             heading = head or mulu
             if heading and skip(heading):

@@ -437,7 +437,7 @@ _TIDY = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
 def render_markdown(spark: SparkSession, d: str) -> DataFrame:
     """Every page as Markdown."""
     nodes = _page_nodes(spark, d).filter(~F.col("tag").isin("script", "style"))
-    return documents.render_articles(nodes, gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
+    return documents.render_articles(nodes, skip_words=(), gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
 
 
 # -- streams ------------------------------------------------------------------------------
