@@ -436,7 +436,7 @@ _TIDY = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
 )
 def render_markdown(spark: SparkSession, d: str) -> DataFrame:
     """Every page as Markdown."""
-    nodes = _page_nodes(spark, d).filter(~F.col("tag").isin("script", "style"))
+    nodes = _page_nodes(spark, d).withColumn("text", F.when(F.col("tag").isin("script", "style"), "").otherwise(F.col("text")))  # what follows them stays
     return documents.render_articles(nodes, skip_words=(), gap=" ").select(F.col("doc_id").cast("long").alias("page_id"), "markdown")
 
 

@@ -26,6 +26,11 @@ def test_pages_equal_sql(spark, tmp_path, name):
     assert sorted(map(tuple, got)) == sorted(sql.fetchall())
 
 
+def test_text_behind_scripts_stays(spark, tmp_path):
+    spark.createDataFrame([(1, "<p>a<script>no</script> b<style>no</style>c</p><script>no</script>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert [r.markdown for r in QUERIES["render_markdown"](spark, str(tmp_path)).collect()] == ["a bc"]
+
+
 def test_references_by_their_ends():
     page = '<p t="?a=1&copy=2&amp;b" u="&lt;">&lt;&#233;&hellip; &lt &#233 &hellip &amp &amp;quot; \ufdd00\ufdd1<br>&</p><script>a &&quot; b</script>'
     p, script = parse_html(page)
